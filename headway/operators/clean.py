@@ -73,7 +73,7 @@ def moving_segments(df: DataFrame) -> DataFrame:
     return df.where(F.col("segment_duration") > 0)
 
 
-def feature_matrix(df: DataFrame) -> DataFrame:
+def feature_matrix(df: DataFrame, keep=()) -> DataFrame:
     """P10: numeric feature columns, NULL / NaN / +-inf -> 0.
 
     Numeric means integral or floating types (booleans excluded, as with
@@ -83,10 +83,10 @@ def feature_matrix(df: DataFrame) -> DataFrame:
                 "vehicle_timestamp", "ts", "target"}
     numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
     cols = [f.name for f in df.schema.fields
-            if f.dataType.simpleString() in numeric and f.name not in excluded]
+            if f.dataType.simpleString() in numeric and f.name not in excluded and f.name not in keep]
     out = []
     for c in cols:
         x = F.col(c).cast("double")
         bad = x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
         out.append(F.when(bad, F.lit(0.0)).otherwise(x).alias(c))
-    return df.select(*out)
+    return df.select(*keep, *out)
