@@ -107,13 +107,14 @@ def direction_consistency(df: DataFrame, keys=TRIP_KEYS, scope: str = "trip") ->
     tw = Window.partitionBy(*route_keys).orderBy("_first_ts", "trip_id").rowsBetween(-(ROLLING_ROWS - 1), -1)
     trips = trips.withColumn("_prev", F.collect_list(
         F.expr("reverse(transform(_t, x -> x.v))")).over(tw))
+    trips = trips.withColumn("_prev", F.flatten("_prev"))
     trips = trips.select(*keys, F.expr(
-        f"slice(flatten(_prev), -least({ROLLING_ROWS - 1}, size(flatten(_prev))), "
-        f"least({ROLLING_ROWS - 1}, size(flatten(_prev))))").alias("_carry"))
+        f"CASE WHEN size(_prev) = 0 THEN _prev ELSE slice(_prev, -least({ROLLING_ROWS - 1}, size(_prev)), "
+        f"least({ROLLING_ROWS - 1}, size(_prev))) END").alias("_carry"))
     d = d.join(trips, keys, "left")
     # rows 1..4 of a trip complete their window with the carried values
     need = f"({ROLLING_ROWS} - _rn)"
-    carry_tail = f"slice(_carry, greatest(size(_carry) - {need} + 1, 1), least({need}, size(_carry)))"
+    carry_tail = f"slice(_carry, greatest(size(_carry) - {need} + 1, 1), greatest(least({need}, size(_carry)), 0))"
     full = (f"CASE WHEN _rn >= {ROLLING_ROWS} THEN _roll_sum / _roll_n "
             f"WHEN size(_carry) >= {need} THEN "
             f"(_roll_sum + aggregate({carry_tail}, 0e0, (a, x) -> a + x)) / {ROLLING_ROWS}e0 END")

@@ -329,8 +329,8 @@ SELECT *,
 FROM q_pick""", "q_pick")
 cte("q_pred0", """
 SELECT query_id, route_id, i, stop_id, key_stop, level, speed_mps, distance_m, duration_s,
-       make_timestamp(epoch_us(ts) + sum(CAST(round_even(duration_s * 1e6, 0) AS BIGINT))
-         OVER (PARTITION BY query_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS arrival_ts
+       make_timestamp(CAST(epoch_us(ts) + sum(CAST(round_even(duration_s * 1e6, 0) AS BIGINT))
+         OVER (PARTITION BY query_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)) AS arrival_ts
 FROM (SELECT *, coalesce(CASE WHEN isnan(distance_m / speed_mps) THEN NULL ELSE distance_m / speed_mps END, 6e1)
         AS duration_s FROM q_speed)""", "q_speed")
 cte("predictions", """

@@ -64,21 +64,31 @@ def read_pings(spark: SparkSession, root: str, dates=None) -> DataFrame:
 
 
 def read_query_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
-    """``{"idx": "file.parquet", ...}`` -> pings of every listed file with
+    """``{"idx": "path", ...}`` -> pings of every listed path with
     ``query_id`` (the manifest key) and ``manifest_pos`` (its order).
 
-    The manifest is configuration (a list of paths); the data is one
-    multi-path scan joined to it on ``_metadata.file_path``.
+    A path is a Parquet file or a folder of part files. The manifest is
+    configuration (a list of paths); the data is one multi-path scan,
+    matched back to its entry on the file's own path or its folder.
     """
     with open(manifest_path) as fh:
         entries = list(json.load(fh).items())
     paths = [p for _, p in entries]
-    m = spark.createDataFrame(
-        [(k, i, "file://" + p if p.startswith("/") else p) for i, (k, p) in enumerate(entries)],
-        "query_id string, manifest_pos int, _path string")
+
+    def norm(p):
+        p = p.rstrip("/")
+        return "file:" + p if p.startswith("/") else p
+    m = spark.createDataFrame([(k, i, norm(p)) for i, (k, p) in enumerate(entries)],
+                              "query_id string, manifest_pos int, _path string")
     df = (spark.read.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
-          .parquet(*paths).withColumn("_path", F.col("_metadata.file_path")))
-    return df.join(F.broadcast(m), "_path").drop("_path")
+          .parquet(*paths)
+          .withColumn("_file", F.col("_metadata.file_path"))
+          .withColumn("_dir", F.regexp_replace("_file", "/[^/]*$", "")))
+    mb = F.broadcast(m)
+    by_file = df.join(mb, df["_file"] == m["_path"])
+    by_dir = df.join(mb, (df["_dir"] == m["_path"]))
+    out = by_file.unionByName(by_dir)
+    return out.drop("_path", "_file", "_dir")
 
 
 def read_route_features(spark: SparkSession, root: str) -> DataFrame:
