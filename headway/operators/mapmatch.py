@@ -104,6 +104,16 @@ def map_match(pings: DataFrame, routes: DataFrame, chunk_seconds: int = CHUNK_SE
     p = attach_route(pings, routes)
     p = with_projection(p, routes)
     p = p.withColumn("open", F.expr(OPEN_SQL))
+    return fold_positions(p, base_cols, chunk_seconds)
+
+
+def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+    """The chunked fold over pings carrying ``open``, ``n`` and ``ids``.
+
+    ``base_cols`` are the ping columns to keep (must include the trip keys,
+    ``ts`` and ``seq``). Adds ``route_position`` and the per-trip
+    ``first_arrival`` map.
+    """
     p = p.withColumn("bucket", F.expr(f"unix_micros(ts) div {int(chunk_seconds) * 1_000_000}"))
     p = p.repartition(*TRIP_KEYS)
     row = F.struct(*[c for c in base_cols if c not in TRIP_KEYS + ["ts", "seq"]]).alias("row")

@@ -212,7 +212,7 @@ RAW_SPEC = (RAWK + " vehicle_id:s stop_id:s vehicle_timestamp:s latitude:d9 long
 @reg("src_pings", RAW_SPEC, "SELECT * FROM fx_raw", "fx_raw")
 def _src_pings(spark, sf):
     path = scratch_path(spark, "pings")
-    fx.raw_pings(spark, sf).write.mode("overwrite").partitionBy("date").parquet(path)
+    fx.raw_pings(spark, sf).repartition("date").write.mode("overwrite").partitionBy("date").parquet(path)
     return files.read_pings(spark, path)
 
 
@@ -956,3 +956,32 @@ def _e4(spark, sf):
 @reg("pipe_evaluate", "query_id:s eta_score_minutes:d6", "SELECT * FROM scores", "scores")
 def _e5(spark, sf):
     return pipelines.evaluate(pred_text(spark, sf), actuals_tbl(spark, sf), "query_id")[0]
+
+
+# -- 2.10 streaming (re-aimed live path) --
+
+def _stream_src(spark, sf, name, df):
+    from .streaming.stream import write_stream_source
+    return write_stream_source(df, scratch_path(spark, name))
+
+
+@reg("stream_clean_pings", CLEAN_SPEC, "SELECT * FROM live", "live")
+def _x1(spark, sf):
+    from .streaming.stream import clean_stream
+    src = _stream_src(spark, sf, "x1_src", _wl(spark, sf).live_raw())
+    return clean_stream(spark, src)
+
+
+@reg("stream_latest_ping", "query_id:s ts:t seq:i latitude:d9 longitude:d9", "SELECT * FROM q_latest",
+     "q_latest")
+def _x2(spark, sf):
+    from .streaming.stream import latest_ping_stream
+    src = _stream_src(spark, sf, "x2_src", _wl(spark, sf).query_raw())
+    return latest_ping_stream(spark, src)
+
+
+@reg("stream_predict", PRED_SPEC, "SELECT * FROM predictions", "predictions")
+def _x3(spark, sf):
+    from .streaming.stream import predict_stream
+    src = _stream_src(spark, sf, "x3_src", _wl(spark, sf).query_raw())
+    return predict_stream(spark, src, routes_tbl(spark, sf), patterns_tbl(spark, sf))
