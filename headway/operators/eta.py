@@ -83,8 +83,8 @@ def predict_rows(state: DataFrame, patterns: DataFrame, query_col: str = "query_
 
 def dedupe_repeated_stops(pred: DataFrame, query_col: str = "query_id") -> DataFrame:
     """A stop that appears twice in a query keeps its later prediction."""
-    best = pred.groupBy(query_col, "stop_id").agg(F.max("i").alias("i"))
-    return pred.join(best, [query_col, "stop_id", "i"])
+    w = Window.partitionBy(query_col, "stop_id")
+    return pred.withColumn("_last", F.max("i").over(w)).where(F.col("i") == F.col("_last")).drop("_last")
 
 
 def latest_per_route(pred: DataFrame, order_col: str = "manifest_pos",
@@ -92,4 +92,6 @@ def latest_per_route(pred: DataFrame, order_col: str = "manifest_pos",
     """Several queries on one route -> the later manifest entry replaces
     the whole route (among queries that produced predictions)."""
     last = pred.groupBy("route_id").agg(F.max(order_col).alias(order_col))
-    return pred.join(last, ["route_id", order_col])
+    # one row per route of the static network: broadcast, so a busy route is
+    # never gathered into one shuffle partition
+    return pred.join(F.broadcast(last), ["route_id", order_col])

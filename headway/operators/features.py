@@ -60,7 +60,7 @@ def movement_patterns(df: DataFrame, keys=TRIP_KEYS, rolling_scope: str = "trip"
     order of first ping, then trip id).
     """
     w = Window.partitionBy(*keys).orderBy("ts", "seq")
-    d = df.withColumn("bearing_change", F.coalesce(F.col("bearing") - F.lead("bearing").over(w), F.lit(0.0)))
+    d = bearing_change(df, keys)
     d = d.withColumns({
         "bearing_change_per_meter": _div_if_pos("bearing_change", "segment_distance"),
         "bearing_change_per_second": _div_if_pos("bearing_change", "segment_duration"),
@@ -72,6 +72,12 @@ def movement_patterns(df: DataFrame, keys=TRIP_KEYS, rolling_scope: str = "trip"
     return direction_consistency(d, keys, rolling_scope)
 
 
+def bearing_change(df: DataFrame, keys=TRIP_KEYS) -> DataFrame:
+    """``bearing - next bearing`` in the trip; 0 at the end (no 360 wrap)."""
+    w = Window.partitionBy(*keys).orderBy("ts", "seq")
+    return df.withColumn("bearing_change", F.coalesce(F.col("bearing") - F.lead("bearing").over(w), F.lit(0.0)))
+
+
 def direction_consistency(df: DataFrame, keys=TRIP_KEYS, scope: str = "trip") -> DataFrame:
     """Rolling mean of |bearing_change| over the last five rows.
 

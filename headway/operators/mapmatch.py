@@ -77,13 +77,17 @@ def step_sql(open_: str, m: str) -> str:
 
 
 def fold_sql(events: str, m0: str) -> str:
-    """Fold from ``m0`` over sorted events, keeping transitions (j, pos, ts)."""
+    """Fold from ``m0`` over sorted events, keeping transitions (j, pos, ts).
+
+    The step is evaluated once per event: a one-element inner ``aggregate``
+    binds it to ``p``.
+    """
     p = step_sql("e.open", "acc.m")
     empty = "CAST(array() AS ARRAY<STRUCT<j: INT, pos: INT, ts: TIMESTAMP>>)"
     return (f"aggregate({events}, named_struct('m', {m0}, 'j', 0, 'tr', {empty}), (acc, e) -> "
-            f"named_struct('m', {p}, 'j', acc.j + 1, 'tr', CASE WHEN acc.j = 0 OR {p} <> acc.m "
-            f"THEN concat(acc.tr, array(named_struct('j', acc.j, 'pos', {p}, 'ts', e.ts))) "
-            f"ELSE acc.tr END))")
+            f"aggregate(array({p}), acc, (a, p) -> named_struct('m', p, 'j', a.j + 1, 'tr', "
+            f"CASE WHEN a.j = 0 OR p <> a.m THEN concat(a.tr, array(named_struct('j', a.j, 'pos', p, 'ts', e.ts))) "
+            f"ELSE a.tr END)))")
 
 
 COMPOSE_SQL = ("aggregate(ev, sequence(0, n - 1), (acc, e) -> "

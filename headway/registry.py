@@ -212,7 +212,7 @@ RAW_SPEC = (RAWK + " vehicle_id:s stop_id:s vehicle_timestamp:s latitude:d9 long
 @reg("src_pings", RAW_SPEC, "SELECT * FROM fx_raw", "fx_raw")
 def _src_pings(spark, sf):
     path = scratch_path(spark, "pings")
-    fx.raw_pings(spark, sf).repartition("date").write.mode("overwrite").partitionBy("date").parquet(path)
+    fx.raw_pings(spark, sf).hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(path)
     return files.read_pings(spark, path)
 
 
@@ -985,3 +985,46 @@ def _x3(spark, sf):
     from .streaming.stream import predict_stream
     src = _stream_src(spark, sf, "x3_src", _wl(spark, sf).query_raw())
     return predict_stream(spark, src, routes_tbl(spark, sf), patterns_tbl(spark, sf))
+
+
+# -- the same operators over the events table (FIXTURES.md B6) --
+
+def _events_as_pings(spark, sf):
+    e = _events(spark, sf)
+    return e.select("event_id", F.col("user_id").cast("string").alias("trip_id"), "ts",
+                    F.col("event_id").alias("seq"), F.col("value").alias("bearing"),
+                    F.to_date("ts").alias("date"), "event_type")
+
+
+@reg("events_bearing_rolling", "event_id:i bearing_change:d6 direction_consistency:d6",
+     """SELECT event_id, bearing_change,
+        CASE WHEN row_number() OVER w >= 5 THEN avg(abs(bearing_change)) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+        END AS direction_consistency
+        FROM (SELECT *, coalesce(value - lead(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 0e0)
+              AS bearing_change FROM events)
+        WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def _ev1(spark, sf):
+    d = feat.bearing_change(_events_as_pings(spark, sf), ["trip_id"])
+    return feat.direction_consistency(d, ["trip_id"])
+
+
+@reg("events_topk_per_day", "date:date route_id:s n:i rank:i",
+     """SELECT * FROM (SELECT date, route_id, n, row_number() OVER (PARTITION BY date ORDER BY n DESC, route_id) AS rank
+        FROM (SELECT CAST(ts AS DATE) AS date, CAST(user_id AS VARCHAR) AS route_id, count(*) AS n FROM events
+              GROUP BY ALL)) WHERE rank <= 5""")
+def _ev2(spark, sf):
+    e = _events_as_pings(spark, sf).withColumnRenamed("trip_id", "route_id")
+    return rts.top_routes(rts.route_volume(e), 5)
+
+
+@reg("events_type_patterns", "current_stop_id:s hour:i day_of_week:i dur_mean:d6 dur_std:d6 dur_count:i "
+     "speed_mean:d6 speed_std:d6 dist_mean:d6",
+     """SELECT event_type AS current_stop_id, hour(ts) AS hour, isodow(ts) - 1 AS day_of_week,
+        avg(value) AS dur_mean, stddev_samp(value) AS dur_std, count(value) AS dur_count, avg(value) AS speed_mean,
+        stddev_samp(value) AS speed_std, avg(value) AS dist_mean FROM events GROUP BY ALL""")
+def _ev3(spark, sf):
+    e = timeparts.time_parts(_events(spark, sf))
+    e = e.select(F.col("event_type").alias("current_stop_id"), "hour", "day_of_week",
+                 F.col("value").alias("segment_duration"), F.col("value").alias("speed"),
+                 F.col("value").alias("segment_distance"))
+    return pat.stop_patterns(e)
