@@ -56,11 +56,11 @@ def route_context(df: DataFrame, pos_col: str = "route_position") -> DataFrame:
         "future_segment_distances": F.expr(FUTURE_DISTS_SQL),
         "distance_remaining_after_next_stop": F.expr(REMAINING_AFTER_SQL),
     })
-    d = d.withColumn("distance_to_next_route_stop",
-                     geo.distance("latitude", "longitude", "_ns.lat", "_ns.lon"))
+    d = d.withColumns({"_ns_lat": F.col("_ns.lat"), "_ns_lon": F.col("_ns.lon")})
+    d = geo.with_distance(d, "latitude", "longitude", "_ns_lat", "_ns_lon", "distance_to_next_route_stop")
     d = d.withColumn("distance_remaining",
                      F.col("distance_to_next_route_stop") + F.col("distance_remaining_after_next_stop"))
-    return d.drop("pos", "_ns")
+    return d.drop("pos", "_ns", "_ns_lat", "_ns_lon")
 
 
 DURATIONS_SQL = ("transform(filter(future_stop_ids, s -> first_arrival[s] IS NOT NULL), "

@@ -45,9 +45,9 @@ def query_state(latest: DataFrame, routes: DataFrame) -> DataFrame:
         "_ns": F.expr("stops[pos + 1]"),
         "future_segment_distances": F.expr("slice(dists, pos + 2, size(dists) - pos - 1)"),
     })
-    q = q.withColumn("distance_to_next_route_stop",
-                     geo.distance("latitude", "longitude", "_ns.lat", "_ns.lon"))
-    return q.drop("pos", "_ns", "ids", "dists", "stops", "n", "_rk", "pzone", "psouth", "px", "py",
+    q = q.withColumns({"_ns_lat": F.col("_ns.lat"), "_ns_lon": F.col("_ns.lon")})
+    q = geo.with_distance(q, "latitude", "longitude", "_ns_lat", "_ns_lon", "distance_to_next_route_stop")
+    return q.drop("pos", "_ns", "_ns_lat", "_ns_lon", "ids", "dists", "stops", "n", "_rk", "pzone", "psouth", "px", "py",
                   "pts", "segs")
 
 

@@ -17,6 +17,7 @@ from ..functions import geo, timeparts
 from .mapmatch import TRIP_KEYS
 from pyspark import StorageLevel
 
+from .quantiles import exact_median
 from .static import broadcast_checked, materialize
 
 # --- fixed values: complexity score weights and thresholds -----------------
@@ -39,7 +40,7 @@ def temporal_features(df: DataFrame, ts: str = "ts") -> DataFrame:
 def segment_metrics(df: DataFrame) -> DataFrame:
     """V1: ``segment_distance`` (UTM metres, zone of the ping) to the next ping
     and ``segment_duration = max(0, next_ts - ts)`` seconds."""
-    d = df.withColumn("segment_distance", geo.distance("latitude", "longitude", "next_lat", "next_lon"))
+    d = geo.with_distance(df, "latitude", "longitude", "next_lat", "next_lon", "segment_distance")
     dur = (F.unix_micros("next_timestamp") - F.unix_micros("ts")) / F.lit(1e6)
     return d.withColumn("segment_duration", F.when(dur < 0, F.lit(0.0)).otherwise(dur))
 
@@ -144,12 +145,14 @@ def route_characteristics(df: DataFrame, route_keys=("date", "route_id")) -> Dat
         F.countDistinct("trip_id").alias("_trips"),
         F.countDistinct("stop_id").alias("_stops"),
         F.avg("speed").alias("avg_speed"),
-        F.median(F.when(dist_m, abs_m)).alias("_med_m"),
         F.avg(F.when(dist_m, abs_m)).alias("_mean_m"),
-        F.median(F.when(dur_m, abs_s)).alias("_med_s"),
         F.avg(F.when(dur_m, abs_s)).alias("_mean_s"),
         F.avg((F.abs("bearing_change") > SHARP_TURN_DEG).cast("double")).alias("_sharp"),
     )
+    # exact medians by histogram refinement (a route never gathered in one task)
+    med_m = exact_median(df.where(dist_m).withColumn("_v", abs_m), rk, "_v", "_med_m")
+    med_s = exact_median(df.where(dur_m).withColumn("_v", abs_s), rk, "_v", "_med_s")
+    agg = agg.join(med_m, rk, "left").join(med_s, rk, "left")
     score = (F.lit(COMPLEXITY_W_SPATIAL) * (F.col("_mean_m") / (F.col("_med_m") + F.lit(MEDIAN_EPS)))
              + F.lit(COMPLEXITY_W_TEMPORAL) * (F.col("_mean_s") / (F.col("_med_s") + F.lit(MEDIAN_EPS)))
              + F.lit(COMPLEXITY_W_SHARP) * F.col("_sharp"))

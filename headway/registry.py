@@ -753,7 +753,7 @@ def _g4(spark, sf):
 @reg("geo_distance", PK + " d:d3",
      f"SELECT *, {geo.distance_sql('latitude', 'longitude', 'next_lat', 'next_lon')} AS d FROM h_ctx", "h_ctx")
 def _g5(spark, sf):
-    return hist_trips(spark, sf).withColumn("d", geo.distance("latitude", "longitude", "next_lat", "next_lon"))
+    return geo.with_distance(hist_trips(spark, sf), "latitude", "longitude", "next_lat", "next_lon", "d")
 
 
 def _proj_pings(spark, sf):
@@ -762,7 +762,7 @@ def _proj_pings(spark, sf):
                                     w.routes())
 
 
-@reg("geo_segment_projection", PK + " t:ad6",
+@reg("geo_segment_projection", PK + " t:ad3",
      """SELECT p.date, p.route_id, p.trip_id, p.seq,
         list(CASE WHEN s.l2 > 0 THEN ((p.px - s.ax) * s.dx + (p.py - s.ay) * s.dy) / s.l2 END ORDER BY s.i) AS t
         FROM h_pxy p JOIN h_zsegs s ON s.route_id = TRY_CAST(p.route_id AS BIGINT) AND s.pzone = p.pzone
@@ -776,7 +776,7 @@ _PERP = ("sqrt(power((px - s.ax) - ((px - s.ax) * s.dx + (py - s.ay) * s.dy) / s
          "power((py - s.ay) - ((px - s.ax) * s.dx + (py - s.ay) * s.dy) / s.l2 * s.dy, 2))")
 
 
-@reg("geo_segment_offset", PK + " perp:ad3 gps_len:ad3",
+@reg("geo_segment_offset", PK + " perp:ad1 gps_len:ad1",
      f"""SELECT p.date, p.route_id, p.trip_id, p.seq,
         list(CASE WHEN s.l2 > 0 THEN {_PERP.replace('px', 'p.px').replace('py', 'p.py')} END ORDER BY s.i) AS perp,
         list(sqrt(power(p.px - s.ax, 2) + power(p.py - s.ay, 2)) ORDER BY s.i) AS gps_len

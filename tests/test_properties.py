@@ -74,3 +74,18 @@ def test_ladder_matches_rules(spark, cells, s, h, d):
     rows = spark.createDataFrame([(s, h, d)], "key_stop string, hour int, day_of_week int")
     got = pat.ladder_speed(rows, p).first()["speed"]
     assert abs(got - ladder_ref(cells, s, h, d)) < 1e-9
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["g1", "g2", "g3"]),
+                          st.one_of(st.floats(-1e6, 1e6, allow_nan=False), st.sampled_from([0.0, 1.0, 2.5]))),
+                min_size=1, max_size=60))
+def test_exact_median_matches_numpy(spark, rows):
+    import numpy as np
+    from headway.operators.quantiles import exact_median
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v", buckets=4).collect()}
+    exp = {g: float(np.median([v for gg, v in rows if gg == g])) for g in {g for g, _ in rows}}
+    assert got.keys() == exp.keys()
+    for g in exp:
+        assert abs(got[g] - exp[g]) <= 1e-9 * max(1.0, abs(exp[g]))
