@@ -108,23 +108,33 @@ def map_match(pings: DataFrame, routes: DataFrame, chunk_seconds: int = CHUNK_SE
     p = attach_route(pings, routes)
     p = with_projection(p, routes)
     p = p.withColumn("open", F.expr(OPEN_SQL))
-    return fold_positions(p, base_cols, chunk_seconds)
+    return fold_positions(p, base_cols, chunk_seconds, routes)
 
 
-def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
-    """The chunked fold over pings carrying ``open``, ``n`` and ``ids``.
+def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUNK_SECONDS,
+                   routes: DataFrame | None = None) -> DataFrame:
+    """The chunked fold over pings carrying ``open`` and ``n``.
 
     ``base_cols`` are the ping columns to keep (must include the trip keys,
     ``ts`` and ``seq``). Adds ``route_position`` and the per-trip
-    ``first_arrival`` map.
+    ``first_arrival`` map. The route's stop ids come from ``routes``,
+    joined per chunk after the shuffle (not carried by every ping), or from
+    an ``ids`` column on the pings when ``routes`` is None.
     """
     p = p.withColumn("bucket", F.expr(f"unix_micros(ts) div {int(chunk_seconds) * 1_000_000}"))
+    if routes is not None:
+        p = p.drop("ids")
     p = p.repartition(*TRIP_KEYS)
     row = F.struct(*[c for c in base_cols if c not in TRIP_KEYS + ["ts", "seq"]]).alias("row")
     ev = F.struct("ts", "seq", "open", row)
-    c1 = (p.groupBy(*TRIP_KEYS, "bucket")
-          .agg(F.sort_array(F.collect_list(ev)).alias("ev"), F.first("n").alias("n"),
-               F.first("ids").alias("ids")))
+    aggs = [F.sort_array(F.collect_list(ev)).alias("ev"), F.first("n").alias("n")]
+    if routes is None:
+        aggs.append(F.first("ids").alias("ids"))
+    c1 = p.groupBy(*TRIP_KEYS, "bucket").agg(*aggs)
+    if routes is not None:
+        r = broadcast_checked(routes.select(F.col("route_id").alias("_rid"), "ids"))
+        c1 = c1.withColumn("_rk", F.expr("try_cast(route_id AS BIGINT)"))
+        c1 = c1.join(r, c1["_rk"] == r["_rid"]).drop("_rk", "_rid")
     trip = Window.partitionBy(*TRIP_KEYS)
     before = trip.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     c1 = c1.withColumn("is_first", F.col("bucket") == F.min("bucket").over(trip))
