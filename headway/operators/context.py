@@ -12,21 +12,38 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from .mapmatch import TRIP_KEYS, attach_route, map_match
+from .mapmatch import CHUNK_KEYS, TRIP_KEYS, attach_route, map_match
 
 
 def trip_window(keys=TRIP_KEYS) -> Window:
     return Window.partitionBy(*keys).orderBy("ts", "seq")
 
 
+def chunked(df: DataFrame) -> bool:
+    """True when rows carry the chunk-boundary columns of the fold."""
+    return "_next_heads" in df.columns
+
+
+def lead_or_carry(df: DataFrame, col: str, keys=TRIP_KEYS) -> F.Column:
+    """The next ping's ``col`` within the trip.
+
+    On chunked rows the window covers one chunk of the trip and the last
+    ping of a chunk reads the first ping after it from ``_next_heads``.
+    """
+    if not chunked(df):
+        return F.lead(col).over(trip_window(keys))
+    w = trip_window(CHUNK_KEYS)
+    return F.when(F.lead("ts").over(w).isNotNull(), F.lead(col).over(w)).otherwise(
+        F.expr(f"try_element_at(_next_heads, 1).{col}"))
+
+
 def next_ping(df: DataFrame, keys=TRIP_KEYS) -> DataFrame:
     """``next_lat, next_lon, next_timestamp`` = next ping of the trip by
     time; the last ping gets its own values."""
-    w = trip_window(keys)
     return df.withColumns({
-        "next_lat": F.coalesce(F.lead("latitude").over(w), F.col("latitude")),
-        "next_lon": F.coalesce(F.lead("longitude").over(w), F.col("longitude")),
-        "next_timestamp": F.coalesce(F.lead("ts").over(w), F.col("ts")),
+        "next_lat": F.coalesce(lead_or_carry(df, "latitude", keys), F.col("latitude")),
+        "next_lon": F.coalesce(lead_or_carry(df, "longitude", keys), F.col("longitude")),
+        "next_timestamp": F.coalesce(lead_or_carry(df, "ts", keys), F.col("ts")),
     })
 
 

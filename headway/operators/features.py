@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, timeparts
-from .mapmatch import TRIP_KEYS
+from .context import chunked, lead_or_carry
+from .mapmatch import CHUNK_KEYS, TRIP_KEYS
 from pyspark import StorageLevel
 
 from .quantiles import exact_median
@@ -60,23 +61,27 @@ def movement_patterns(df: DataFrame, keys=TRIP_KEYS, rolling_scope: str = "trip"
     reference, whose rolling window runs across trips of a route (trips in
     order of first ping, then trip id).
     """
-    w = Window.partitionBy(*keys).orderBy("ts", "seq")
     d = bearing_change(df, keys)
     d = d.withColumns({
         "bearing_change_per_meter": _div_if_pos("bearing_change", "segment_distance"),
         "bearing_change_per_second": _div_if_pos("bearing_change", "segment_duration"),
         "speed": _div_if_pos("segment_distance", "segment_duration"),
     })
+    if chunked(d):
+        w = Window.partitionBy(*CHUNK_KEYS).orderBy("ts", "seq")
+        nxt = F.when(F.lead("ts").over(w).isNotNull(), F.lead("speed").over(w)).otherwise(F.col("_next_speed0"))
+    else:
+        nxt = F.lead("speed").over(Window.partitionBy(*keys).orderBy("ts", "seq"))
     d = d.withColumn("acceleration", F.when(
         F.col("segment_duration") > 0,
-        (F.col("speed") - F.lead("speed").over(w)) / F.col("segment_duration")).otherwise(F.lit(0.0)))
+        (F.col("speed") - nxt) / F.col("segment_duration")).otherwise(F.lit(0.0)))
     return direction_consistency(d, keys, rolling_scope)
 
 
 def bearing_change(df: DataFrame, keys=TRIP_KEYS) -> DataFrame:
     """``bearing - next bearing`` in the trip; 0 at the end (no 360 wrap)."""
-    w = Window.partitionBy(*keys).orderBy("ts", "seq")
-    return df.withColumn("bearing_change", F.coalesce(F.col("bearing") - F.lead("bearing").over(w), F.lit(0.0)))
+    return df.withColumn("bearing_change", F.coalesce(F.col("bearing") - lead_or_carry(df, "bearing", keys),
+                                                      F.lit(0.0)))
 
 
 def direction_consistency(df: DataFrame, keys=TRIP_KEYS, scope: str = "trip") -> DataFrame:
@@ -88,9 +93,22 @@ def direction_consistency(df: DataFrame, keys=TRIP_KEYS, scope: str = "trip") ->
     their missing predecessors from the tails of the preceding trips,
     found by a window over one summary row per trip.
     """
+    abs_bc = F.abs(F.col("bearing_change"))
+    if scope == "trip" and chunked(df):
+        # window over one chunk; the first rows of a chunk complete it with the
+        # |bearing change| tails of the preceding chunks
+        w = Window.partitionBy(*CHUNK_KEYS).orderBy("ts", "seq")
+        roll = w.rowsBetween(-(ROLLING_ROWS - 1), 0)
+        d = df.withColumns({"_roll_sum": F.sum(abs_bc).over(roll), "_roll_n": F.count(abs_bc).over(roll),
+                            "_rn": F.row_number().over(w)})
+        need = f"({ROLLING_ROWS} - _rn)"
+        tail = f"slice(_prev_tails, greatest(size(_prev_tails) - {need} + 1, 1), greatest(least({need}, size(_prev_tails)), 0))"
+        full = (f"CASE WHEN _rows_before + _rn < {ROLLING_ROWS} THEN NULL "
+                f"WHEN _rn >= {ROLLING_ROWS} THEN _roll_sum / _roll_n "
+                f"ELSE (_roll_sum + aggregate({tail}, 0e0, (a, x) -> a + x)) / {ROLLING_ROWS}e0 END")
+        return d.withColumn("direction_consistency", F.expr(full)).drop("_roll_sum", "_roll_n", "_rn")
     w = Window.partitionBy(*keys).orderBy("ts", "seq")
     roll = w.rowsBetween(-(ROLLING_ROWS - 1), 0)
-    abs_bc = F.abs(F.col("bearing_change"))
     d = df.withColumns({
         "_roll_sum": F.sum(abs_bc).over(roll),
         "_roll_n": F.count(abs_bc).over(roll),
@@ -207,7 +225,12 @@ def extract_all(df: DataFrame, rolling_scope: str = "trip", stats_scope: str = "
     # a lost executor recomputes its partitions from lineage)
     d = d.persist(StorageLevel.MEMORY_AND_DISK)
     stats = materialize(route_characteristics(d))
-    return attach_route_characteristics(d, stats, stats_scope, position_col)
+    out = attach_route_characteristics(d, stats, stats_scope, position_col)
+    return out.drop(*CARRY_COLS)
+
+
+# chunk-boundary columns added by the map-matching fold, dropped from the final output
+CARRY_COLS = ["bucket", "_rows_before", "_next_heads", "_prev_tails", "_next_speed0"]
 
 
 def cyclic(x: str, period: int) -> tuple[F.Column, F.Column]:

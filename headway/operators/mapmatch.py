@@ -31,6 +31,7 @@ from ..functions import geo
 from .static import SEGS_SQL, broadcast_checked, stop_zones
 
 TRIP_KEYS = ["date", "route_id", "trip_id"]
+CHUNK_KEYS = TRIP_KEYS + ["bucket"]
 # --- fixed values: chunk length of the parallel fold -----------------------
 CHUNK_SECONDS = 900
 # ---------------------------------------------------------------------------
@@ -111,61 +112,124 @@ def map_match(pings: DataFrame, routes: DataFrame, chunk_seconds: int = CHUNK_SE
     return fold_positions(p, base_cols, chunk_seconds, routes)
 
 
+def _join_back(c1: DataFrame, summary: DataFrame) -> DataFrame:
+    """Attach per-chunk results of a trip-level window to the chunk rows.
+
+    The chunk rows stay where they are (already hash-partitioned by the
+    chunk key); only the narrow summary moves, and it is the hash side.
+    """
+    return c1.join(summary.hint("shuffle_hash"), CHUNK_KEYS)
+
+
 def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUNK_SECONDS,
                    routes: DataFrame | None = None) -> DataFrame:
     """The chunked fold over pings carrying ``open`` and ``n``.
 
     ``base_cols`` are the ping columns to keep (must include the trip keys,
-    ``ts`` and ``seq``). Adds ``route_position`` and the per-trip
-    ``first_arrival`` map. The route's stop ids come from ``routes``,
-    joined per chunk after the shuffle (not carried by every ping), or from
-    an ``ids`` column on the pings when ``routes`` is None.
+    ``ts`` and ``seq``). Adds ``route_position``, ``bucket`` and the
+    per-trip ``first_arrival`` map. The route's stop ids come from
+    ``routes`` (joined per chunk) or from an ``ids`` column on the pings.
+
+    Pings are hash-partitioned once, by (date, route, trip, bucket), so a
+    trip with many pings spreads over many tasks. Only narrow events
+    ``(ts, seq, open[, lat, lon, bearing])`` are gathered per chunk; the
+    fold yields one small row per chunk (transitions, first arrivals,
+    boundary carries) that is hash-joined back to the pings of the same
+    partition. Trip-level facts come from windows over one summary row
+    per chunk:
+
+    * ``_rows_before``: pings of the trip before this chunk;
+    * ``_next_heads``: the first two pings after this chunk;
+    * ``_next_speed0``: speed of the first ping after this chunk;
+    * ``_prev_tails``: |bearing change| of the last (up to) four pings
+      before this chunk, oldest first.
     """
     p = p.withColumn("bucket", F.expr(f"unix_micros(ts) div {int(chunk_seconds) * 1_000_000}"))
     if routes is not None:
         p = p.drop("ids")
-    p = p.repartition(*TRIP_KEYS)
-    row = F.struct(*[c for c in base_cols if c not in TRIP_KEYS + ["ts", "seq"]]).alias("row")
-    ev = F.struct("ts", "seq", "open", row)
+    p = p.repartition(*CHUNK_KEYS)
+    carry = all(c in base_cols for c in ("latitude", "longitude", "bearing"))
+    ev = F.struct("ts", "seq", "open", *(["latitude", "longitude", "bearing"] if carry else []))
     aggs = [F.sort_array(F.collect_list(ev)).alias("ev"), F.first("n").alias("n")]
     if routes is None:
         aggs.append(F.first("ids").alias("ids"))
-    c1 = p.groupBy(*TRIP_KEYS, "bucket").agg(*aggs)
+    c1 = p.groupBy(*CHUNK_KEYS).agg(*aggs)
     if routes is not None:
         r = broadcast_checked(routes.select(F.col("route_id").alias("_rid"), "ids"))
         c1 = c1.withColumn("_rk", F.expr("try_cast(route_id AS BIGINT)"))
         c1 = c1.join(r, c1["_rk"] == r["_rid"]).drop("_rk", "_rid")
     trip = Window.partitionBy(*TRIP_KEYS)
-    before = trip.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    c1 = c1.withColumn("is_first", F.col("bucket") == F.min("bucket").over(trip))
+    ob = trip.orderBy("bucket")
+    before = ob.rowsBetween(Window.unboundedPreceding, -1)
+
+    # phase A: chunk order facts and boundary carries
+    sa = c1.select(*CHUNK_KEYS, F.size("ev").alias("_cnt"), *([
+        F.expr("transform(slice(ev, 1, 2), e -> named_struct('ts', e.ts, 'latitude', e.latitude, "
+               "'longitude', e.longitude, 'bearing', e.bearing))").alias("_head2"),
+        F.expr("transform(slice(ev, greatest(-4, -size(ev)), least(4, size(ev))), e -> e.bearing)")
+        .alias("_tail4")] if carry else []))
+    sa = sa.withColumns({
+        "is_first": F.col("bucket") == F.min("bucket").over(trip),
+        "_rows_before": F.coalesce(F.sum("_cnt").over(before), F.lit(0)),
+    })
+    keep_a = ["is_first", "_rows_before"]
+    if carry:
+        sa = sa.withColumn("_nh", F.collect_list("_head2").over(ob.rowsBetween(1, 2)))
+        sa = sa.withColumn("_next_heads", F.expr("slice(flatten(_nh), 1, 2)"))
+        # |bearing change| of this chunk's last rows; the last one looks at the
+        # first bearing after the chunk (0 at the end of the trip)
+        sa = sa.withColumn("_tail_abs", F.expr(
+            "transform(_tail4, (b, i) -> abs(coalesce(b - CASE WHEN i + 1 < size(_tail4) THEN _tail4[i + 1] "
+            "ELSE try_element_at(_next_heads, 1).bearing END, 0e0)))"))
+        sa = sa.withColumn("_pt", F.flatten(F.collect_list("_tail_abs").over(ob.rowsBetween(-4, -1))))
+        sa = sa.withColumn("_prev_tails", F.expr(
+            "CASE WHEN size(_pt) = 0 THEN _pt ELSE slice(_pt, -least(4, size(_pt)), least(4, size(_pt))) END"))
+        # speed of the first ping after the chunk: its segment to the ping after it
+        sa = sa.withColumns({
+            "_h0lat": F.expr("try_element_at(_next_heads, 1).latitude"),
+            "_h0lon": F.expr("try_element_at(_next_heads, 1).longitude"),
+            "_h1lat": F.expr("coalesce(try_element_at(_next_heads, 2).latitude, try_element_at(_next_heads, 1).latitude)"),
+            "_h1lon": F.expr("coalesce(try_element_at(_next_heads, 2).longitude, try_element_at(_next_heads, 1).longitude)"),
+            "_hdur": F.expr("(unix_micros(coalesce(try_element_at(_next_heads, 2).ts, try_element_at(_next_heads, 1).ts)) "
+                            "- unix_micros(try_element_at(_next_heads, 1).ts)) / 1e6"),
+        })
+        sa = geo.with_distance(sa, "_h0lat", "_h0lon", "_h1lat", "_h1lon", "_hdist")
+        sa = sa.withColumn("_next_speed0", F.expr("CASE WHEN _hdur > 0 THEN _hdist / _hdur ELSE 0e0 END"))
+        keep_a += ["_next_heads", "_prev_tails", "_next_speed0"]
+    c1 = _join_back(c1, sa.select(*CHUNK_KEYS, *keep_a))
+
+    # phase B: chunk maps -> entry state of every chunk
     c1 = c1.withColumns({
         "comp": F.expr(f"CASE WHEN NOT is_first THEN {COMPOSE_SQL} END"),
         "tr0": F.expr(f"CASE WHEN is_first THEN {fold_sql('ev', '0')} END"),
     })
-    # entry state of each chunk: scan the maps of the trip's earlier chunks
-    # (a window over the trip's few chunk rows; no join, no extra shuffle)
-    prev = F.collect_list(F.struct("bucket", "is_first", "comp", F.col("tr0.m").alias("exit0"))).over(before)
-    c3 = c1.withColumn("_prev", F.array_sort(prev))
-    c3 = c3.withColumn("m0", F.expr(
-        "aggregate(_prev, 0, (m, c) -> CASE WHEN c.is_first THEN c.exit0 ELSE c.comp[m] END)"))
-    c3 = c3.drop("_prev", "comp")
+    sb = c1.select(*CHUNK_KEYS, F.struct("bucket", "is_first", "comp", F.col("tr0.m").alias("exit0")).alias("_c"))
+    sb = sb.withColumn("_prev", F.array_sort(F.collect_list("_c").over(before)))
+    sb = sb.select(*CHUNK_KEYS, F.expr(
+        "aggregate(_prev, 0, (m, c) -> CASE WHEN c.is_first THEN c.exit0 ELSE c.comp[m] END)").alias("m0"))
+    c3 = _join_back(c1.drop("comp"), sb)
     c3 = c3.withColumn("tr", F.expr(f"CASE WHEN is_first THEN tr0.tr ELSE {fold_sql('ev', 'm0')}.tr END"))
-    # first arrival at each stop id over the whole trip (J5 / A10): positions
-    # are monotone, so first arrivals are fold transitions; a window over the
-    # trip's few chunk rows merges them (sorted, first per stop id kept).
-    arr = F.expr("transform(tr, t -> named_struct('stop_id', ids[t.pos], 'ts', t.ts))")
-    c3 = c3.withColumn("_arr", F.collect_list(arr).over(trip))
-    c3 = c3.withColumn("_arr", F.expr("array_sort(flatten(_arr))"))
+    # transitions keyed by (ts, seq) of the event where they happen
+    c3 = c3.withColumn("tr", F.expr(
+        "transform(tr, t -> named_struct('k', named_struct('ts', ev[t.j].ts, 'seq', ev[t.j].seq), "
+        "'pos', t.pos, 'ts', t.ts))"))
+
+    # phase C: first arrival at each stop id over the whole trip.
+    # Positions are monotone, so first arrivals are fold transitions.
+    c3 = c3.select(*CHUNK_KEYS, "tr", *keep_a[1:], F.expr(
+        "transform(tr, t -> named_struct('stop_id', ids[t.pos], 'ts', t.ts))").alias("_a"))
+    c3 = c3.withColumn("_all", F.collect_list("_a").over(trip))
+    c3 = c3.withColumn("_arr", F.expr("array_sort(flatten(_all))"))
     c3 = c3.withColumn("first_arrival", F.expr(
         "map_from_entries(transform(filter(_arr, (x, i) -> i = 0 OR _arr[i - 1].stop_id <> x.stop_id), "
-        "x -> struct(x.stop_id, x.ts)))"))
-    out = c3.select(*TRIP_KEYS, "n", "tr", "first_arrival", F.posexplode("ev").alias("j", "e"))
+        "x -> struct(x.stop_id, x.ts)))")).drop("_a", "_all", "_arr")
+
+    # back to the pings of the same partition: one small row per chunk
+    out = p.join(c3.hint("shuffle_hash"), CHUNK_KEYS)
     out = out.withColumn("route_position", F.expr(
-        "element_at(tr, size(filter(tr, t -> t.j <= j))).pos"))
-    keep = [c for c in base_cols if c not in TRIP_KEYS + ["ts", "seq"]]
-    return out.select(*TRIP_KEYS, F.col("e.ts").alias("ts"), F.col("e.seq").alias("seq"),
-                      *[F.col(f"e.row.{c}").alias(c) for c in keep], "n", "route_position",
-                      "first_arrival")
+        "element_at(tr, size(filter(tr, t -> t.k <= named_struct('ts', ts, 'seq', seq)))).pos"))
+    keep = [c for c in base_cols if c not in CHUNK_KEYS]
+    return out.select(*TRIP_KEYS, *keep, "n", "route_position", "first_arrival", "bucket", *keep_a[1:])
 
 
 # ---- stateless locate for one query ping (inference, G6-G8) ---------------
