@@ -24,6 +24,7 @@ reuses that partitioning.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -158,6 +159,9 @@ def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUN
         r = broadcast_checked(routes.select(F.col("route_id").alias("_rid"), "ids"))
         c1 = c1.withColumn("_rk", F.expr("try_cast(route_id AS BIGINT)"))
         c1 = c1.join(r, c1["_rk"] == r["_rid"]).drop("_rk", "_rid")
+    # the chunk table feeds three summaries and the fold: keep it on the
+    # executors (spilling to disk) instead of re-aggregating it per branch
+    c1 = c1.persist(StorageLevel.MEMORY_AND_DISK)
     trip = Window.partitionBy(*TRIP_KEYS)
     ob = trip.orderBy("bucket")
     before = ob.rowsBetween(Window.unboundedPreceding, -1)
