@@ -148,7 +148,9 @@ def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUN
     p = p.withColumn("bucket", F.expr(f"unix_micros(ts) div {int(chunk_seconds) * 1_000_000}"))
     if routes is not None:
         p = p.drop("ids")
-    p = p.repartition(*CHUNK_KEYS)
+    # the shuffled pings are read twice (chunk events, and the final join of the
+    # per-chunk results): keep them on the executors, spilling to disk
+    p = p.repartition(*CHUNK_KEYS).persist(StorageLevel.MEMORY_AND_DISK)
     carry = all(c in base_cols for c in ("latitude", "longitude", "bearing"))
     ev = F.struct("ts", "seq", "open", *(["latitude", "longitude", "bearing"] if carry else []))
     aggs = [F.sort_array(F.collect_list(ev)).alias("ev"), F.first("n").alias("n")]
