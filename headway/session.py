@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -38,30 +40,44 @@ def configure(spark: SparkSession) -> SparkSession:
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers: its sources go to the
+    executors once per application, through Spark's own file distribution."""
+    sc = spark.sparkContext
+    if getattr(sc, "_headway_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    zipped = Path(tempfile.mkdtemp(prefix="headway-src-")) / "headway_src.zip"
+    with zipfile.ZipFile(zipped, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(zipped))
+    sc._headway_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and is only read here. When
-    it is unset (tests, local runs) a fresh local folder is created.
+    On a cluster the deployment sets it and it is only read here; unset, that
+    is an error, because executors could not see a folder of the driver's.
+    Only a ``local`` master (tests) gets a fresh temporary folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="headway-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    sub = tempfile.mktemp(prefix=f"{name}-", dir="")
-    if "://" in base:
-        return base.rstrip("/") + "/" + sub
-    os.makedirs(base, exist_ok=True)
-    return os.path.join(base, sub)
+    """A fresh sub-folder (not yet made) of the shared folder, for a written table."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
