@@ -20,6 +20,7 @@ import functools
 import heapq
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -117,29 +118,40 @@ class Distinct(NamedTuple):
 
 
 def distinct_words(texts: list[str | None]) -> Distinct:
-    c = textops.codes(texts)
-    start = pre_tokens(c)
-    first = np.searchsorted(start, c.bounds).astype(np.int64)
-    if not len(start):
-        return Distinct(pa.array([], pa.large_binary()), np.zeros(0, dtype=U64), start, first)
-    end = np.append(start[1:], len(c.cp))
-    h = textops.span_hashes(c.cp, start, end)
+    hashes, checks, counts, tokens = [], [], [np.zeros(1, dtype=np.int64)], []
+    at = 0
+    while at < len(texts):      # hashed in slices, so that memory is bounded by these
+        stop, chars = at, 0
+        while stop < len(texts) and (stop == at or chars + len(texts[stop] or "") <= textops.SLICE_CHARS):
+            chars += len(texts[stop] or "")
+            stop += 1
+        c = textops.codes(texts[at:stop])
+        start = pre_tokens(c)
+        counts.append(np.diff(np.searchsorted(start, c.bounds)))
+        if len(start):
+            end = np.append(start[1:], len(c.cp))
+            hashes.append(textops.span_hashes(c.cp, start, end))
+            checks.append(textops.span_hashes(c.cp, start, end, textops.BASE_2))
+            place = np.zeros(len(c.cp) + 1, dtype=np.int32 if len(c.cp) < 1 << 29 else np.int64)
+            np.cumsum(1 + (c.cp > 0x7F) + (c.cp > 0x7FF) + (c.cp > 0xFFFF).view(np.uint8), out=place[1:])
+            raw = c.cp.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+            offsets = np.append(place[start], place[-1]).astype(np.int64)
+            tokens.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)]))
+        at = stop
+    first = np.cumsum(np.concatenate(counts))
+    if not hashes:
+        return Distinct(pa.array([], pa.large_binary()), np.zeros(0, dtype=U64), np.zeros(0, dtype=np.int64), first)
+    h, check = np.concatenate(hashes), np.concatenate(checks)
     number, _ = pd.factorize(h)
     rep = np.full(number.max() + 1, -1)
     rep[number[::-1]] = np.arange(len(number))[::-1]
-    check = textops.span_hashes(c.cp, start, end, textops.BASE_2)
     if not (check == check[rep][number]).all():   # different words of one hash: tell them apart by the second
         _, rep, number = np.unique(np.stack([h, check], axis=1), axis=0, return_index=True, return_inverse=True)
     order = np.lexsort((check[rep], h[rep]))
     place = np.empty(len(order), dtype=np.int64)
     place[order] = np.arange(len(order))
     rep = rep[order]
-    at = np.zeros(len(c.cp) + 1, dtype=np.int64)
-    np.cumsum(1 + (c.cp > 0x7F) + (c.cp > 0x7FF) + (c.cp > 0xFFFF), out=at[1:])
-    raw = c.cp.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
-    offsets = np.append(at[start], at[-1])
-    tokens = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)])
-    return Distinct(tokens.take(pa.array(rep)), h[rep], place[number], first)
+    return Distinct(pa.chunked_array(tokens).take(pa.array(rep)).combine_chunks(), h[rep], place[number], first)
 
 
 # ---- merges -------------------------------------------------------------------------
@@ -183,9 +195,9 @@ WORDS = "bucket long, portion long, words binary"
 IDS = "bucket long, portion long, ids binary"
 
 
-def _ipc(batch: pa.RecordBatch, codec: str | None = "zstd") -> bytes:
+def _ipc(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=codec)) as w:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as w:
         w.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -194,6 +206,30 @@ def _read(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all()
 
 
+ZSTD = pa.Codec("zstd", 3)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """32-bit numbers by byte planes: the high ones are mostly zero."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(raw: bytes, n: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8, count=4 * n).reshape(4, n).T).view("<u4").ravel()
+
+
+def pack_lists(sizes: np.ndarray, body: bytes) -> bytes:
+    """Sizes of lists and their content end to end, compressed."""
+    raw = _planes(sizes) + body
+    return np.array([len(sizes), len(raw)], dtype="<u4").tobytes() + ZSTD.compress(raw, asbytes=True)
+
+
+def unpack_lists(blob: bytes) -> tuple[np.ndarray, bytes]:
+    n, size = np.frombuffer(blob, dtype="<u4", count=2).tolist()
+    raw = ZSTD.decompress(blob[8:], size, asbytes=True)
+    return _numbers(raw, n).astype(np.int64), raw[4 * n:]
+
+
 def pack(df: DataFrame, column: str, chars: int = PORTION_CHARS) -> DataFrame:
     """Rows of about ``chars`` characters of text together, as (portion, rows).
     The portion's key is a hash of its content, the same however often and
@@ -220,7 +256,7 @@ def _cuts(hashes: np.ndarray, shift: np.uint64) -> tuple[np.ndarray, np.ndarray,
 
 
 def encode(df: DataFrame, ranks: dict[bytes, int], column: str = "text", out: str = "ids",
-           partitions: int | None = None, buckets: int = 1024) -> DataFrame:
+           buckets: int | None = None) -> DataFrame:
     """Adds ``out`` (array<int>): the token ids of the whole text.
 
     Null and empty texts get an empty array; repeated rows stay and are
@@ -231,7 +267,8 @@ def encode(df: DataFrame, ranks: dict[bytes, int], column: str = "text", out: st
     of tasks of the cluster.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 4 * n
     table = spark.sparkContext.broadcast(ranks)   # a fixed vocabulary
     docs = df.select(*[F.col(f"`{c}`") for c in df.columns if c != out])
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
@@ -246,7 +283,9 @@ def encode(df: DataFrame, ranks: dict[bytes, int], column: str = "text", out: st
                 if not len(d.words):
                     continue
                 b, start, end = _cuts(d.hashes, shift)
-                blobs = [_ipc(pa.record_batch([d.words.slice(i, j - i)], names=["w"])) for i, j in zip(start, end)]
+                off = np.frombuffer(d.words.buffers()[1], dtype=np.int64)[:len(d.words) + 1]
+                body = d.words.buffers()[2].to_pybytes()
+                blobs = [pack_lists(np.diff(off[i:j + 1]), body[off[i]:off[j]]) for i, j in zip(start, end)]
                 yield pa.record_batch([pa.array(b), pa.array([portion] * len(b), pa.int64()), pa.array(blobs, pa.binary())],
                                       names=["bucket", "portion", "words"])
 
@@ -255,13 +294,18 @@ def encode(df: DataFrame, ranks: dict[bytes, int], column: str = "text", out: st
         for batch in batches:
             out_blobs = []
             for blob in batch.column(2).to_pylist():
-                got = []
-                for w in _read(blob).column(0).to_pylist():
+                size, body = unpack_lists(blob)
+                end = np.cumsum(size).tolist()
+                got, at = [], 0
+                for e in end:
+                    w = body[at:e]
+                    at = e
                     x = known.get(w)
                     if x is None:
                         x = known[w] = merge(w, r)
                     got.append(x)
-                out_blobs.append(_ipc(pa.record_batch([pa.array(got, pa.list_(pa.int32()))], names=["i"])))
+                flat = np.fromiter(chain.from_iterable(got), dtype=np.uint32)
+                out_blobs.append(pack_lists(np.fromiter(map(len, got), dtype=np.uint32, count=len(got)), _planes(flat)))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out_blobs, pa.binary())],
                                   names=["bucket", "portion", "ids"])
 
@@ -273,14 +317,16 @@ def encode(df: DataFrame, ranks: dict[bytes, int], column: str = "text", out: st
             d = distinct_words(rows.column(column).to_pylist())
             ids, bounds = np.zeros(0, dtype=np.int32), np.zeros(rows.num_rows + 1, dtype=np.int64)
             if len(d.words):
-                lists = pa.concat_arrays([_read(by_bucket[b]).column(0).combine_chunks() for b in _cuts(d.hashes, shift)[0].tolist()])
-                if len(lists) != len(d.words):
+                lists = [unpack_lists(by_bucket[b]) for b in _cuts(d.hashes, shift)[0].tolist()]
+                each = np.concatenate([s for s, _ in lists])
+                if len(each) != len(d.words):
                     raise RuntimeError("a portion's words differ from those that were encoded")
-                off, flat = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
-                size = (off[1:] - off[:-1])[d.number]
+                flat = np.concatenate([_numbers(x, len(x) // 4) for _, x in lists])
+                off = np.cumsum(each) - each
+                size = each[d.number]
                 total = np.zeros(len(size) + 1, dtype=np.int64)
                 np.cumsum(size, out=total[1:])
-                ids = flat[np.repeat(off[:-1][d.number] - total[:-1], size) + np.arange(total[-1])]
+                ids = flat[np.repeat(off[d.number] - total[:-1], size) + np.arange(total[-1])]
                 bounds = total[d.first]
             col = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
             cols = [rows.column(f.name).combine_chunks() for f in arrow if f.name != out]

@@ -6,6 +6,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -84,13 +85,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = table.value
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for batch in batches:
-            ids = batch.column(1)
-            flat, off = ids.values.to_numpy().tolist(), ids.offsets.to_numpy()
-            lists = [flat[a:b] for a, b in zip(off, off[1:])]
-            yield pa.record_batch([
-                batch.column(0), pa.array([len(x) for x in lists], pa.int64()),
-                pa.array([sha(t.decimal(x).encode()) for x in lists], pa.string()), pa.array([sha(t.decode(x)) for x in lists], pa.string()),
-            ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            flat, off = batch.column(1).values.to_numpy(), batch.column(1).offsets.to_numpy()
+            each = [(sha(t.decimal(x).encode()), sha(t.decode(x))) for x in (flat[a:b].tolist() for a, b in zip(off, off[1:]))]
+            yield pa.record_batch([batch.column(0), pa.array(np.diff(off).astype(np.int64)), pa.array([x for x, _ in each], pa.string()),
+                                   pa.array([x for _, x in each], pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return encoded.mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

@@ -21,7 +21,7 @@ U64 = np.uint64
 BASE_1, BASE_2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 MIX_1, MIX_2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 #: Code points of text handled at once by a task.
-SLICE_CHARS = 1 << 21
+SLICE_CHARS = 1 << 20
 SLICE_ROWS = 1 << 15
 N_CODES = 0x110000
 
@@ -67,7 +67,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(1 << 21, 1 << int(n).bit_length())
+    size = max(1 << 20, 1 << int(n).bit_length())
     p, q = _powers(base, size)
     return p[:n], q[:n]
 
