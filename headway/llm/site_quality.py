@@ -81,8 +81,9 @@ def _expand(x: np.ndarray) -> np.ndarray:
     return np.concatenate([x, x * x - 1], axis=1)
 
 
-def fit(texts: list[str], labels: np.ndarray, prior: float) -> Classifier:
-    x, y = measures(texts), np.asarray(labels, dtype=float)
+def fit(measured: np.ndarray, labels: np.ndarray, prior: float) -> Classifier:
+    """Logistic regression on the measures (rows x measures) of a sample."""
+    x, y = np.asarray(measured, dtype=float), np.asarray(labels, dtype=float)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     z = _expand((x - mean) / scale)
     z1 = np.concatenate([z, np.ones((len(z), 1))], axis=1)
@@ -105,21 +106,30 @@ def predict(m: Classifier, texts: list[str | None]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -12, 12)))
 
 
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
+def _measures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for texts in batches:
+        batch = pa.record_batch([texts], names=["t"])
+        got = [measures(s.column(0).to_pylist()) for s in textops.slices(batch, "t")]
+        yield pa.array([r for m in got for r in m.tolist()], pa.list_(pa.float64()))
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", sample: int = SAMPLE_ROWS) -> Classifier | None:
     """Fits on at most ``sample`` labelled rows of each label, the first by a
     hash of doc_id (several labels of an id count as their smallest, several
-    texts as the first); the prior comes from all labelled rows.  None where
+    texts as the one of the smallest measures); only their measures come to
+    the driver.  The prior comes from all labelled rows.  None where
     only one label, or none, is there."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
     prior = known.agg(F.avg("label")).first()[0]
     by_hash = F.xxhash64(F.lit(23), F.col("doc_id"))
     ids = [known.where(F.col("label") == v).orderBy(by_hash, "doc_id").limit(sample) for v in (0, 1)]
     rows = (docs.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id")   # 2 x sample rows
-            .select("doc_id", "text", "label").toPandas())
-    rows = rows.assign(text=rows.text.fillna("")).sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
-    if rows.label.nunique() < 2:
+            .select("doc_id", "label", _measures("text").alias("x")).groupBy("doc_id").agg(F.min("label").alias("label"), F.min("x").alias("x")).collect())
+    rows = sorted(rows, key=lambda r: r["doc_id"])
+    if len({r["label"] for r in rows}) < 2:
         return None
-    return fit(rows.text.tolist(), rows.label.to_numpy(), float(prior))
+    return fit(np.array([r["x"] for r in rows]), np.array([r["label"] for r in rows]), float(prior))
 
 
 def evidence(docs: DataFrame, model: Classifier, text: str = "text", out: str = "evidence") -> DataFrame:
