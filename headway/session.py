@@ -17,6 +17,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # rows of whole documents go to Python workers: few at a time bound the
+    # Arrow buffers of both sides
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
 }
 
 
