@@ -1,6 +1,6 @@
 """Byte-level BPE: global distinct-word shuffle, and decoding.
 
-1. Documents are packed into portions of about two million characters (one
+1. Documents are packed into portions of about two megabytes (one
    row: the portion's rows as a compressed Arrow batch, under a key made of
    its content) and dealt by that key.
 2. Every portion is split into pre-tokens with their positions; its distinct
@@ -24,7 +24,6 @@ from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +34,7 @@ from . import textops
 from .textops import U64
 
 #: Characters of text in one portion (one longer text is a portion of its own).
-PORTION_CHARS = 1 << 22
+PORTION_CHARS = 1 << 21
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: White space as the pattern's \s has it (Unicode White_Space). Fixed values.
 WHITE_SPACE = (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -142,14 +141,12 @@ def distinct_words(texts: list[str | None]) -> Distinct:
     if not hashes:
         return Distinct(pa.array([], pa.large_binary()), np.zeros(0, dtype=U64), np.zeros(0, dtype=np.int64), first)
     h, check = np.concatenate(hashes), np.concatenate(checks)
-    number, _ = pd.factorize(h)
-    rep = np.full(number.max() + 1, -1)
-    rep[number[::-1]] = np.arange(len(number))[::-1]
+    number, rep = textops.numbered(h)
     if not (check == check[rep][number]).all():   # different words of one hash: tell them apart by the second
         _, rep, number = np.unique(np.stack([h, check], axis=1), axis=0, return_index=True, return_inverse=True)
     order = np.lexsort((check[rep], h[rep]))
-    place = np.empty(len(order), dtype=np.int64)
-    place[order] = np.arange(len(order))
+    place = np.empty(len(order), dtype=np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
     rep = rep[order]
     return Distinct(pa.chunked_array(tokens).take(pa.array(rep)).combine_chunks(), h[rep], place[number], first)
 
@@ -326,7 +323,11 @@ def encode(df: DataFrame, ranks: dict[bytes, int], column: str = "text", out: st
                 size = each[d.number]
                 total = np.zeros(len(size) + 1, dtype=np.int64)
                 np.cumsum(size, out=total[1:])
-                ids = flat[np.repeat(off[d.number] - total[:-1], size) + np.arange(total[-1])]
+                ids = np.empty(total[-1], dtype=np.int32)
+                for i in range(0, len(size), 1 << 16):      # pre-tokens at a time
+                    j = min(i + (1 << 16), len(size))
+                    k = size[i:j]
+                    ids[total[i]:total[j]] = flat[np.repeat(off[d.number[i:j]] - total[i:j], k) + np.arange(total[i], total[j])]
                 bounds = total[d.first]
             col = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
             cols = [rows.column(f.name).combine_chunks() for f in arrow if f.name != out]
@@ -372,6 +373,6 @@ def decode(df: DataFrame, ranks: dict[bytes, int], column: str = "ids", out: str
     @F.arrow_udf(T.BinaryType())
     def to_bytes(ids: pa.Array) -> pa.Array:
         t = table.value
-        return pa.array([None if x is None else t.decode(x) for x in ids.to_pylist()], pa.binary())
+        return pa.array([t.decode(x.as_py()) if x.is_valid else None for x in ids], pa.binary())
 
     return df.withColumn(out, to_bytes(F.col(f"`{column}`")))

@@ -18,7 +18,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -286,11 +285,12 @@ def overlaps(tokens: np.ndarray, bounds: np.ndarray, width: int = 8192) -> np.nd
     """Sizes of the intersections of all pairs of the sets (n x n)."""
     n = len(bounds) - 1
     owner = np.repeat(np.arange(n), np.diff(bounds))
-    number, _ = pd.factorize(tokens)
+    number, _ = textops.numbered(tokens)
     shared = np.bincount(number)[number] > 1 if len(number) else np.zeros(0, dtype=bool)
-    number, _ = pd.factorize(number[shared])
+    number, _ = textops.numbered(number[shared])
     owner = owner[shared]
     out = np.zeros((n, n), dtype=np.float64)
+    width = min(width, int(number.max()) + 1 if len(number) else 1)
     for i in range(0, (number.max() + 1) if len(number) else 0, width):
         here = (number >= i) & (number < i + width)
         m = np.zeros((n, width), dtype=np.float32)

@@ -21,8 +21,8 @@ U64 = np.uint64
 BASE_1, BASE_2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 MIX_1, MIX_2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 #: Code points of text handled at once by a task.
-SLICE_CHARS = 1 << 20
-SLICE_ROWS = 1 << 15
+SLICE_CHARS = 240_000
+SLICE_ROWS = 1 << 13
 N_CODES = 0x110000
 
 
@@ -67,11 +67,20 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(1 << 20, 1 << int(n).bit_length())
+    size = max(1 << 18, 1 << int(n).bit_length())
     p, q = _powers(base, size)
     return p[:n], q[:n]
 
 
+def numbered(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each value among the distinct ones, and the place of the
+    first occurrence of each of these."""
+    number = pa.array(h).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    rep = np.zeros(int(number.max()) + 1 if len(number) else 0, dtype=np.int32)
+    rep[number[::-1]] = np.arange(len(number), dtype=np.int32)[::-1]
+    return number, rep
+
+
 class Codes(NamedTuple):
     cp: np.ndarray      # uint32 code points of all texts, end to end
     bounds: np.ndarray  # int64, text i is cp[bounds[i]:bounds[i + 1]]

@@ -13,7 +13,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +27,7 @@ FILTERS = 8          # of each width
 DIM = 8
 ROWS = 1 << 16       # of the hashed embedding; row 0 is "no feature"
 #: Labelled rows that the fit may use: of label 1 and of label 0.
-SAMPLE_ROWS = (2500, 4000)
+SAMPLE_ROWS = (1500, 3000)
 #: Longest sampled text in characters; only the fit has such a bound.
 SAMPLE_CHARS = 200_000
 SCORE_BINS = 1000
@@ -45,10 +44,8 @@ class Model(NamedTuple):
 def features(w: textops.Words) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of the distinct words (n x 4 embedding rows) and every
     word's number among them."""
-    number, _ = pd.factorize(textops.word_hashes(w))
-    n = number.max() + 1 if len(number) else 0
-    rep = np.zeros(n, dtype=np.int64)
-    rep[number[::-1]] = np.arange(len(number))[::-1]
+    number, rep = textops.numbered(textops.word_hashes(w))
+    n = len(rep)
     start, end = w.start[rep], w.end[rep]
     cols = []
     for k in (0, *PREFIXES):
