@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 # --- fixed values: id columns and accepted trip statuses --------------------
 ID_COLUMNS = ("route_id", "trip_id", "vehicle_id", "stop_id")
+MIN_EPOCH, MAX_EPOCH = -9_223_372_036, 9_223_372_036
 ACCEPTED_STATUS = ('"ADDED"', '"SCHEDULED"', "ADDED", "SCHEDULED")
 # ---------------------------------------------------------------------------
 
@@ -25,12 +26,14 @@ def strip_quotes(df: DataFrame, cols=ID_COLUMNS) -> DataFrame:
 def epoch_to_ts(df: DataFrame, col: str = "vehicle_timestamp", out: str = "ts") -> DataFrame:
     """Quoted / numeric / junk epoch seconds -> DOUBLE seconds and TIMESTAMP.
 
-    Unparsable values become NULL (``try_cast``); ANSI ``cast`` would raise.
+    Unparsable values, NaN and times beyond 1677..2262 (milliseconds taken for
+    seconds) become NULL (``try_cast``); ANSI ``cast`` would raise.
     """
     if col not in df.columns:
         return df
     secs = F.expr(f"try_cast(translate(CAST({col} AS STRING), '\"', '') AS DOUBLE)")
-    secs = F.when(F.isnan(secs), None).otherwise(secs)
+    # outside of what a nanosecond clock holds (1677-09-21 .. 2262-04-11): unparsable
+    secs = F.when(secs.between(MIN_EPOCH, MAX_EPOCH), secs)
     df = df.withColumn(col, secs)
     return df.withColumn(out, F.expr(f"timestamp_micros(try_cast(round({col} * 1e6) AS BIGINT))"))
 

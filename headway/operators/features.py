@@ -1,15 +1,13 @@
 """Feature operators: calendar (F1-F3), movement (V1-V4, W3-W5), route
-statistics (A4, A5) broadcast back to pings (J7), and the full extract (V5).
+statistics (A4, A5) joined back to pings (J7), and the full extract (V5).
 
-Trip windows run on data already partitioned by (date, route, trip).
-Route statistics are one hash aggregate per (date, route), broadcast back
-after a size check.
+Trip windows run on data already partitioned by (date, route, trip, chunk).
+Route statistics are one hash aggregate per (date, route), stored and joined
+back; the planner broadcasts them while their bytes allow it.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,8 +16,8 @@ from .context import chunked, lead_or_carry
 from .mapmatch import CHUNK_KEYS, TRIP_KEYS
 from pyspark import StorageLevel
 
-from .quantiles import exact_median
-from .static import broadcast_checked, materialize
+from .quantiles import exact_medians
+from .static import materialize
 
 # --- fixed values: complexity score weights and thresholds -----------------
 COMPLEXITY_W_SPATIAL = 0.4
@@ -167,10 +165,9 @@ def route_characteristics(df: DataFrame, route_keys=("date", "route_id")) -> Dat
         F.avg(F.when(dur_m, abs_s)).alias("_mean_s"),
         F.avg((F.abs("bearing_change") > SHARP_TURN_DEG).cast("double")).alias("_sharp"),
     )
-    # exact medians by histogram refinement (a route never gathered in one task)
-    med_m = exact_median(df.where(dist_m).withColumn("_v", abs_m), rk, "_v", "_med_m")
-    med_s = exact_median(df.where(dur_m).withColumn("_v", abs_s), rk, "_v", "_med_s")
-    agg = agg.join(med_m, rk, "left").join(med_s, rk, "left")
+    # exact medians of both measures together (a route never gathered in one task)
+    meds = exact_medians(df, rk, {"_med_m": F.when(dist_m, abs_m), "_med_s": F.when(dur_m, abs_s)})
+    agg = agg.join(meds, rk, "left")
     score = (F.lit(COMPLEXITY_W_SPATIAL) * (F.col("_mean_m") / (F.col("_med_m") + F.lit(MEDIAN_EPS)))
              + F.lit(COMPLEXITY_W_TEMPORAL) * (F.col("_mean_s") / (F.col("_med_s") + F.lit(MEDIAN_EPS)))
              + F.lit(COMPLEXITY_W_SHARP) * F.col("_sharp"))
@@ -195,8 +192,8 @@ def attach_route_characteristics(df: DataFrame, stats: DataFrame, stats_scope: s
     (``stops_remaining = total_route_stops``, ``progress_ratio = 0``).
     """
     if stats_scope == "first_date":
-        first = stats.groupBy("route_id").agg(F.min("date").alias("date"))
-        s = stats.join(first, ["route_id", "date"]).drop("date")
+        s = stats.groupBy("route_id").agg(F.min_by(F.struct(*[c for c in stats.columns if c != "route_id"]), "date").alias("_s"))
+        s = s.select("route_id", "_s.*").drop("date")
         keys = ["route_id"]
     elif stats_scope == "per_date":
         s, keys = stats, ["date", "route_id"]
@@ -206,8 +203,7 @@ def attach_route_characteristics(df: DataFrame, stats: DataFrame, stats_scope: s
                  F.col("complexity_score").alias("route_complexity"),
                  F.col("stop_density").alias("route_stop_density"),
                  F.col("avg_speed").alias("route_avg_speed"))
-    # bounded by (routes x dates) of the static network
-    d = df.join(broadcast_checked(s), keys, "left")
+    d = df.join(s, keys, "left")
     pos = F.lit(0) if position_col is None else F.col(position_col)
     return d.withColumns({
         "stops_remaining": F.col("total_route_stops") - pos,
@@ -231,8 +227,3 @@ def extract_all(df: DataFrame, rolling_scope: str = "trip", stats_scope: str = "
 
 # chunk-boundary columns added by the map-matching fold, dropped from the final output
 CARRY_COLS = ["bucket", "_rows_before", "_next_heads", "_prev_tails", "_next_speed0"]
-
-
-def cyclic(x: str, period: int) -> tuple[F.Column, F.Column]:
-    a = F.lit(2 * math.pi) * F.col(x) / F.lit(float(period))
-    return F.sin(a), F.cos(a)

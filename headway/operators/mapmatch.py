@@ -17,9 +17,9 @@ time buckets (chunks) and folded in parallel:
 3. chunk: fold from the entry state, keeping only *transitions* (<= n per
    chunk), and read each ping's position from them.
 
-All arrays are bounded by chunk size and stop count, never by trip length.
-The pings are shuffled once, by (date, route, trip); every later step
-reuses that partitioning.
+Event arrays are bounded by a chunk's pings, maps by the stop count; the lists
+of a trip's chunk maps and arrivals grow with its number of chunks. The pings
+are shuffled once, by (date, route, trip, chunk); later steps reuse that.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from .static import SEGS_SQL, broadcast_checked, stop_zones
+from .static import SEGS_SQL, stop_zones
 
 TRIP_KEYS = ["date", "route_id", "trip_id"]
 CHUNK_KEYS = TRIP_KEYS + ["bucket"]
@@ -45,7 +45,7 @@ def attach_route(pings: DataFrame, routes: DataFrame) -> DataFrame:
 
     Pings of a route without a sequence are dropped (training behaviour).
     """
-    r = broadcast_checked(routes.select(F.col("route_id").alias("_rid"), *_ROUTE_COLS))
+    r = routes.select(F.col("route_id").alias("_rid"), *_ROUTE_COLS)
     p = pings.withColumn("_rk", F.expr("try_cast(route_id AS BIGINT)"))
     return p.join(r, p["_rk"] == r["_rid"]).drop("_rid")
 
@@ -60,7 +60,6 @@ def with_projection(df: DataFrame, routes: DataFrame) -> DataFrame:
     z = stop_zones(routes).select(F.col("route_id").alias("_zr"), F.col("zone").alias("_zz"),
                                   F.col("south").alias("_zs"), F.col("pts").alias("_zpts"),
                                   F.col("segs").alias("_zsegs"))
-    z = broadcast_checked(z)
     df = df.join(z, (df["_rk"] == z["_zr"]) & (df["pzone"] == z["_zz"]) & (df["psouth"] == z["_zs"]),
                  "left").drop("_zr", "_zz", "_zs")
     df = df.withColumn("pts", F.expr(
@@ -104,22 +103,31 @@ def map_match(pings: DataFrame, routes: DataFrame, chunk_seconds: int = CHUNK_SE
     """
     if "date" not in pings.columns:
         pings = pings.withColumn("date", F.to_date("ts"))
-    if "seq" not in pings.columns:
-        pings = pings.withColumn("seq", F.lit(0))
+    pings = with_order(pings)
     base_cols = pings.columns
-    p = attach_route(pings, routes)
+    p = attach_route(pings.where("trip_id IS NOT NULL"), routes)
     p = with_projection(p, routes)
-    p = p.withColumn("open", F.expr(OPEN_SQL))
+    # only the pings' own columns, the open segments and n are shuffled
+    p = p.withColumn("open", F.expr(OPEN_SQL)).select(*base_cols, "n", "open")
     return fold_positions(p, base_cols, chunk_seconds, routes)
 
 
+def with_order(pings: DataFrame) -> DataFrame:
+    """Adds ``seq`` where the pings carry none: a hash of the whole row, so
+    pings of one time have one order everywhere, in every run. Pings alike in
+    all columns are interchangeable."""
+    if "seq" in pings.columns:
+        return pings
+    return pings.withColumn("seq", F.xxhash64(*[F.col(f"`{c}`") for c in pings.columns]))
+
+
 def _join_back(c1: DataFrame, summary: DataFrame) -> DataFrame:
     """Attach per-chunk results of a trip-level window to the chunk rows.
 
     The chunk rows stay where they are (already hash-partitioned by the
-    chunk key); only the narrow summary moves, and it is the hash side.
+    chunk key); only the narrow summary moves.
     """
-    return c1.join(summary.hint("shuffle_hash"), CHUNK_KEYS)
+    return c1.join(summary, CHUNK_KEYS)
 
 
 def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUNK_SECONDS,
@@ -158,7 +166,7 @@ def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUN
         aggs.append(F.first("ids").alias("ids"))
     c1 = p.groupBy(*CHUNK_KEYS).agg(*aggs)
     if routes is not None:
-        r = broadcast_checked(routes.select(F.col("route_id").alias("_rid"), "ids"))
+        r = routes.select(F.col("route_id").alias("_rid"), "ids")
         c1 = c1.withColumn("_rk", F.expr("try_cast(route_id AS BIGINT)"))
         c1 = c1.join(r, c1["_rk"] == r["_rid"]).drop("_rk", "_rid")
     # the chunk table feeds three summaries and the fold: keep it on the
@@ -231,7 +239,7 @@ def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUN
         "x -> struct(x.stop_id, x.ts)))")).drop("_a", "_all", "_arr")
 
     # back to the pings of the same partition: one small row per chunk
-    out = p.join(c3.hint("shuffle_hash"), CHUNK_KEYS)
+    out = p.join(c3, CHUNK_KEYS)
     out = out.withColumn("route_position", F.expr(
         "element_at(tr, size(filter(tr, t -> t.k <= named_struct('ts', ts, 'seq', seq)))).pos"))
     keep = [c for c in base_cols if c not in CHUNK_KEYS]

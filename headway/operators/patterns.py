@@ -6,8 +6,7 @@ final aggregate, so a stop holding a third of the rows costs no more than
 any other key.
 
 The ladder pre-aggregates every level from the pattern table, which is
-bounded by (stops x 24 x 7). Level tables are broadcast after a size check
-and joined to the prediction rows; the first level that *exists* wins,
+bounded by (stops x 24 x 7). Level tables are joined to the prediction rows; the first level that *exists* wins,
 even when its mean is 0 (then the global mean is used).
 """
 
@@ -16,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .static import broadcast_checked
-
 PATTERN_KEYS = ["current_stop_id", "hour", "day_of_week"]
 # --- fixed values: fallback speed (20 km/h in m/s) and default duration ----
 DEFAULT_SPEED_MPS = 20.0 / 3.6
@@ -72,34 +69,34 @@ def ladder_levels(patterns: DataFrame) -> dict[str, DataFrame]:
 
 
 def ladder_speed(rows: DataFrame, patterns: DataFrame, stop_col: str = "key_stop",
-                 hour_col: str = "hour", dow_col: str = "day_of_week") -> DataFrame:
+                 hour_col: str = "hour", dow_col: str = "day_of_week", model_key: str = "default") -> DataFrame:
     """Add ``speed`` and ``level`` (1-5, 6 = global, 7 = default) to rows.
 
     Levels: (stop, hour, dow) -> (stop, hour) -> (stop, hour +- 1) ->
     (hour, dow) any stop -> (stop). The first level with at least one cell
     is used; a missing, zero or NaN mean then falls to the global mean,
-    then to 20 km/h.
+    then to 20 km/h. Of a table with several models only ``model_key`` is read.
     """
+    if "model_key" in patterns.columns:
+        patterns = patterns.where(F.col("model_key") == model_key)
     lv = ladder_levels(patterns)
     r = rows.withColumns({"_s": F.col(stop_col), "_h": F.col(hour_col), "_d": F.col(dow_col)})
-    l1 = broadcast_checked(lv["l1"].withColumnsRenamed({"s": "_k1", "hour": "_kh1", "day_of_week": "_kd1"}))
+    l1 = lv["l1"].withColumnsRenamed({"s": "_k1", "hour": "_kh1", "day_of_week": "_kd1"})
     r = r.join(l1, (r["_s"] == F.col("_k1")) & (r["_h"] == F.col("_kh1")) & (r["_d"] == F.col("_kd1")),
                "left").withColumn("_l1", F.col("_k1").isNotNull()).drop("_k1", "_kh1", "_kd1")
-    l2 = broadcast_checked(lv["l2"].withColumnsRenamed({"s": "_k2", "hour": "_kh2"}))
+    l2 = lv["l2"].withColumnsRenamed({"s": "_k2", "hour": "_kh2"})
     r = r.join(l2.select("_k2", "_kh2", "l2", "l2_cells"),
                (r["_s"] == F.col("_k2")) & (r["_h"] == F.col("_kh2")), "left").drop("_k2", "_kh2")
     # level 3 reads the (stop, hour) sums of hours h - 1 and h + 1 (no wrap)
-    side = {}
     for tag, off in (("lo", -1), ("hi", 1)):
         t = l2.select(F.col("_k2").alias(f"_k_{tag}"), F.col("_kh2").alias(f"_kh_{tag}"),
                       F.col("l2_sum").alias(f"_{tag}_sum"), F.col("l2_n").alias(f"_{tag}_n"),
                       F.col("l2_cells").alias(f"_{tag}_cells"))
         r = r.join(t, (r["_s"] == F.col(f"_k_{tag}")) & (r["_h"] + off == F.col(f"_kh_{tag}")),
                    "left").drop(f"_k_{tag}", f"_kh_{tag}")
-        side[tag] = t
-    l4 = broadcast_checked(lv["l4"].withColumnsRenamed({"hour": "_kh4", "day_of_week": "_kd4"}))
+    l4 = lv["l4"].withColumnsRenamed({"hour": "_kh4", "day_of_week": "_kd4"})
     r = r.join(l4, (r["_h"] == F.col("_kh4")) & (r["_d"] == F.col("_kd4")), "left").drop("_kh4", "_kd4")
-    l5 = broadcast_checked(lv["l5"].withColumnRenamed("s", "_k5"))
+    l5 = lv["l5"].withColumnRenamed("s", "_k5")
     r = r.join(l5, r["_s"] == F.col("_k5"), "left").drop("_k5")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     l3_cells = z("_lo_cells") + z("_hi_cells")

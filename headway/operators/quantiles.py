@@ -1,74 +1,61 @@
-"""Exact per-group median without gathering a group into one task.
+"""Exact per-group medians without gathering a group into one task.
 
 ``percentile``/``median`` keep every distinct value of a group in one
-aggregation buffer. Here the two middle ranks of each group are located by
-histogram refinement instead:
+aggregation buffer. Here a sketch brackets the two middle ranks first:
 
-1. per group: count, min, max (partial aggregate);
-2. level 1: counts per (group, value bucket); a running sum over the small
-   bucket table finds the bucket holding each middle rank;
-3. level 2: the same inside that bucket (sub-buckets);
-4. level 3: the distinct values (with counts) inside the chosen sub-bucket,
-   a band 1/B^2 of the group's range wide, give the exact ranks.
+1. one aggregate gives every group's count and approximate quantiles either
+   side of the middle, further away than the sketch's rank error;
+2. a second pass counts the values below the bracket, keeps the smallest one
+   above it, and counts the distinct values inside (a few in ten thousand of
+   the group's rows);
+3. running counts over these few rows hold the exact middle ranks.
 
-Every pass is a hash aggregate on (group, bucket); per-group tables are
-one row per group (broadcast, bounded by the number of groups). The result
-equals linear interpolation at 0.5 (pandas' ``median``).
+The result equals linear interpolation at 0.5 (pandas' ``median``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# --- fixed values: buckets per refinement level -----------------------------
-BUCKETS = 1024
+# --- fixed values: the sketch's rank error is 1 / ACCURACY of a group's rows,
+# the bracket reaches three times that to either side -------------------------
+ACCURACY = 10_000
+REACH = 3
+LEAST_ACCURACY = 16
 # ---------------------------------------------------------------------------
 
 
-def _bucket(x: str, lo: str, hi: str, b: int) -> F.Column:
-    return F.expr(f"CASE WHEN {hi} > {lo} THEN greatest(least(CAST(floor(({x} - {lo}) / ({hi} - {lo}) * {b}) AS INT), "
-                  f"{b - 1}), 0) ELSE 0 END")
-
-
-def _locate(counts: DataFrame, keys: list[str], bcol: str, targets: DataFrame) -> DataFrame:
-    """For each (group, rank) target: the bucket holding it and the rank
-    within that bucket."""
-    w = Window.partitionBy(*keys).orderBy(bcol).rowsBetween(Window.unboundedPreceding, -1)
-    c = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    j = targets.join(c, keys)
-    j = j.where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
-    return j.select(*keys, "_which", bcol, (F.col("_rank") - F.col("_before")).alias("_rank"))
-
-
-def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
-                 buckets: int = BUCKETS) -> DataFrame:
+def exact_medians(df: DataFrame, keys: list[str], values: dict[str, Column], accuracy: int = ACCURACY) -> DataFrame:
+    """``keys..., <name>...``: exact median of every named expression per group
+    (NULL/NaN ignored; NULL where a group has no value of that name)."""
+    names = list(values)
+    x = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_k"), v.cast("double").alias("_x")) for i, v in enumerate(values.values())])).alias("_v"))
+    x = x.select(*keys, "_v._k", "_v._x").where("_x IS NOT NULL AND NOT isnan(_x)")
+    g = [*keys, "_k"]
+    accuracy = max(accuracy, LEAST_ACCURACY)
+    q = F.percentile_approx("_x", [0.5 - REACH / accuracy, 0.5 + REACH / accuracy], accuracy)
+    st = x.groupBy(*g).agg(F.count(F.lit(1)).alias("_c"), q.alias("_q")).select(
+        *g, "_c", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+    # -1 below, 0 inside, 1 above; inside by distinct value
+    side = F.when(F.col("_x") < F.col("_lo"), -1).when(F.col("_x") > F.col("_hi"), 1).otherwise(0)
+    j = x.join(st, g).withColumn("_side", side)
+    c = j.groupBy(*g, "_side", F.when(F.col("_side") == 0, F.col("_x")).alias("_in")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_first"), F.first("_c").alias("_c"))
+    before = Window.partitionBy(*g).orderBy("_side", "_in").rowsBetween(Window.unboundedPreceding, -1)
+    c = c.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    # 0-based middle ranks; equal for odd counts. Above the bracket only its
+    # smallest value can be one, so its first value is the right one there too
+    has = lambda r: (F.col("_before") <= F.expr(r)) & (F.expr(r) < F.col("_before") + F.col("_n"))
+    low, high = "(_c - 1) div 2", "_c div 2"
+    m = c.groupBy(*g).agg(F.max(F.when(has(low), F.col("_first"))).alias("_a"), F.max(F.when(has(high), F.col("_first"))).alias("_b"))
+    m = m.withColumn("_m", F.col("_a") + (F.col("_b") - F.col("_a")) * F.lit(0.5))
+    return m.groupBy(*keys).agg(*[F.max(F.when(F.col("_k") == i, F.col("_m"))).alias(n) for i, n in enumerate(names)])
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median", buckets: int = ACCURACY) -> DataFrame:
     """``keys..., out``: exact median of ``value`` per group (NULL/NaN ignored;
-    groups without values are absent)."""
-    x = df.select(*keys, F.col(value).cast("double").alias("_x")).where("_x IS NOT NULL AND NOT isnan(_x)")
-    st = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    # the two middle ranks (0-based); equal for odd counts
-    targets = st.select(*keys, F.explode(F.array(
-        F.struct(F.lit(0).alias("_which"), F.expr("(_c - 1) div 2").alias("_rank")),
-        F.struct(F.lit(1).alias("_which"), F.expr("_c div 2").alias("_rank")))).alias("t")
-    ).select(*keys, "t._which", "t._rank")
-    # one row per group: bounded by the number of groups, not by rows
-    stb = F.broadcast(st)
-    x1 = x.join(stb, keys).withColumn("_b1", _bucket("_x", "_lo", "_hi", buckets))
-    c1 = x1.groupBy(*keys, "_b1").agg(F.count(F.lit(1)).alias("_n"))
-    t1 = _locate(c1, keys, "_b1", targets)
-    # level 2: sub-buckets of the chosen bucket
-    width = f"(_hi - _lo) / {buckets}"
-    t1b = F.broadcast(t1.join(stb, keys).withColumns({
-        "_lo2": F.expr(f"_lo + _b1 * {width}"), "_hi2": F.expr(f"_lo + (_b1 + 1) * {width}")}))
-    x2 = x1.join(t1b.select(*keys, "_b1", "_lo2", "_hi2").dropDuplicates(keys + ["_b1"]), keys + ["_b1"])
-    x2 = x2.withColumn("_b2", _bucket("_x", "_lo2", "_hi2", buckets))
-    c2 = x2.groupBy(*keys, "_b1", "_b2").agg(F.count(F.lit(1)).alias("_n"))
-    t2 = _locate(c2, keys + ["_b1"], "_b2", t1.select(*keys, "_b1", "_which", "_rank"))
-    # level 3: distinct values (with counts) of the chosen sub-bucket
-    x3 = x2.join(F.broadcast(t2.select(*keys, "_b1", "_b2").dropDuplicates()), keys + ["_b1", "_b2"])
-    c3 = x3.groupBy(*keys, "_b1", "_b2", "_x").agg(F.count(F.lit(1)).alias("_n"))
-    t3 = _locate(c3, keys + ["_b1", "_b2"], "_x", t2)
-    # linear interpolation between the two middle values
-    return t3.groupBy(*keys).agg(
-        (F.min("_x") + (F.max("_x") - F.min("_x")) * F.lit(0.5)).alias(out))
+    groups without values are absent). ``buckets`` is the sketch's accuracy:
+    fewer of them leave more values in the bracket."""
+    return exact_medians(df, keys, {out: F.col(value)}, buckets)

@@ -43,9 +43,7 @@ def select_routes(pings: DataFrame, include=(), exclude=(), k: int = 5) -> DataF
     """
     spark = pings.sparkSession
     if include:
-        chosen = _id_table(spark, [r for r in include if r not in set(map(str, exclude))])
+        chosen = _id_table(spark, sorted(set(map(str, include)) - set(map(str, exclude))))
         return pings.join(F.broadcast(chosen), "route_id", "left_semi")
     chosen = top_routes(route_volume(pings), k, exclude).select("date", "route_id")
-    # at most K rows per date: broadcast (K <= 0 keeps every route of the
-    # static network per date, still bounded by routes x dates)
-    return pings.join(F.broadcast(chosen), ["date", "route_id"], "left_semi")
+    return pings.join(chosen, ["date", "route_id"], "left_semi")

@@ -1,9 +1,9 @@
 """Static network tables: stop lookup (J1), stop-to-stop distances (W2), and
 the per-route table every trip operator broadcasts.
 
-Static tables are the only broadcast sides in the library. Their size is
-checked with :func:`broadcast_checked` before a hint is given, and beyond
-the bound the planner falls back to a shuffle join.
+Static tables are stored as Parquet, so the planner knows their bytes: it
+broadcasts them below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles
+them beyond it. No join carries a broadcast hint.
 """
 
 from __future__ import annotations
@@ -12,28 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-
-# --- fixed values: size bound for broadcasting a static table -------------
-MAX_BROADCAST_ROWS = 2_000_000
-# ---------------------------------------------------------------------------
-
-
-def broadcast_checked(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it holds at most ``max_rows`` rows.
-
-    Meant for static tables (stops, routes, patterns); the count is a cheap
-    job over a small input. Larger inputs are returned unchanged, so the
-    join is planned as a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+from ..session import scratch_path
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write a small derived static table to the shared checkpoint folder and
-    cut its lineage, so the many plans that join it scan it instead of
-    re-deriving it (reliable checkpoint; survives executor loss)."""
-    return df.checkpoint(eager=True)
+    """Write a derived table as Parquet to the shared folder and read it back:
+    plans that use it scan only the columns they need and know its bytes, and
+    a lost executor costs nothing written."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def parse_stop_list(col: str) -> F.Column:
@@ -51,18 +39,26 @@ def join_sequence_stops(sequences: DataFrame, stops: DataFrame) -> DataFrame:
     """
     rs = sequences.select("route_id", F.posexplode("stop_id_list").alias("pos", "stop_id"))
     st = stops.select("stop_id", "stop_lat", "stop_lon").dropDuplicates(["stop_id"])
-    j = rs.join(broadcast_checked(st), "stop_id", "left")
+    j = rs.join(st, "stop_id", "left")
     return j.select("route_id", "pos", "stop_id", "stop_lat", "stop_lon",
                     F.col("stop_lat").isNotNull().alias("known"))
 
 
+def first_rows(sequences: DataFrame) -> DataFrame:
+    """The first row of every route id, in the order of the table's files."""
+    rest = [c for c in sequences.columns if c != "route_id"]
+    f = sequences.withColumn("_row", F.monotonically_increasing_id()).groupBy("route_id").agg(F.min_by(F.struct(*rest), "_row").alias("_f"))
+    return f.select("route_id", "_f.*")
+
+
 def next_stop_distances(sequences: DataFrame, stops: DataFrame) -> DataFrame:
     """``route_id, stop_id_list, next_stop_distances`` (last = 0).
 
     Distances are planar UTM metres in the zone of the route's first stop,
-    rounded half-to-even to 0.1 m; routes with an unknown stop are dropped.
+    rounded half-to-even to 0.1 m. Of a repeated route id the first row counts.
+    Routes with an unknown stop are left out; :func:`quarantined` lists them.
     """
-    j = join_sequence_stops(sequences, stops)
+    j = join_sequence_stops(first_rows(sequences), stops)
     per_route = (j.groupBy("route_id")
                  .agg(F.sort_array(F.collect_list(F.struct("pos", "stop_id", "stop_lat", "stop_lon")))
                       .alias("st"), F.min(F.col("known").cast("int")).alias("ok"))
@@ -78,13 +74,19 @@ def next_stop_distances(sequences: DataFrame, stops: DataFrame) -> DataFrame:
         dist.alias("next_stop_distances"))
 
 
+def quarantined(sequences: DataFrame, stops: DataFrame) -> DataFrame:
+    """``route_id, unknown_stops``: the routes that W2 leaves out, and why."""
+    j = join_sequence_stops(first_rows(sequences), stops).where("NOT known")
+    return j.groupBy("route_id").agg(F.sort_array(F.collect_set("stop_id")).alias("unknown_stops"))
+
+
 def route_table(sequences: DataFrame, stops: DataFrame) -> DataFrame:
     """Per route: ids, distances, ordered stop coordinates and stop count.
 
     ``sequences`` must carry ``next_stop_distances`` (output of W2). The
     first row wins when a route id is duplicated (J2's pre-dedupe).
     """
-    seq = sequences.dropDuplicates(["route_id"])
+    seq = first_rows(sequences)
     j = join_sequence_stops(seq, stops)
     geo_rows = (j.groupBy("route_id")
                 .agg(F.sort_array(F.collect_list(F.struct(
@@ -103,11 +105,9 @@ def stop_zones(routes: DataFrame) -> DataFrame:
     ``route_id, zone, south, segs ARRAY<STRUCT<ax, ay, dx, dy, l2>>,
     pts ARRAY<STRUCT<x, y>>`` -- static-sized (routes x zones x stops).
     """
-    zs = (routes.select("route_id", F.explode("stops").alias("s"))
-          .select("route_id", F.expr(geo.zone_sql("s.lon")).alias("zone"),
-                  F.expr(geo.south_sql("s.lat")).alias("south"))
-          .where("zone IS NOT NULL").distinct())
-    r = routes.join(zs, "route_id")
+    zones = (f"array_distinct(transform(stops, s -> named_struct('zone', {geo.zone_sql('s.lon')}, "
+             f"'south', {geo.south_sql('s.lat')})))")
+    r = routes.withColumn("_z", F.explode(F.expr(zones))).select("*", "_z.zone", "_z.south").where("zone IS NOT NULL").drop("_z")
     return with_projected(r, "stops", "zone", "south").select(
         "route_id", "zone", "south", "pts", "segs")
 

@@ -10,7 +10,6 @@ timestamps as text with microseconds.
 from __future__ import annotations
 
 import json
-import os
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -226,10 +225,8 @@ def _src_manifest(spark, sf):
     ids = sorted(r["query_id"] for r in q.select("query_id").distinct().collect())  # manifest = config
     ids.sort(key=int)
     manifest = {i: f"{root}/query_id={i}" for i in ids}
-    mpath = os.path.join(scratch_path(spark, "manifest"))
-    os.makedirs(os.path.dirname(mpath) or ".", exist_ok=True)
-    with open(mpath, "w") as fh:
-        json.dump(manifest, fh)
+    mpath = scratch_path(spark, "manifest")
+    spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.text(mpath)
     return files.read_query_manifest(spark, mpath)
 
 
@@ -408,7 +405,7 @@ def _j2(spark, sf):
      "SELECT c.date, c.route_id, c.trip_id, c.seq, c.next_stop_id, s.stop_lat, s.stop_lon "
      "FROM h_ctx c LEFT JOIN fx_stops s ON s.stop_id = c.next_stop_id", "h_ctx", "fx_stops")
 def _j3(spark, sf):
-    st = static.broadcast_checked(fx.stops(spark, sf).withColumnRenamed("stop_id", "next_stop_id"))
+    st = fx.stops(spark, sf).withColumnRenamed("stop_id", "next_stop_id")
     return hist_trips(spark, sf).join(st, "next_stop_id", "left")
 
 

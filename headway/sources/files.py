@@ -52,27 +52,42 @@ def read_static(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{root}/stops"), spark.read.parquet(f"{root}/route_sequences")
 
 
-def read_pings(spark: SparkSession, root: str, dates=None) -> DataFrame:
+def read_pings(spark: SparkSession, root: str, dates=None, skip_unreadable: bool = False) -> DataFrame:
     """Raw pings under ``root/date=YYYY-MM-DD/``; only the listed dates
-    are scanned (partition pruning); missing folders and unreadable files
-    are skipped rather than failing the job."""
-    r = (spark.read.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
+    are scanned (partition pruning). With ``skip_unreadable`` files that cannot
+    be read are left out instead of failing the job; :func:`audit_files` tells
+    which."""
+    r = (spark.read.option("ignoreMissingFiles", skip_unreadable).option("ignoreCorruptFiles", skip_unreadable)
+         .option("mergeSchema", skip_unreadable)   # else the one footer that is read may be a bad one
          .option("basePath", root).parquet(root))
     if dates:
         r = r.where(F.col("date").isin([str(d).replace("date=", "") for d in dates]))
     return r
 
 
+def audit_files(spark: SparkSession, root: str) -> DataFrame:
+    """``path, length, rows`` for every Parquet file below ``root``: a file
+    without rows could not be read (or is empty). Only names and counts are
+    read, no content."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root)
+             .select("path", "length"))
+    got = read_pings(spark, root, skip_unreadable=True).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+    plain = F.regexp_replace("path", "^file:/+", "/")
+    return (files.withColumn("path", plain).join(got.withColumn("path", plain), "path", "left")
+            .select("path", "length", F.coalesce("rows", F.lit(0)).alias("rows")))
+
+
 def read_query_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
     """``{"idx": "path", ...}`` -> pings of every listed path with
     ``query_id`` (the manifest key) and ``manifest_pos`` (its order).
 
     A path is a Parquet file or a folder of part files. The manifest is
-    configuration (a list of paths); the data is one multi-path scan,
-    matched back to its entry on the file's own path or its folder.
+    configuration (a list of paths) that the driver reads through Spark, so it
+    may lie in any store; the data is one multi-path scan, matched back to its
+    entry by one join on the file's own path or its folder.
     """
-    with open(manifest_path) as fh:
-        entries = list(json.load(fh).items())
+    text = spark.read.text(manifest_path, wholetext=True).first()["value"]
+    entries = list(json.loads(text).items())
     paths = [p for _, p in entries]
 
     def norm(p):
@@ -80,15 +95,9 @@ def read_query_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
         return "file:" + p if p.startswith("/") else p
     m = spark.createDataFrame([(k, i, norm(p)) for i, (k, p) in enumerate(entries)],
                               "query_id string, manifest_pos int, _path string")
-    df = (spark.read.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
-          .parquet(*paths)
-          .withColumn("_file", F.col("_metadata.file_path"))
-          .withColumn("_dir", F.regexp_replace("_file", "/[^/]*$", "")))
-    mb = F.broadcast(m)
-    by_file = df.join(mb, df["_file"] == m["_path"])
-    by_dir = df.join(mb, (df["_dir"] == m["_path"]))
-    out = by_file.unionByName(by_dir)
-    return out.drop("_path", "_file", "_dir")
+    df = (spark.read.parquet(*paths).withColumn("_file", F.col("_metadata.file_path"))
+          .withColumn("_path", F.explode(F.array("_file", F.regexp_replace("_file", "/[^/]*$", "")))))
+    return df.join(m, "_path").drop("_path", "_file")
 
 
 def read_route_features(spark: SparkSession, root: str) -> DataFrame:
@@ -108,8 +117,13 @@ def read_eta_json(spark: SparkSession, path: str, key: str = "route_id") -> Data
     A key with an empty map yields one row with NULL stop (so evaluation
     can score it 0.0).
     """
-    t = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-    m = t.select(F.from_json("value", ETA_MAP).alias("m"))
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    bad = F.from_json("value", ETA_MAP).isNull()
+    # one document a line, or (laid out over several lines) one a file; what is
+    # neither raises
+    by_line = not lines.where(bad).limit(1).count()
+    t = lines if by_line else spark.read.text(path, wholetext=True).where(F.length(F.trim("value")) > 0)
+    m = t.select(F.coalesce(F.from_json("value", ETA_MAP), F.raise_error(F.lit("not a JSON document of {key: {stop: time}}"))).alias("m"))
     k = m.select(F.explode("m").alias(key, "stops"))
     return k.select(key, F.explode_outer("stops").alias("stop_id", "arrival"))
 
@@ -127,10 +141,8 @@ def write_route_features(features: DataFrame, root: str) -> None:
     re-running a date replaces only that date's partitions."""
     from ..functions.geo import wkt_point_sql
     f = features.withColumn("geometry", F.expr(wkt_point_sql("latitude", "longitude")))
-    spark = features.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     # rebalance: about one file per (route, date); AQE splits a skewed one
-    f.hint("rebalance", "route_id", "date").write.mode("overwrite").partitionBy("route_id", "date").parquet(root)
+    f.hint("rebalance", "route_id", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("route_id", "date").parquet(root)
 
 
 def write_patterns(patterns: DataFrame, path: str) -> None:
@@ -139,7 +151,9 @@ def write_patterns(patterns: DataFrame, path: str) -> None:
 
 
 def predictions_json_lines(pred: DataFrame, key: str = "route_id") -> DataFrame:
-    """K4 text: one ``{"key": {"stop": "YYYY-MM-DD HH:MM:SS", ...}}`` per key."""
+    """K4 text: one ``{"key": {"stop": "YYYY-MM-DD HH:MM:SS", ...}}`` per key.
+    A stop predicted more than once under a key keeps its latest arrival."""
+    pred = pred.groupBy(key, "stop_id").agg(F.max("arrival_ts").alias("arrival_ts"))
     g = pred.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(
         "stop_id", format_arrival("arrival_ts")))).alias("m"))
     return g.select(F.to_json(F.create_map(F.col(key).cast("string"), F.col("m"))).alias("value"))
