@@ -1,0 +1,417 @@
+"""Each operator against a plain version, and on odd input (see conftest)."""
+
+import hashlib
+import html
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import regex
+import tiktoken
+from pyspark.sql import functions as F
+
+from headway.llm import (ann_forest, bpe, chosen_path, html_extract, mixing, queries, secret_scan, simhash, site_quality, textops, toxicity,
+                         url_filter)
+
+SF = "/root/testdata/sf0.001"
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+# ---- 1 url filter
+
+
+def test_urls_against_every_rule():
+    rng = random.Random(3)
+    labels, parts = ["net", "example", "org", "com", "a"], ["en", "de", "e", "", "x y"]
+    rules = [url_filter.Rule(".".join(rng.choices(labels, k=rng.randint(1, 3))), "/" + "/".join(rng.choices(parts, k=rng.randint(0, 3))), rng.choice(["allow", "block"]))
+             for _ in range(40)]
+    rules = list({(r.host, r.path): r for r in rules}.values())
+    trie = url_filter.Trie(rules)
+    for _ in range(3000):
+        host = ".".join(rng.choices(labels, k=rng.randint(0, 4)))
+        path = rng.choice(["", "/"]) + "/".join(rng.choices(parts, k=rng.randint(0, 4)))
+        fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        want = max(fits, key=lambda r: (len(r.host) + len(r.path), len(r.host)), default=None)
+        assert trie.match(host, path) == want, (host, path)
+
+
+def test_url_parts():
+    cases = {None: ("", ""), "": ("", ""), "no scheme/x": ("", ""), "http://A.Ü.net": ("a.Ü.net", ""), "x://h?q=/a": ("h", ""), "x://h/a/b?c#d": ("h", "/a/b"),
+             "x://h#/a": ("h", ""), "x://": ("", ""), "x://h/a://b": ("h", "/a://b")}
+    assert {u: url_filter.split_url(u) for u in cases} == cases
+
+
+def test_judge_odd_rows(spark, odd):
+    pages = odd.withColumn("url", F.when(F.col("doc_id") == 1, "HTTP://www.Example.NET/en/1?x").when(F.col("doc_id") == 2, "http://x.net/a"))
+    got = url_filter.judge(pages, queries.RULES)
+    assert got.count() == odd.count() and url_filter.judge(pages.limit(0), queries.RULES).count() == 0
+    found = {(r["doc_id"], r["host"], r["rule"], r["verdict"]) for r in got.where("url is not null").collect()}
+    assert found == {(1, "www.example.net", "example.net/en/", "allow"), (2, "x.net", "net/", "block")}
+    assert {(r["host"], r["rule"], r["verdict"]) for r in got.where("url is null").collect()} == {("", None, "allow")}
+
+
+# ---- 2 neighbours
+
+
+def test_forest_recall_and_scores(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(3000, 32)) + rng.integers(0, 5, (3000, 1))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann_forest.search(df, F.col("vec_id") % 100 == 0, block_rows=700, query_rows=20).collect()
+    hit = 0
+    for q in range(0, 3000, 100):
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        own = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        assert [r[0] for r in own] == list(range(1, 11)) and all(abs(d[i] - s) < 1e-9 for _, i, s in own)
+        assert [r[2] for r in own] == sorted(r[2] for r in own)
+        hit += len({r[1] for r in own} & set(np.argsort(d)[:10].tolist()))
+    assert hit / 300 >= 0.9
+
+
+def test_forest_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 2.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]),
+                                (7, [None, 1.0]), (8, [1.0]), (None, [1.0, 1.0]), (9, []), (100, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    got = rows(ann_forest.search(df.withColumn("rank", F.lit("clash")), F.col("vec_id") % 100 == 0, k=2))
+    assert got == [(0, 1, 1, 0.0), (0, 2, 100, 0.0), (100, 1, 0, 0.0), (100, 2, 1, 0.0)]
+    assert ann_forest.search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+# ---- 3 secrets
+
+
+def test_base_spans_against_plain_search():
+    rng = random.Random(5)
+    bits = ["password", "PassWd", "api_key", "apikey", "token", "secret", "ſecret", '"', "'", " ", ":", "=", "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef01234567", "x", "é", "\n", "abcdef", "-_."]
+    for _ in range(3000):
+        t = "".join(rng.choices(bits, k=rng.randint(0, 14)))
+        want = [(m.start(), m.end(), "assign") for m in re.finditer(
+            r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t)
+            if len(m[2]) >= 6]
+        want += [(m.start(), m.end(), "access") for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+        want += [(m.start(), m.end(), "hex") for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 24]
+        want.sort(key=lambda s: (s[0], ["assign", "access", "hex"].index(s[2])))
+        assert [tuple(s) for s in secret_scan.base_spans(t)] == want
+
+
+def test_network_separates_and_redaction(spark, odd):
+    rng = random.Random(2)
+    made = []
+    for i in range(300):
+        secret = "".join(rng.choices("0123456789abcdef", k=40))
+        made.append((i, f"some prose before {'token = ' if i % 2 else ''}{secret if i % 2 else ''} and number {rng.randint(10**15, 10**16)} after"))
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    scanner = secret_scan.train(df)
+    assert scanner.model is not None and 0.5 <= scanner.threshold <= 1
+    found = secret_scan.scan(df, scanner)
+    assert all((len(r["spans"]) > 0) == bool(r["doc_id"] % 2) for r in found.collect())
+    bare = "".join(rng.choices("0123456789abcdef", k=23))      # too short for the patterns
+    assert len(secret_scan.spans_of(scanner, [f"some prose before token {bare} and number"])[0]) <= 1
+    got = {r["text"] for r in secret_scan.redact(secret_scan.scan(odd, secret_scan.Scanner(None, 2.0)), "spans").where("doc_id = 9").collect()}
+    assert got == {"[secret] and [secret]"}
+
+
+def test_scan_odd_rows(spark, odd):
+    scanner = secret_scan.train(odd)
+    got = secret_scan.scan(odd, scanner)
+    assert got.count() == odd.count() and got.where("spans is null").count() == 0
+    assert secret_scan.scan(odd.limit(0), secret_scan.train(odd.limit(0))).count() == 0
+
+
+# ---- 4 html
+
+
+def test_pages_against_their_articles(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    for r in html_extract.extract(pages).collect():
+        inner = re.search(r"(?s)<article>(.*?)</article>", r["html"])[1]
+        parts = re.split(r"</?(?:p|h1)>", re.sub(r"</?b>", "", inner).replace("<br>", " "))
+        assert r["text"] == "\n".join(t for t in (" ".join(html.unescape(p).split()) for p in parts) if t)
+
+
+@pytest.mark.parametrize("page, want", [
+    (None, ""), ("", ""), ("plain words", ""), ("<article>a<!-- x --> b<p>c &amp; d&nbsp; e</article>", "a b\nc & d e"),
+    ("<article><p>one<aside>no</aside><div class='comments'><p>no</div><form>no</form><p>two<script>if (a<b) '</p>'</script></article>", "one\ntwo"),
+    ("<main><h1>t</h1><div class=cookie-notice>no</div><ul><li>x<li>y</ul></main><footer>no</footer>", "t\nx\ny"),
+    ("<body><div class='has-sidebar'><p>" + "long text " * 20 + "<p>short</div><div><a href=x>links only</a></div>", "long text " * 19 + "long text\nshort"),
+    ("<article>open <b>tags <i class='x", "open tags"), ("<article>1 < 2 &lt;3</article>", "1 < 2 <3"),
+])
+def test_main_text(page, want):
+    assert html_extract.main_text(page) == want
+
+
+def test_extract_odd_rows(spark, odd):
+    got = html_extract.extract(odd, html="text", out="key")
+    assert got.count() == odd.count() and got.where("key is null").count() == 0 and html_extract.extract(odd.limit(0), "text").count() == 0
+
+
+# ---- 5 quality
+
+
+def test_posteriors_against_plain_sums(spark):
+    rng = np.random.default_rng(4)
+    data = [(i, f"h{rng.integers(0, 4)}" if i % 9 else None, f"p{rng.integers(0, 3)}", float(rng.uniform(0.01, 0.99))) for i in range(400)]
+    got = {r["doc_id"]: r for r in site_quality.posteriors(spark.createDataFrame(data, "doc_id long, host string, path string, evidence double"), 0.7).collect()}
+    assert len(got) == 400
+    prior, hosts = 0.7, {}
+    for _, h, p, e in data:
+        hosts.setdefault(h or "", []).append((p, e))
+
+    def strength(groups):
+        spread = np.mean([(np.mean(v) - t) ** 2 for v, t in groups])
+        noise = np.mean([np.var(v) / len(v) for v, _ in groups])
+        base = np.mean([t * (1 - t) for _, t in groups])
+        return min(max(base / max(spread - noise, 1e-6) - 1, 1.0), 1e6)
+
+    kh = strength([([e for _, e in v], prior) for v in hosts.values()])
+    top = {h: (sum(e for _, e in v) + kh * prior) / (len(v) + kh) for h, v in hosts.items()}
+    by_path = {(h, p): [e for q, e in v if q == p] for h, v in hosts.items() for p, _ in v}
+    kp = strength([(v, top[h]) for (h, _), v in by_path.items()])
+    for i, h, p, e in data:
+        own, path = hosts[h or ""], by_path[h or "", p]
+        hp = (sum(x for _, x in own) - e + kh * prior) / (len(own) - 1 + kh)
+        pp = (sum(path) - e + kp * hp) / (len(path) - 1 + kp)
+        odds = pp / (1 - pp) * e / (1 - e) * (1 - prior) / prior
+        assert got[i]["host_posterior"] == pytest.approx(hp) and got[i]["path_posterior"] == pytest.approx(pp) and got[i]["score"] == pytest.approx(odds / (1 + odds))
+
+
+def test_quality_of_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    known = site_quality.judge(docs, labels.where("doc_id % 3 > 0")).join(labels.where("doc_id % 3 = 0"), "doc_id").collect()
+    assert sum(r["keep"] == bool(r["quality"]) for r in known) >= 0.97 * len(known) and len(known) > 80
+
+
+def test_quality_odd_rows(spark, odd, docs, labels):
+    assert site_quality.judge(odd, labels.limit(0)).where("keep").count() == odd.count()
+    both = odd.select(docs.columns).unionByName(docs.withColumn("doc_id", F.col("doc_id") + 100))
+    got = site_quality.judge(both, labels.withColumn("doc_id", F.col("doc_id") + 100))
+    assert got.count() == both.count() and got.where("score is null or isnan(score)").count() == 0
+    assert site_quality.judge(odd.limit(0), labels).count() == 0
+
+
+# ---- 6 tokens
+
+
+RANKS = bpe.read_ranks(public_tokenizers.path(queries.RANKS))
+TIKTOKEN = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+
+
+def test_pre_tokens_against_the_pattern():
+    pattern, rng = regex.compile(public_tokenizers.PATTERN), random.Random(1)
+    bits = ["'s", "'t", "'re", "'ll", "'l", "'", " ", "  ", "\n", "\t", "a", "b", "ver", "1", "²", "!", "%%", "é", "ß", "中", "\u200b", "\u3000", "\x1f", "'S", "d", "m"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 25))) for _ in range(5000)]
+    c = textops.codes(texts)
+    start = bpe.pre_tokens(c)
+    first = np.searchsorted(start, c.bounds)
+    for i, t in enumerate(texts):
+        s = (start[first[i]:first[i + 1]] - c.bounds[i]).tolist()
+        assert [t[a:b] for a, b in zip(s, [*s[1:], len(t)])] == pattern.findall(t)
+
+
+def test_encode_and_decode_odd_rows(spark, odd, docs):
+    both = odd.unionByName(docs, allowMissingColumns=True)
+    got = bpe.decode(bpe.encode(both, RANKS), RANKS).select("text", "ids", "decoded").collect()
+    assert len(got) == both.count()
+    for r in got:
+        assert list(r["ids"]) == TIKTOKEN.encode_ordinary(r["text"] or "") and bytes(r["decoded"]) == (r["text"] or "").encode()
+    assert bpe.encode(odd.limit(0), RANKS).count() == 0
+
+
+# ---- 7 fingerprints
+
+
+def test_edited_texts_and_fingerprints(spark, odd, docs):
+    both = odd.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 50), allowMissingColumns=True)
+    got = simhash.edited_and_next(both).collect()
+    plain = sorted(((-1 << 63 if r["doc_id"] is None else r["doc_id"]), r["text"] or "", r["doc_id"]) for r in both.select("doc_id", "text").collect())
+    want = []
+    for i, (_, t, doc) in enumerate(plain):
+        s = plain[(i + 1) % len(plain)][1]
+        edited = t[:len(t) - len(t) // 2] + s[:len(t) // 2]
+        a, b, c = simhash.fingerprints([t, edited, s])
+        near = lambda x, y: 1 - sum(bin(p ^ q).count("1") for p, q in zip(x.tolist(), y.tolist())) / 128
+        want.append((doc, len(t), hashlib.sha256(edited.encode()).hexdigest(), a.tobytes().hex(), b.tobytes().hex(), near(a, b), near(a, c)))
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert simhash.edited_and_next(odd.limit(0)).count() == 0
+
+
+def test_fingerprint_votes():
+    t = "the cat sat on the cat sat on the mat"
+    w = t.split()
+    c = textops.words(textops.codes([t]))
+    h, _ = textops.shingle_hashes(textops.word_hashes(c), c.first, 3)
+    seen = {}
+    for x, g in zip(h, zip(w, w[1:], w[2:])):
+        seen.setdefault(g, [int(x), 0])[1] += 1
+    votes = np.zeros(128)
+    for x, n in seen.values():
+        both = np.array([x, textops.mix(np.array([x], dtype=np.uint64) * np.uint64(textops.BASE_1))[0]], dtype=np.uint64)
+        votes += (2.0 * np.unpackbits(both.view(np.uint8)) - 1) * (1 + np.log(n))
+    assert np.packbits(votes > 0).tobytes() == simhash.fingerprints([t])[0].tobytes()
+
+
+@pytest.mark.parametrize("radius", [0, 3, 7])
+def test_block_tables_find_all(spark, radius):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 256, (60, 16), dtype=np.uint8)
+    near = np.repeat(base, 4, axis=0)
+    for r in near:
+        for b in rng.choice(128, rng.integers(0, 10), replace=False):
+            r[b // 8] ^= 1 << (b % 8)
+    fps = [x.tobytes().hex() for x in np.concatenate([base, near])]
+    df = spark.createDataFrame([(x,) for x in fps] + [(None,)], "fingerprint string")
+    got = {(r["query"], r["fingerprint"]) for r in simhash.within_radius(df, df, radius).collect()}
+    dist = lambda a, b: bin(int(a, 16) ^ int(b, 16)).count("1")
+    assert got == {(a, b) for a in set(fps) for b in set(fps) if dist(a, b) <= radius}
+
+
+# ---- 8 mixing
+
+
+def water(sizes, weights):
+    target, free, rest = [0.0] * len(sizes), set(range(len(sizes))), float(sum(sizes))
+    while rest > 1e-9 and free:
+        w, add, rest = sum(weights[i] for i in free), rest, 0.0
+        for i in list(free):
+            target[i] += add * weights[i] / w
+            if target[i] >= 3 * sizes[i]:
+                rest += target[i] - 3 * sizes[i]
+                target[i] = 3.0 * sizes[i]
+                free.discard(i)
+    return target
+
+
+def test_targets_against_repeated_sharing(spark):
+    rng = random.Random(7)
+    for n in (1, 2, 3, 7, 20):
+        sizes = [rng.choice([0, 1, 10, 100, 5000]) for _ in range(n)]
+        names = sorted(f"s{i}" for i in range(n - 1)) + [None]
+        df = spark.createDataFrame(list(zip(names, sizes)), "source string, source_size long")
+        got = {r["source"]: r["target"] for r in mixing.targets(df).collect()}
+        assert [got[x] for x in names] == pytest.approx(water(sizes, [(5, 2, 1)[i % 3] for i in range(n)]))
+
+
+def test_mix_comes_near_its_targets(spark, docs):
+    got = mixing.mix(docs).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, mixing.mix(docs).collect()), key=repr)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert len(got) == len(texts) and all(r["size"] == len(re.findall(r"[^\x20\x09-\x0D]+", texts[r["doc_id"]])) and r["copies"] <= 3 for r in got)
+    for s in {r["source"] for r in got}:
+        own = [r for r in got if r["source"] == s]
+        assert abs(sum(r["size"] * r["copies"] for r in own) - own[0]["target"]) <= max(r["size"] for r in own)
+    assert mixing.repeat(docs, mixing.mix(docs)).count() == sum(r["copies"] for r in got)
+
+
+def test_keys_prefer_quality(spark):
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("one two").alias("text"), F.when(F.col("id") < 2000, "a").otherwise("b").alias("source"))
+    weights = df.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 4.0).otherwise(1.0).alias("weight"))
+    got = mixing.mix(df, weights, weights=(1, 3)).where("source = 'a'").groupBy((F.col("doc_id") % 2).alias("odd")).agg(F.sum("copies").alias("n"))
+    n = {r["odd"]: r["n"] for r in got.collect()}
+    assert n[0] + n[1] == 1000 and n[0] > 1.5 * n[1]
+
+
+def test_mix_odd_rows(spark, odd):
+    got = mixing.mix(odd)
+    assert got.count() == odd.count() and mixing.mix(odd.limit(0)).count() == 0
+    assert got.where("copies > 3 or target > 3 * source_size + 1e-6").count() == 0
+    assert mixing.repeat(odd, got).count() == got.agg(F.sum("copies")).first()[0]
+
+
+# ---- 9 similar texts
+
+
+def plain_join(texts):
+    sets = []
+    for t in texts:
+        w = regex.findall(r"[\p{L}\p{N}\p{M}_]+", (t or "").lower())
+        sets.append(frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset([t or ""]))
+    n = len(sets)
+    links, root = [0] * n, list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(n):
+        for j in range(i):
+            k = len(sets[i] & sets[j])
+            if k >= 0.8 * (len(sets[i]) + len(sets[j]) - k):
+                links[i] += 1
+                links[j] += 1
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return links, [find(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("leaf, block", [(1024, 512), (2, 2)])
+def test_join_against_all_pairs(spark, docs, leaf, block):
+    rng = random.Random(9)
+    texts = [r["text"] for r in docs.orderBy("doc_id").collect()]
+    long = [t for t in texts if len(t.split()) > 60][:3]
+    for t in long:       # groups of near copies, some of them at the threshold
+        for k in range(12):
+            w = t.split()[:150]
+            for _ in range(k // 2):
+                w[rng.randrange(len(w))] = f"new{rng.random()}"
+            texts.append(" ".join(w))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(chosen_path.join(df, leaf_rows=leaf, block_rows=block).collect(), key=lambda r: r["doc_id"])
+    links, root = plain_join(texts)
+    assert [r["n_links"] for r in got] == links and [r["class_id"] for r in got] == root
+    assert {r["doc_id"] for r in got if r["keep"]} == set(root)
+
+
+def test_join_odd_rows(spark, odd):
+    joined = chosen_path.join(odd)
+    assert joined.count() == odd.count() and chosen_path.join(odd.limit(0)).count() == 0
+    kept = chosen_path.keep_one(odd, joined)
+    assert kept.columns == odd.columns
+    want = odd.select("text").distinct().collect()
+    assert {r["text"] or "" for r in kept.collect()} == {r["text"] or "" for r in want}
+    assert kept.count() == len({r["text"] or "" for r in want})
+
+
+# ---- 10 toxicity
+
+
+def test_toxic_words_are_learned(spark):
+    rng = random.Random(6)
+    plain = ["then", "over", "blue", "river", "house", "walk", "seven", "stone", "paper", "light"]
+    data = []
+    for i in range(1200):
+        w = rng.choices(plain, k=rng.randint(5, 200))
+        bad = i % 4 == 0
+        if bad:
+            w.insert(rng.randrange(len(w) + 1), rng.choice(["gronk", "vashted", "vashtos"]))
+        data.append((i, " ".join(w), rng.choice(["en", None]), int(bad)))
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, toxic int")
+    scores = toxicity.scored(df, toxicity.train(df, df)).cache()
+    held = [r for r in scores.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]
+    assert len(held) > 200 and sum((r["score"] >= 0.3) == bool(r["toxic"]) for r in held) >= 0.98 * len(held)
+    cuts = {r["lang"]: r["threshold"] for r in toxicity.thresholds(scores, df).collect()}
+    assert cuts.keys() == {"en", ""}
+    assert sum((r["score"] >= cuts[r["lang"] or ""]) == bool(r["toxic"]) for r in held) >= 0.98 * len(held)
+
+
+def test_scores_depend_on_the_text_alone(spark, odd, docs, labels):
+    model = toxicity.train(docs, labels)
+    got = toxicity.scored(odd, model).select("text", "score").collect()
+    assert len(got) == odd.count() and all(0 <= r["score"] <= 1 for r in got)
+    alone = toxicity.predict(model, [r["text"] for r in got])
+    assert [r["score"] for r in got] == pytest.approx(alone.tolist(), abs=1e-5)
+    assert toxicity.scored(odd.limit(0), model).count() == 0
+
+
+def test_no_labels(spark, odd, labels):
+    model = toxicity.train(odd, labels.limit(0))
+    scores = toxicity.scored(odd, model)
+    assert scores.where("score < 0.3").count() == odd.count()
+    assert {r["threshold"] for r in toxicity.thresholds(scores, labels.limit(0)).collect()} == {1.1}
