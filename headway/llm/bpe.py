@@ -1,6 +1,6 @@
 """Byte-level BPE: global distinct-word shuffle, and decoding.
 
-1. Documents are packed into portions of about two megabytes (one
+1. Documents are packed into portions of about three megabytes (one
    row: the portion's rows as a compressed Arrow batch, under a key made of
    its content) and dealt by that key.
 2. Every portion is split into pre-tokens with their positions; its distinct
@@ -33,8 +33,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from . import textops
 from .textops import U64
 
-#: Characters of text in one portion (one longer text is a portion of its own).
-PORTION_CHARS = 1 << 21
+#: Bytes of text in one portion (one longer text is a portion of its own).
+PORTION_CHARS = 3 << 20
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: White space as the pattern's \s has it (Unicode White_Space). Fixed values.
 WHITE_SPACE = (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
