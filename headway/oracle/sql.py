@@ -187,11 +187,13 @@ SELECT c.date, c.route_id, c.trip_id, c.seq,
 FROM {prefix}_ctx1 c CROSS JOIN LATERAL unnest(c.future_stop_ids) WITH ORDINALITY AS u(s, i)
 LEFT JOIN {prefix}_fa fa ON fa.date = c.date AND fa.route_id = c.route_id AND fa.trip_id = c.trip_id AND fa.stop_id = u.s
 GROUP BY ALL""", f"{prefix}_ctx1", f"{prefix}_fa")
+    cte(f"{prefix}_ctx2", f"""
+SELECT *, distance_to_next_route_stop + distance_remaining_after_next_stop AS distance_remaining
+FROM {prefix}_ctx1""", f"{prefix}_ctx1")
     cte(f"{prefix}_ctx", f"""
-SELECT c.*, distance_to_next_route_stop + distance_remaining_after_next_stop AS distance_remaining,
-       coalesce(d.d, []::DOUBLE[]) AS duration_to_future_stops
-FROM {prefix}_ctx1 c LEFT JOIN {prefix}_dur d USING (date, route_id, trip_id, seq)""",
-        f"{prefix}_ctx1", f"{prefix}_dur")
+SELECT c.*, coalesce(d.d, []::DOUBLE[]) AS duration_to_future_stops
+FROM {prefix}_ctx2 c LEFT JOIN {prefix}_dur d USING (date, route_id, trip_id, seq)""",
+        f"{prefix}_ctx2", f"{prefix}_dur")
     return f"{prefix}_ctx"
 
 
@@ -202,12 +204,13 @@ _D_SEG = geo.distance_sql("latitude", "longitude", "next_lat", "next_lon")
 
 
 def feat_ctes(prefix: str) -> str:
-    """``{prefix}_feat``: F1-F3, V1-V3, W3-W5 (trip scope) over ``{prefix}_ctx``."""
+    """``{prefix}_feat``: F1-F3, V1-V3, W3-W5 (trip scope) over ``{prefix}_ctx2``
+    (features need no durations to future stops)."""
     cte(f"{prefix}_f1", f"""
 SELECT *, hour(ts) AS hour, isodow(ts) - 1 AS day_of_week, day(ts) AS day_of_month, month(ts) AS month,
        week(ts) AS week_of_year, {_D_SEG} AS segment_distance,
        greatest((epoch_us(next_timestamp) - epoch_us(ts)) / 1e6, 0e0) AS segment_duration
-FROM {prefix}_ctx""", f"{prefix}_ctx")
+FROM {prefix}_ctx2""", f"{prefix}_ctx2")
     cte(f"{prefix}_f2", f"""
 SELECT *, day_of_week IN (5, 6) AS is_weekend, hour IN (7, 8, 9, 17, 18, 19) AS is_rush_hour,
   hour IN (7, 8, 9) AS is_morning_peak, hour IN (17, 18, 19) AS is_evening_peak,
@@ -342,10 +345,10 @@ cte("q_time", "SELECT query_id, max(ts) AS qts FROM q_clean GROUP BY query_id",
 cte("actuals", """
 SELECT a.query_id, a.stop_id, strftime(a.a, '%Y-%m-%d %H:%M:%S') AS arrival FROM (
   SELECT c.trip_id AS query_id, c.current_stop_id AS stop_id, min(c.ts) AS a
-  FROM l_ctx c JOIN q_time t ON t.query_id = c.trip_id WHERE c.ts > t.qts GROUP BY ALL) a
+  FROM l_ctx2 c JOIN q_time t ON t.query_id = c.trip_id WHERE c.ts > t.qts GROUP BY ALL) a
 UNION ALL
 SELECT t.query_id, NULL, NULL FROM q_time t
-WHERE NOT EXISTS (SELECT 1 FROM l_ctx c WHERE c.trip_id = t.query_id AND c.ts > t.qts)""", "l_ctx", "q_time")
+WHERE NOT EXISTS (SELECT 1 FROM l_ctx2 c WHERE c.trip_id = t.query_id AND c.ts > t.qts)""", "l_ctx2", "q_time")
 cte("pred_text", """
 SELECT query_id, stop_id, strftime(arrival_ts, '%Y-%m-%d %H:%M:%S') AS arrival FROM predictions""", "predictions")
 cte("stop_err", """

@@ -403,7 +403,7 @@ def _j2(spark, sf):
 
 @reg("join_next_stop_geometry", PK + " next_stop_id:s stop_lat:d9 stop_lon:d9",
      "SELECT c.date, c.route_id, c.trip_id, c.seq, c.next_stop_id, s.stop_lat, s.stop_lon "
-     "FROM h_ctx c LEFT JOIN fx_stops s ON s.stop_id = c.next_stop_id", "h_ctx", "fx_stops")
+     "FROM h_ctx2 c LEFT JOIN fx_stops s ON s.stop_id = c.next_stop_id", "h_ctx2", "fx_stops")
 def _j3(spark, sf):
     st = fx.stops(spark, sf).withColumnRenamed("stop_id", "next_stop_id")
     return hist_trips(spark, sf).join(st, "next_stop_id", "left")
@@ -519,14 +519,14 @@ def _a8(spark, sf):
 
 
 @reg("agg_distance_remaining", PK + " distance_to_next_route_stop:d3 distance_remaining_after_next_stop:d3 "
-     "distance_remaining:d3", "SELECT * FROM h_ctx", "h_ctx")
+     "distance_remaining:d3", "SELECT * FROM h_ctx2", "h_ctx2")
 def _a9(spark, sf):
     return hist_trips(spark, sf)
 
 
 @reg("agg_first_arrival", "date:date route_id:s trip_id:s stop_id:s first_ts:t",
-     "SELECT date, route_id, trip_id, current_stop_id AS stop_id, min(ts) AS first_ts FROM h_ctx GROUP BY ALL",
-     "h_ctx")
+     "SELECT date, route_id, trip_id, current_stop_id AS stop_id, min(ts) AS first_ts FROM h_ctx2 GROUP BY ALL",
+     "h_ctx2")
 def _a10(spark, sf):
     return (hist_trips(spark, sf).groupBy(*mapmatch.TRIP_KEYS, F.col("current_stop_id").alias("stop_id"))
             .agg(F.min("ts").alias("first_ts")))
@@ -575,7 +575,7 @@ def _a15(spark, sf):
 
 # -- 2.5 windows --
 
-@reg("win_next_ping", PK + " next_lat:d9 next_lon:d9 next_timestamp:t", "SELECT * FROM h_ctx", "h_ctx")
+@reg("win_next_ping", PK + " next_lat:d9 next_lon:d9 next_timestamp:t", "SELECT * FROM h_ctx2", "h_ctx2")
 def _w1(spark, sf):
     return hist_trips(spark, sf)
 
@@ -748,7 +748,7 @@ def _g4(spark, sf):
 
 
 @reg("geo_distance", PK + " d:d3",
-     f"SELECT *, {geo.distance_sql('latitude', 'longitude', 'next_lat', 'next_lon')} AS d FROM h_ctx", "h_ctx")
+     f"SELECT *, {geo.distance_sql('latitude', 'longitude', 'next_lat', 'next_lon')} AS d FROM h_ctx2", "h_ctx2")
 def _g5(spark, sf):
     return geo.with_distance(hist_trips(spark, sf), "latitude", "longitude", "next_lat", "next_lon", "d")
 
@@ -830,22 +830,22 @@ def _v5(spark, sf):
 
 
 @reg("ctx_current_next_stop", PK + " route_position:i total_route_stops:i current_stop_id:s next_stop_id:s",
-     "SELECT * FROM h_ctx", "h_ctx")
+     "SELECT * FROM h_ctx2", "h_ctx2")
 def _r1(spark, sf):
     return hist_trips(spark, sf)
 
 
-@reg("ctx_future_stops", PK + " future_stop_ids:as", "SELECT * FROM h_ctx", "h_ctx")
+@reg("ctx_future_stops", PK + " future_stop_ids:as", "SELECT * FROM h_ctx2", "h_ctx2")
 def _r2(spark, sf):
     return hist_trips(spark, sf)
 
 
-@reg("ctx_future_distances", PK + " future_segment_distances:ad1", "SELECT * FROM h_ctx", "h_ctx")
+@reg("ctx_future_distances", PK + " future_segment_distances:ad1", "SELECT * FROM h_ctx2", "h_ctx2")
 def _r3(spark, sf):
     return hist_trips(spark, sf)
 
 
-@reg("ctx_distance_to_next_stop", PK + " distance_to_next_route_stop:d3", "SELECT * FROM h_ctx", "h_ctx")
+@reg("ctx_distance_to_next_stop", PK + " distance_to_next_route_stop:d3", "SELECT * FROM h_ctx2", "h_ctx2")
 def _r4(spark, sf):
     return hist_trips(spark, sf)
 
@@ -859,9 +859,9 @@ def _r5(spark, sf):
      """SELECT c.date, c.route_id, c.trip_id, c.seq,
         coalesce(list(fa.first_ts ORDER BY u.i) FILTER (WHERE fa.first_ts IS NOT NULL), []::TIMESTAMP[])
           AS arrival_time_to_future_stops
-        FROM h_ctx c CROSS JOIN LATERAL unnest(c.future_stop_ids) WITH ORDINALITY AS u(s, i)
+        FROM h_ctx2 c CROSS JOIN LATERAL unnest(c.future_stop_ids) WITH ORDINALITY AS u(s, i)
         LEFT JOIN h_fa fa ON fa.date = c.date AND fa.route_id = c.route_id AND fa.trip_id = c.trip_id
-          AND fa.stop_id = u.s GROUP BY ALL""", "h_ctx", "h_fa")
+          AND fa.stop_id = u.s GROUP BY ALL""", "h_ctx2", "h_fa")
 def _r6(spark, sf):
     w = _wl(spark, sf)
     m = mapmatch.map_match(clean.clean_pings(w.history_raw()), w.routes())
@@ -870,13 +870,13 @@ def _r6(spark, sf):
 
 
 @reg("ctx_route_context", PK + " current_stop_id:s next_stop_id:s future_stop_ids:as distance_remaining:d3",
-     "SELECT * FROM h_ctx", "h_ctx")
+     "SELECT * FROM h_ctx2", "h_ctx2")
 def _r7(spark, sf):
     return hist_trips(spark, sf)
 
 
 @reg("ctx_process_trips", PK + " ts:t next_timestamp:t route_position:i distance_remaining:d3",
-     "SELECT * FROM h_ctx", "h_ctx")
+     "SELECT * FROM h_ctx2", "h_ctx2")
 def _r8(spark, sf):
     w = _wl(spark, sf)
     return context.process_trips(clean.clean_pings(w.history_raw()), w.routes())
@@ -891,12 +891,12 @@ def _r9(spark, sf):
 
 
 @reg("fn_list_join", PK + " future_text:s",
-     "SELECT *, array_to_string(future_stop_ids, ', ') AS future_text FROM h_ctx", "h_ctx")
+     "SELECT *, array_to_string(future_stop_ids, ', ') AS future_text FROM h_ctx2", "h_ctx2")
 def _h1(spark, sf):
     return hist_trips(spark, sf).withColumn("future_text", timeparts.list_join("future_stop_ids"))
 
 
-@reg("fn_list_split", PK + " back:ad1", "SELECT *, future_segment_distances AS back FROM h_ctx", "h_ctx")
+@reg("fn_list_split", PK + " back:ad1", "SELECT *, future_segment_distances AS back FROM h_ctx2", "h_ctx2")
 def _h2(spark, sf):
     t = hist_trips(spark, sf).withColumn("_txt", timeparts.list_join("future_segment_distances"))
     return t.withColumn("back", timeparts.list_split("_txt", as_double=True))
