@@ -43,7 +43,7 @@ def main():
     timed("static_routes", lambda: w.routes().count())
     timed("clean_pings", lambda: run(w.clean_pings()))
     timed("map_match", lambda: run(context.process_trips(clean.clean_pings(w.history_raw()), w.routes())))
-    feats = timed("features", lambda: materialize(w.features()))
+    feats = timed("features", lambda: materialize(w.features(w.history_raw())))
     pats = timed("train_patterns", lambda: materialize(pipelines.fit_patterns(feats)))
     st, seq = w.static()
     pred = timed("predict", lambda: materialize(

@@ -17,8 +17,9 @@ time buckets (chunks) and folded in parallel:
 3. chunk: fold from the entry state, keeping only *transitions* (<= n per
    chunk), and read each ping's position from them.
 
-Event arrays are bounded by a chunk's pings, maps by the stop count; the lists
-of a trip's chunk maps and arrivals grow with its number of chunks. The pings
+Event arrays are bounded by a chunk's pings, maps by the stop count. The lists
+of a trip's chunk maps and arrivals grow with its number of chunks in a day
+(the date is part of a trip's key): 96 of 15 minutes. The pings
 are shuffled once, by (date, route, trip, chunk); later steps reuse that.
 """
 

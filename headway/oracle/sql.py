@@ -36,10 +36,6 @@ def with_ctes(body: str, *roots: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({_CTES[n][0]})" for n in order) + "\n" + body
 
 
-def _lam(body: str) -> str:
-    return body
-
-
 # ---- fixtures ---------------------------------------------------------------------
 cte("fx_stops", f"""
 SELECT CAST({fx.STOP_ID_SQL} AS VARCHAR) AS stop_id, {fx.STOP_LAT_SQL} AS stop_lat, {fx.STOP_LON_SQL} AS stop_lon
@@ -150,7 +146,7 @@ SELECT o.*, f.m AS route_position FROM {prefix}_ord o JOIN {prefix}_fold f USING
     return f"{prefix}_mm"
 
 
-mm_ctes("h", "hist")
+mm_ctes("h", "clean")
 mm_ctes("l", "live")
 
 _D_NEXT_STOP = geo.distance_sql("latitude", "longitude", "lats[np + 1]", "lons[np + 1]")
@@ -256,11 +252,25 @@ FROM {prefix}_feat f LEFT JOIN {prefix}_rfirst r USING (route_id)""", f"{prefix}
 
 feat_ctes("h")
 
-cte("patterns", """
+# the default feature run: the five busiest routes of every date
+cte("top_routes", """
+SELECT date, route_id FROM (
+  SELECT date, route_id, row_number() OVER (PARTITION BY date ORDER BY n DESC, route_id) AS rk
+  FROM (SELECT date, route_id, count(*) AS n FROM clean GROUP BY ALL)) WHERE rk <= 5""", "clean")
+cte("top_full", """
+SELECT f.*, r.avg_trip_length AS route_length, r.complexity_score AS route_complexity,
+       r.stop_density AS route_stop_density, r.avg_speed AS route_avg_speed,
+       f.total_route_stops AS stops_remaining, 0e0 AS progress_ratio
+FROM h_feat f JOIN top_routes t USING (date, route_id)
+LEFT JOIN (SELECT s.* EXCLUDE (date) FROM h_rstats s
+           JOIN (SELECT route_id, min(date) AS date FROM top_routes GROUP BY route_id) m USING (route_id, date)) r
+  USING (route_id)""", "h_feat", "h_rstats", "top_routes")
+
+cte("patterns", f"""
 SELECT current_stop_id, hour, day_of_week, avg(segment_duration) AS dur_mean, stddev_samp(segment_duration) AS dur_std,
        count(segment_duration) AS dur_count, avg(speed) AS speed_mean, stddev_samp(speed) AS speed_std,
        avg(segment_distance) AS dist_mean
-FROM h_feat WHERE segment_duration > 0 AND current_stop_id IS NOT NULL AND hour IS NOT NULL AND day_of_week IS NOT NULL
+FROM h_feat WHERE date < DATE '{fx.QUERY_FROM_DATE}' AND segment_duration > 0 AND current_stop_id IS NOT NULL AND hour IS NOT NULL AND day_of_week IS NOT NULL
 GROUP BY current_stop_id, hour, day_of_week""", "h_feat")
 
 # ---- queries, locate, ladder, predictions ---------------------------------------

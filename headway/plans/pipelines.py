@@ -1,16 +1,18 @@
 """End-to-end plans (E1-E5) composed from the operators.
 
-Each function returns lazy DataFrames; nothing is collected. Static
-tables are materialised once (checkpoint in the shared folder) because
-every trip-level plan joins them several times.
+Nothing of a table is collected. Static tables, route statistics and the
+pattern model are written once to the shared folder while a plan is built,
+because it reads them several times; so do the ``run_*`` functions with their
+outputs. Everything else is lazy.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, context, eta, evaluate as ev, features, patterns, routes, static
+from ..sources import files
 
 
 def build_static(stops: DataFrame, sequences: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -46,6 +48,15 @@ def build_features(raw_pings: DataFrame, stops: DataFrame, sequences: DataFrame,
     return features.extract_all(trips, rolling_scope, stats_scope, position_col)
 
 
+def run_features(raw_pings: DataFrame, stops: DataFrame, sequences: DataFrame, root: str, dates=None,
+                 include=(), exclude=(), max_routes: int = 5, **kw) -> DataFrame:
+    """E2 as one call: the features of the chosen routes of every date (by
+    default the five busiest) are written below ``root`` (K2) and read back (S6)."""
+    feats = build_features(raw_pings, stops, sequences, dates, include, exclude, max_routes, **kw)
+    files.write_route_features(feats, root)
+    return files.read_route_features(raw_pings.sparkSession, root)
+
+
 def fit_patterns(feats: DataFrame, model_key: str = "default") -> DataFrame:
     """Moving rows -> pattern table (``model_key`` column)."""
     return patterns.train(feats, model_key)
@@ -67,6 +78,25 @@ def predict(query_pings: DataFrame, stops: DataFrame, sequences: DataFrame, patt
     return eta.dedupe_repeated_stops(rows, query_col)
 
 
+def predict_routes(query_pings: DataFrame, stops: DataFrame, sequences: DataFrame, pattern_tbl: DataFrame,
+                   routes_tbl: DataFrame | None = None) -> DataFrame:
+    """E4 by route: of several queries on one route the later one in the
+    manifest (``manifest_pos``) that predicts anything replaces the route (U3)."""
+    order = query_pings.groupBy("query_id").agg(F.min("manifest_pos").alias("manifest_pos"))
+    rows = predict(query_pings, stops, sequences, pattern_tbl, routes_tbl=routes_tbl)
+    # written once: the choice of the last query and its rows both read it
+    return eta.latest_per_route(static.materialize(rows.join(order, "query_id")))
+
+
+def run_predict(spark: SparkSession, manifest_path: str, stops: DataFrame, sequences: DataFrame,
+                pattern_tbl: DataFrame, out: str, routes_tbl: DataFrame | None = None) -> DataFrame:
+    """E4 as one call: query files of a manifest (S5) -> predictions by route
+    -> ``{route: {stop: time}}`` documents below ``out`` (K4), read back (S8)."""
+    queries = files.read_query_manifest(spark, manifest_path)
+    files.write_predictions_json(predict_routes(queries, stops, sequences, pattern_tbl, routes_tbl), out)
+    return files.read_eta_json(spark, out)
+
+
 def evaluate(predicted: DataFrame, actual: DataFrame, key: str = "route_id") -> tuple[DataFrame, DataFrame]:
     """E5: per-key scores (in key order) and the overall score.
 

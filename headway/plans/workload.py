@@ -1,6 +1,6 @@
 """The test workload over the driver tables: static network from ``nation``,
-pings from ``orders``, a time split into history (training) and live
-queries, and observed arrivals for scoring. Every table grows with the
+pings from ``orders``, features of all pings, a time split into history (which
+alone trains the model) and live queries, and observed arrivals for scoring. Every table grows with the
 scale factor; nothing is sampled.
 """
 
@@ -53,14 +53,16 @@ class Workload:
         q = self.live_raw().withColumn("query_id", F.translate("trip_id", '"', ""))
         return q.where(F.col("seq") <= F.expr(fx.QUERY_CUT_SQL.replace("o", "CAST(query_id AS BIGINT)")))
 
-    def features(self, rolling_scope: str = "trip", stats_scope: str = "first_date") -> DataFrame:
+    def features(self, raw: DataFrame | None = None, rolling_scope: str = "trip",
+                 stats_scope: str = "first_date") -> DataFrame:
+        """Features of every ping, or of the raw pings given."""
         st, seq = self.static()
-        return pipelines.build_features(self.history_raw(), st, seq, select=False,
+        return pipelines.build_features(self.raw_pings() if raw is None else raw, st, seq, select=False,
                                         rolling_scope=rolling_scope, stats_scope=stats_scope,
                                         routes_tbl=self.routes())
 
     def patterns(self) -> DataFrame:
-        return pipelines.fit_patterns(self.features())
+        return pipelines.fit_patterns(self.features(self.history_raw()))
 
     def predictions(self) -> DataFrame:
         st, seq = self.static()

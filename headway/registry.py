@@ -118,18 +118,19 @@ def routes_tbl(spark, sf):
     return _wl(spark, sf).routes()
 
 
-def hist_features(spark, sf):
-    return _cached(spark, sf, "hist_features", lambda: _wl(spark, sf).features())
+def all_features(spark, sf):
+    return _cached(spark, sf, "all_features", lambda: _wl(spark, sf).features())
 
 
-def hist_trips(spark, sf):
+def all_trips(spark, sf):
     w = _wl(spark, sf)
-    return _cached(spark, sf, "hist_trips", lambda: context.process_trips(
-        clean.clean_pings(w.history_raw()), w.routes()))
+    return _cached(spark, sf, "all_trips", lambda: context.process_trips(
+        w.clean_pings(), w.routes()))
 
 
 def patterns_tbl(spark, sf):
-    return _cached(spark, sf, "patterns", lambda: pipelines.fit_patterns(hist_features(spark, sf)))
+    return _cached(spark, sf, "patterns", lambda: pipelines.fit_patterns(
+        all_features(spark, sf).where(F.col("date") < F.lit(fx.QUERY_FROM_DATE).cast("date"))))
 
 
 def predictions_tbl(spark, sf):
@@ -215,10 +216,8 @@ def _src_pings(spark, sf):
     return files.read_pings(spark, path)
 
 
-@reg("src_query_manifest", RAWK + " query_id:s manifest_pos:i latitude:d9",
-     """SELECT route_id, trip_id, seq, query_id, latitude,
-        dense_rank() OVER (ORDER BY CAST(query_id AS BIGINT)) - 1 AS manifest_pos FROM q_raw""", "q_raw")
-def _src_manifest(spark, sf):
+def _manifest(spark, sf) -> str:
+    """Every query in a folder of its own, and the manifest that lists them."""
     root = scratch_path(spark, "queries")
     q = _wl(spark, sf).query_raw()
     q.repartition("query_id").write.mode("overwrite").partitionBy("query_id").parquet(root)
@@ -227,7 +226,14 @@ def _src_manifest(spark, sf):
     manifest = {i: f"{root}/query_id={i}" for i in ids}
     mpath = scratch_path(spark, "manifest")
     spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.text(mpath)
-    return files.read_query_manifest(spark, mpath)
+    return mpath
+
+
+@reg("src_query_manifest", RAWK + " query_id:s manifest_pos:i latitude:d9",
+     """SELECT route_id, trip_id, seq, query_id, latitude,
+        dense_rank() OVER (ORDER BY CAST(query_id AS BIGINT)) - 1 AS manifest_pos FROM q_raw""", "q_raw")
+def _src_manifest(spark, sf):
+    return files.read_query_manifest(spark, _manifest(spark, sf))
 
 
 FEAT_OUT = PK + " current_stop_id:s route_position:i speed:d6 segment_distance:d3 hour:i"
@@ -236,7 +242,7 @@ FEAT_OUT = PK + " current_stop_id:s route_position:i speed:d6 segment_distance:d
 @reg("src_route_features", FEAT_OUT, "SELECT * FROM h_full", "h_full")
 def _src_feats(spark, sf):
     root = scratch_path(spark, "features")
-    files.write_route_features(hist_features(spark, sf), root)
+    files.write_route_features(all_features(spark, sf), root)
     return files.read_route_features(spark, root)
 
 
@@ -270,7 +276,7 @@ def _sink_static(spark, sf):
      "SELECT route_id, date, count(*) AS n FROM h_full GROUP BY ALL", "h_full")
 def _sink_feats(spark, sf):
     root = scratch_path(spark, "features_sink")
-    files.write_route_features(hist_features(spark, sf), root)
+    files.write_route_features(all_features(spark, sf), root)
     r = files.read_route_features(spark, root)
     return r.groupBy("route_id", "date").agg(F.count(F.lit(1)).alias("n"))
 
@@ -357,7 +363,7 @@ def _p7(spark, sf):
 @reg("filter_moving_segments", PK + " segment_duration:d3 speed:d6",
      "SELECT * FROM h_full WHERE segment_duration > 0", "h_full")
 def _p8(spark, sf):
-    return clean.moving_segments(hist_features(spark, sf))
+    return clean.moving_segments(all_features(spark, sf))
 
 
 @reg("select_routes", "date:date route_id:s n:i",
@@ -380,7 +386,7 @@ FM_SPEC = PK + " " + " ".join(f"{c}:d6" for c in FM_COLS)
          f"coalesce(CASE WHEN isnan(CAST({c} AS DOUBLE)) OR isinf(CAST({c} AS DOUBLE)) THEN NULL "
          f"ELSE CAST({c} AS DOUBLE) END, 0e0) AS {c}" for c in FM_COLS) + " FROM h_full", "h_full")
 def _p10(spark, sf):
-    m = clean.feature_matrix(hist_features(spark, sf), keep=("date", "route_id", "trip_id"))
+    m = clean.feature_matrix(all_features(spark, sf), keep=("date", "route_id", "trip_id"))
     return m.select("date", "route_id", "trip_id", "seq", *FM_COLS)
 
 
@@ -406,14 +412,14 @@ def _j2(spark, sf):
      "FROM h_ctx2 c LEFT JOIN fx_stops s ON s.stop_id = c.next_stop_id", "h_ctx2", "fx_stops")
 def _j3(spark, sf):
     st = fx.stops(spark, sf).withColumnRenamed("stop_id", "next_stop_id")
-    return hist_trips(spark, sf).join(st, "next_stop_id", "left")
+    return all_trips(spark, sf).join(st, "next_stop_id", "left")
 
 
 @reg("join_ping_segments", PK + " open:ai",
      "SELECT date, route_id, trip_id, seq, coalesce(open, []::INTEGER[]) AS open FROM h_ord", "h_ord")
 def _j4(spark, sf):
     w = _wl(spark, sf)
-    p = mapmatch.with_projection(mapmatch.attach_route(clean.clean_pings(w.history_raw()), w.routes()),
+    p = mapmatch.with_projection(mapmatch.attach_route(w.clean_pings(), w.routes()),
                                  w.routes())
     return p.withColumn("open", F.expr(mapmatch.OPEN_SQL))
 
@@ -422,7 +428,7 @@ def _j4(spark, sf):
      "SELECT * FROM h_fa", "h_fa")
 def _j5(spark, sf):
     w = _wl(spark, sf)
-    m = mapmatch.map_match(clean.clean_pings(w.history_raw()), w.routes())
+    m = mapmatch.map_match(w.clean_pings(), w.routes())
     per_trip = m.groupBy(*mapmatch.TRIP_KEYS).agg(F.first("first_arrival").alias("fa"))
     return per_trip.select(*mapmatch.TRIP_KEYS, F.explode("fa").alias("stop_id", "first_ts"))
 
@@ -439,7 +445,7 @@ def _j6(spark, sf):
 @reg("join_route_characteristics", PK + " route_length:d3 route_complexity:d6 route_stop_density:d9 "
      "route_avg_speed:d6", "SELECT * FROM h_full", "h_full")
 def _j7(spark, sf):
-    return hist_features(spark, sf)
+    return all_features(spark, sf)
 
 
 ERR_SPEC = "query_id:s stop_id:s key_predicted:b abs_min:d6 diff_s:d3"
@@ -469,7 +475,7 @@ def _a2(spark, sf):
         stddev_samp(speed) AS speed_std, avg(segment_distance) AS dist_mean
         FROM h_feat WHERE segment_duration > 0 GROUP BY ALL""", "h_feat")
 def _a3(spark, sf):
-    return pat.train(hist_features(spark, sf), per_route=True)
+    return pat.train(all_features(spark, sf), per_route=True)
 
 
 RSTAT_SPEC = "date:date route_id:s avg_trip_length:d3 stop_density:d9 avg_speed:d6 complexity_score:d6"
@@ -477,12 +483,12 @@ RSTAT_SPEC = "date:date route_id:s avg_trip_length:d3 stop_density:d9 avg_speed:
 
 @reg("agg_route_characteristics", RSTAT_SPEC, "SELECT * FROM h_rstats", "h_rstats")
 def _a4(spark, sf):
-    return feat.route_characteristics(hist_features(spark, sf))
+    return feat.route_characteristics(all_features(spark, sf))
 
 
 @reg("agg_route_complexity", "date:date route_id:s complexity_score:d6", "SELECT * FROM h_rstats", "h_rstats")
 def _a5(spark, sf):
-    return feat.route_characteristics(hist_features(spark, sf))
+    return feat.route_characteristics(all_features(spark, sf))
 
 
 @reg("agg_ladder_levels", "level:i s:s hour:i day_of_week:i mean:d6 cells:i",
@@ -521,14 +527,14 @@ def _a8(spark, sf):
 @reg("agg_distance_remaining", PK + " distance_to_next_route_stop:d3 distance_remaining_after_next_stop:d3 "
      "distance_remaining:d3", "SELECT * FROM h_ctx2", "h_ctx2")
 def _a9(spark, sf):
-    return hist_trips(spark, sf)
+    return all_trips(spark, sf)
 
 
 @reg("agg_first_arrival", "date:date route_id:s trip_id:s stop_id:s first_ts:t",
      "SELECT date, route_id, trip_id, current_stop_id AS stop_id, min(ts) AS first_ts FROM h_ctx2 GROUP BY ALL",
      "h_ctx2")
 def _a10(spark, sf):
-    return (hist_trips(spark, sf).groupBy(*mapmatch.TRIP_KEYS, F.col("current_stop_id").alias("stop_id"))
+    return (all_trips(spark, sf).groupBy(*mapmatch.TRIP_KEYS, F.col("current_stop_id").alias("stop_id"))
             .agg(F.min("ts").alias("first_ts")))
 
 
@@ -555,14 +561,14 @@ def _a12(spark, sf):
      "SELECT current_stop_id, date, hour, avg(speed) AS mean_speed, count(*) AS n FROM h_full "
      "WHERE segment_duration > 0 GROUP BY ALL", "h_full")
 def _a13(spark, sf):
-    return reports.speed_by_hour_day(hist_features(spark, sf))
+    return reports.speed_by_hour_day(all_features(spark, sf))
 
 
 @reg("report_speed_histogram", "current_stop_id:s hour:i bucket:i n:i",
      "SELECT current_stop_id, hour, least(CAST(floor(speed / 1e0) AS INTEGER), 30) AS bucket, count(*) AS n "
      "FROM h_full WHERE segment_duration > 0 GROUP BY ALL", "h_full")
 def _a14(spark, sf):
-    return reports.speed_histogram(hist_features(spark, sf))
+    return reports.speed_histogram(all_features(spark, sf))
 
 
 @reg("report_pattern_inventory", "route_id:s n_stops:i n_cells:i",
@@ -570,14 +576,14 @@ def _a14(spark, sf):
      "count(DISTINCT (current_stop_id, hour, day_of_week)) AS n_cells FROM h_full WHERE segment_duration > 0 "
      "GROUP BY route_id", "h_full")
 def _a15(spark, sf):
-    return reports.pattern_inventory(hist_features(spark, sf))
+    return reports.pattern_inventory(all_features(spark, sf))
 
 
 # -- 2.5 windows --
 
 @reg("win_next_ping", PK + " next_lat:d9 next_lon:d9 next_timestamp:t", "SELECT * FROM h_ctx2", "h_ctx2")
 def _w1(spark, sf):
-    return hist_trips(spark, sf)
+    return all_trips(spark, sf)
 
 
 @reg("win_next_stop_distance", "route_id:i stop_id_list:as next_stop_distances:ad1",
@@ -588,17 +594,17 @@ def _w2(spark, sf):
 
 @reg("win_bearing_change", PK + " bearing_change:d6", "SELECT * FROM h_feat", "h_feat")
 def _w3(spark, sf):
-    return hist_features(spark, sf)
+    return all_features(spark, sf)
 
 
 @reg("win_acceleration", PK + " speed:d6 acceleration:d6", "SELECT * FROM h_feat", "h_feat")
 def _w4(spark, sf):
-    return hist_features(spark, sf)
+    return all_features(spark, sf)
 
 
 @reg("win_direction_consistency", PK + " direction_consistency:d6", "SELECT * FROM h_feat", "h_feat")
 def _w5(spark, sf):
-    return hist_features(spark, sf)
+    return all_features(spark, sf)
 
 
 @reg("win_direction_consistency_route", PK + " direction_consistency:d6",
@@ -608,14 +614,14 @@ def _w5(spark, sf):
         WINDOW w AS (PARTITION BY date, route_id ORDER BY tfirst, trip_id, ts, seq
                      ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""", "h_feat")
 def _w5r(spark, sf):
-    f = hist_features(spark, sf).drop("direction_consistency")
+    f = all_features(spark, sf).drop("direction_consistency")
     return feat.direction_consistency(f, scope="route")
 
 
 @reg("win_map_match", PK + " route_position:i", "SELECT * FROM h_mm", "h_mm")
 def _w6(spark, sf):
     w = _wl(spark, sf)
-    return mapmatch.map_match(clean.clean_pings(w.history_raw()), w.routes())
+    return mapmatch.map_match(w.clean_pings(), w.routes())
 
 
 @reg("win_cumulative_eta", "query_id:s i:i duration_s:d3 arrival_ts:t", "SELECT * FROM predictions",
@@ -750,12 +756,12 @@ def _g4(spark, sf):
 @reg("geo_distance", PK + " d:d3",
      f"SELECT *, {geo.distance_sql('latitude', 'longitude', 'next_lat', 'next_lon')} AS d FROM h_ctx2", "h_ctx2")
 def _g5(spark, sf):
-    return geo.with_distance(hist_trips(spark, sf), "latitude", "longitude", "next_lat", "next_lon", "d")
+    return geo.with_distance(all_trips(spark, sf), "latitude", "longitude", "next_lat", "next_lon", "d")
 
 
 def _proj_pings(spark, sf):
     w = _wl(spark, sf)
-    return mapmatch.with_projection(mapmatch.attach_route(clean.clean_pings(w.history_raw()), w.routes()),
+    return mapmatch.with_projection(mapmatch.attach_route(w.clean_pings(), w.routes()),
                                     w.routes())
 
 
@@ -799,23 +805,23 @@ def _g9(spark, sf):
 
 @reg("feat_segment_metrics", PK + " segment_distance:d3 segment_duration:d3", "SELECT * FROM h_feat", "h_feat")
 def _v1(spark, sf):
-    return hist_features(spark, sf)
+    return all_features(spark, sf)
 
 
 @reg("feat_speed", PK + " speed:d6", "SELECT * FROM h_feat", "h_feat")
 def _v2(spark, sf):
-    return hist_features(spark, sf)
+    return all_features(spark, sf)
 
 
 @reg("feat_turn_rates", PK + " bearing_change_per_meter:d6 bearing_change_per_second:d6",
      "SELECT * FROM h_feat", "h_feat")
 def _v3(spark, sf):
-    return hist_features(spark, sf)
+    return all_features(spark, sf)
 
 
 @reg("feat_progress", PK + " stops_remaining:i progress_ratio:d6", "SELECT * FROM h_full", "h_full")
 def _v4(spark, sf):
-    return hist_features(spark, sf)
+    return all_features(spark, sf)
 
 
 ALL_SPEC = (PK + " hour:i day_of_week:i week_of_year:i is_weekend:b is_night:b hour_sin:d9 month_cos:d9 "
@@ -826,33 +832,33 @@ ALL_SPEC = (PK + " hour:i day_of_week:i week_of_year:i is_weekend:b is_night:b h
 
 @reg("feat_all", ALL_SPEC, "SELECT * FROM h_full", "h_full")
 def _v5(spark, sf):
-    return hist_features(spark, sf)
+    return all_features(spark, sf)
 
 
 @reg("ctx_current_next_stop", PK + " route_position:i total_route_stops:i current_stop_id:s next_stop_id:s",
      "SELECT * FROM h_ctx2", "h_ctx2")
 def _r1(spark, sf):
-    return hist_trips(spark, sf)
+    return all_trips(spark, sf)
 
 
 @reg("ctx_future_stops", PK + " future_stop_ids:as", "SELECT * FROM h_ctx2", "h_ctx2")
 def _r2(spark, sf):
-    return hist_trips(spark, sf)
+    return all_trips(spark, sf)
 
 
 @reg("ctx_future_distances", PK + " future_segment_distances:ad1", "SELECT * FROM h_ctx2", "h_ctx2")
 def _r3(spark, sf):
-    return hist_trips(spark, sf)
+    return all_trips(spark, sf)
 
 
 @reg("ctx_distance_to_next_stop", PK + " distance_to_next_route_stop:d3", "SELECT * FROM h_ctx2", "h_ctx2")
 def _r4(spark, sf):
-    return hist_trips(spark, sf)
+    return all_trips(spark, sf)
 
 
 @reg("ctx_duration_to_future_stops", PK + " duration_to_future_stops:ad3", "SELECT * FROM h_ctx", "h_ctx")
 def _r5(spark, sf):
-    return hist_trips(spark, sf)
+    return all_trips(spark, sf)
 
 
 @reg("ctx_arrival_time_to_future_stops", PK + " arrival_time_to_future_stops:at",
@@ -864,7 +870,7 @@ def _r5(spark, sf):
           AND fa.stop_id = u.s GROUP BY ALL""", "h_ctx2", "h_fa")
 def _r6(spark, sf):
     w = _wl(spark, sf)
-    m = mapmatch.map_match(clean.clean_pings(w.history_raw()), w.routes())
+    m = mapmatch.map_match(w.clean_pings(), w.routes())
     m = mapmatch.attach_route(m.drop("n"), w.routes())
     return context.arrival_times_to_future_stops(context.route_context(m))
 
@@ -872,14 +878,14 @@ def _r6(spark, sf):
 @reg("ctx_route_context", PK + " current_stop_id:s next_stop_id:s future_stop_ids:as distance_remaining:d3",
      "SELECT * FROM h_ctx2", "h_ctx2")
 def _r7(spark, sf):
-    return hist_trips(spark, sf)
+    return all_trips(spark, sf)
 
 
 @reg("ctx_process_trips", PK + " ts:t next_timestamp:t route_position:i distance_remaining:d3",
      "SELECT * FROM h_ctx2", "h_ctx2")
 def _r8(spark, sf):
     w = _wl(spark, sf)
-    return context.process_trips(clean.clean_pings(w.history_raw()), w.routes())
+    return context.process_trips(w.clean_pings(), w.routes())
 
 
 @reg("ctx_query_state", "query_id:s route_id:s ts:t route_position:i total_route_stops:i current_stop_id:s "
@@ -893,12 +899,12 @@ def _r9(spark, sf):
 @reg("fn_list_join", PK + " future_text:s",
      "SELECT *, array_to_string(future_stop_ids, ', ') AS future_text FROM h_ctx2", "h_ctx2")
 def _h1(spark, sf):
-    return hist_trips(spark, sf).withColumn("future_text", timeparts.list_join("future_stop_ids"))
+    return all_trips(spark, sf).withColumn("future_text", timeparts.list_join("future_stop_ids"))
 
 
 @reg("fn_list_split", PK + " back:ad1", "SELECT *, future_segment_distances AS back FROM h_ctx2", "h_ctx2")
 def _h2(spark, sf):
-    t = hist_trips(spark, sf).withColumn("_txt", timeparts.list_join("future_segment_distances"))
+    t = all_trips(spark, sf).withColumn("_txt", timeparts.list_join("future_segment_distances"))
     return t.withColumn("back", timeparts.list_split("_txt", as_double=True))
 
 
@@ -932,12 +938,19 @@ def _e1(spark, sf):
 def _e2(spark, sf):
     w = _wl(spark, sf)
     st, seq = w.static()
-    return pipelines.build_features(w.history_raw(), st, seq, select=False, routes_tbl=w.routes())
+    return pipelines.build_features(w.raw_pings(), st, seq, select=False, routes_tbl=w.routes())
+
+
+@reg("pipe_features_top_routes", ALL_SPEC, "SELECT * FROM top_full", "top_full")
+def _e2t(spark, sf):
+    w = _wl(spark, sf)
+    st, seq = w.static()
+    return pipelines.run_features(w.raw_pings(), st, seq, scratch_path(spark, "top_features"), routes_tbl=w.routes())
 
 
 @reg("pipe_train", "model_key:s " + PAT_SPEC, "SELECT 'default' AS model_key, * FROM patterns", "patterns")
 def _e3(spark, sf):
-    return pipelines.fit_patterns(hist_features(spark, sf))
+    return pipelines.fit_patterns(all_features(spark, sf).where(F.col("date") < F.lit(fx.QUERY_FROM_DATE).cast("date")))
 
 
 @reg("pipe_predict", "query_id:s route_id:s i:i stop_id:s arrival:s",
@@ -950,6 +963,17 @@ def _e4(spark, sf):
     return p.withColumn("arrival", timeparts.format_arrival("arrival_ts"))
 
 
+@reg("pipe_predict_routes", "route_id:s stop_id:s arrival:s",
+     """SELECT p.route_id, p.stop_id, strftime(p.arrival_ts, '%Y-%m-%d %H:%M:%S') AS arrival FROM predictions p
+        JOIN (SELECT route_id, max(CAST(query_id AS BIGINT)) AS q FROM predictions GROUP BY route_id) m
+          ON m.route_id = p.route_id AND CAST(p.query_id AS BIGINT) = m.q""", "predictions")
+def _e4r(spark, sf):
+    w = _wl(spark, sf)
+    st, seq = w.static()
+    return pipelines.run_predict(spark, _manifest(spark, sf), st, seq, patterns_tbl(spark, sf),
+                                 scratch_path(spark, "eta"), routes_tbl=w.routes())
+
+
 @reg("pipe_evaluate", "query_id:s eta_score_minutes:d6", "SELECT * FROM scores", "scores")
 def _e5(spark, sf):
     return pipelines.evaluate(pred_text(spark, sf), actuals_tbl(spark, sf), "query_id")[0]
@@ -962,10 +986,10 @@ def _stream_src(spark, sf, name, df):
     return write_stream_source(df, scratch_path(spark, name))
 
 
-@reg("stream_clean_pings", CLEAN_SPEC, "SELECT * FROM live", "live")
+@reg("stream_clean_pings", CLEAN_SPEC, "SELECT * FROM clean", "clean")
 def _x1(spark, sf):
     from .streaming.stream import clean_stream
-    src = _stream_src(spark, sf, "x1_src", _wl(spark, sf).live_raw())
+    src = _stream_src(spark, sf, "x1_src", _wl(spark, sf).raw_pings())
     return clean_stream(spark, src)
 
 
