@@ -27,7 +27,7 @@ FILTERS = 8          # of each width
 DIM = 8
 ROWS = 1 << 16       # of the hashed embedding; row 0 is "no feature"
 #: Labelled rows that the fit may use: of label 1 and of label 0.
-SAMPLE_ROWS = (1500, 3000)
+SAMPLE_ROWS = (2500, 4000)
 #: Longest sampled text in characters; only the fit has such a bound.
 SAMPLE_CHARS = 200_000
 SCORE_BINS = 1000
@@ -94,17 +94,24 @@ def predict(model: Model, texts: list[str | None]) -> np.ndarray:
     return 1 / (1 + np.exp(-(hidden @ model.out + model.out_bias).astype(np.float64)))
 
 
-def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = 6, batch: int = 64, seed: int = 7) -> Model:
-    """Trains on the sample; ``share`` is the share of label 1 among all
-    labelled rows, to which the scores are set back."""
+def packed(text: str) -> tuple[bytes, bytes]:
+    """What a fit reads of a text: the feature rows of its distinct words
+    (16 bits each) and every word's number among these (16 or 32 bits)."""
+    f, k = features(textops.words(textops.codes([text])))
+    return f.astype(np.uint16).tobytes(), k.astype(np.uint16 if len(f) <= 1 << 16 else np.uint32).tobytes()
+
+
+def unpacked(feats: bytes, number: bytes) -> tuple[np.ndarray, np.ndarray]:
+    f = np.frombuffer(feats, dtype=np.uint16).reshape(-1, 1 + len(PREFIXES))
+    return f, np.frombuffer(number, dtype=np.uint16 if len(f) <= 1 << 16 else np.uint32)
+
+
+def fit(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, share: float, epochs: int = 6, batch: int = 64, seed: int = 7) -> Model:
+    """Trains on the sample's unpacked texts; ``share`` is the share of label 1
+    among all labelled rows, to which the scores are set back."""
     rng = np.random.default_rng(seed)
     y = np.asarray(labels, dtype=np.float32)
-    n = len(texts)
-    docs = []
-    for t in texts:
-        w = textops.words(textops.codes([t]))
-        f, k = features(w)
-        docs.append((f.astype(np.int32), k))
+    n = len(docs)
     filters = [rng.normal(0, 0.1, (k, DIM, FILTERS)).astype(np.float32) for k in WIDTHS]
     emb = rng.normal(0, 0.05, (ROWS, DIM)).astype(np.float32)
     # warm start: the first dimension holds each feature's log odds over the sample's texts, shrunk where it is rare
@@ -135,8 +142,8 @@ def fit(texts: list[str], labels: np.ndarray, share: float, epochs: int = 6, bat
             first = np.zeros(len(pick) + 1, dtype=np.int64)
             np.cumsum([len(docs[j][1]) for j in pick], out=first[1:])
             base = np.cumsum([0] + [len(docs[j][0]) for j in pick])
-            feats = np.concatenate([docs[j][0] for j in pick])
-            number = np.concatenate([docs[j][1] + b for j, b in zip(pick, base)])
+            feats = np.concatenate([docs[j][0] for j in pick]).astype(np.int32)
+            number = np.concatenate([docs[j][1].astype(np.int64) + b for j, b in zip(pick, base)])
             m = Model(emb, [params[f"f{k}"] for k in range(len(WIDTHS))], params["bias"], params["out"], float(params["ob"][0]))
             top, at = _pool(m, feats, number, first, where=True)
             z = top + m.bias
@@ -188,19 +195,29 @@ def learnable(labels: DataFrame, label: str) -> DataFrame:
             .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
 
 
+@F.arrow_udf(T.StructType([T.StructField("feats", T.BinaryType()), T.StructField("number", T.BinaryType())]))
+def _packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for texts in batches:
+        got = [packed(t.as_py()) for t in texts]
+        yield pa.StructArray.from_arrays([pa.array([x[i] for x in got], pa.binary()) for i in (0, 1)], names=["feats", "number"])
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: tuple[int, int] = SAMPLE_ROWS) -> Model:
     """Fits on at most sample[0] rows of label 1 and sample[1] of label 0, the
-    first by a hash of doc_id.  No labelled rows: a model that gives every
-    text the same score of nearly zero."""
+    first by a hash of doc_id (of several texts of an id, the smallest).  The
+    sampled texts are packed on the executors; only feature numbers come to
+    the driver.  No labelled rows: a model that gives every text the same
+    score of nearly zero."""
     known = learnable(labels, label)
     share = known.agg(F.avg("label")).first()[0] or 0.0
     by_hash = F.xxhash64(F.lit(11), F.col("doc_id"))
     ids = [known.where(F.col("label") == v).orderBy(by_hash, "doc_id").limit(n) for v, n in ((1, sample[0]), (0, sample[1]))]
     picked = ids[0].unionByName(ids[1])
     rows = (docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).join(F.broadcast(picked), "doc_id")  # sum(sample) rows
-            .select("doc_id", "text", "label").toPandas())
-    rows = rows.assign(text=rows.text.fillna("")).sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
-    return fit(rows.text.tolist(), rows.label.to_numpy(), float(share))
+            .groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.min("label").alias("label"))
+            .select("doc_id", "label", _packed("text").alias("x")).select("doc_id", "label", "x.*").collect())
+    rows.sort(key=lambda r: r["doc_id"])
+    return fit([unpacked(r["feats"], r["number"]) for r in rows], np.array([r["label"] for r in rows]), float(share))
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

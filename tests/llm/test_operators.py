@@ -415,3 +415,11 @@ def test_no_labels(spark, odd, labels):
     scores = toxicity.scored(odd, model)
     assert scores.where("score < 0.3").count() == odd.count()
     assert {r["threshold"] for r in toxicity.thresholds(scores, labels.limit(0)).collect()} == {1.1}
+def test_sample_is_packed_whole():
+    assert toxicity.SAMPLE_ROWS == (2500, 4000)
+    for t in ("", "!!", "the cat sat on the mat", " ".join(f"w{i}" for i in range(70_000)) + " w1"):
+        f, k = toxicity.features(textops.words(textops.codes([t])))
+        g, m = toxicity.unpacked(*toxicity.packed(t))
+        assert (f == g).all() and (k == m).all() and f.shape == g.shape
+
+
