@@ -4,7 +4,7 @@ candidate and its surroundings.
 Candidates are all runs of 16 and more token characters with a digit among
 them.  The network (character embeddings, filters of three and five
 characters, max pooling, a logistic layer, in numpy) sees 24 characters
-before a candidate, up to 48 of the candidate and 16 after it.  It learns from
+before a candidate, the whole candidate (padded to 48) and 16 after it.  It learns from
 findings: candidates that a pattern confirms against those that none does.
 Its scores are calibrated and its threshold set over the findings of all
 texts, so that a stated share of the confirmed ones lies above it.  Pattern
@@ -66,10 +66,11 @@ DIGIT = re.compile(r"[0-9]")
 
 
 def window(text: str, start: int, end: int) -> bytes:
-    """The characters that the network sees: one byte each, 128 for what is
-    not ASCII, 129 for padding."""
+    """The characters that the network sees, WIDE or, of a candidate longer
+    than INSIDE, more: one byte each, 128 for what is not ASCII, 129 for
+    padding."""
     a = text[max(0, start - BEFORE):start]
-    b = text[start:min(end, start + INSIDE)]
+    b = text[start:end]
     c = text[end:end + AFTER]
     code = lambda s: bytes(min(ord(x), 128) for x in s)
     pad = b"\x81"
@@ -86,31 +87,55 @@ class Model(NamedTuple):
     shift: float
 
 
-def _forward(m: Model, x: np.ndarray):
-    e = m.embedding[x]                                    # n x WIDE x DIM
-    tops, ats, cols = [], [], []
-    for f, w in zip(m.filters, WIDTHS):
-        z = np.concatenate([e[:, i:WIDE - w + 1 + i] for i in range(w)], axis=2)
-        r = z @ f                                         # n x places x FILTERS
-        at = r.argmax(axis=1)
-        tops.append(np.take_along_axis(r, at[:, None], axis=1)[:, 0])
-        ats.append(at)
-        cols.append(z)
-    hidden = np.maximum(np.concatenate(tops, axis=1) + m.bias, 0)
-    return hidden, ats, cols, hidden @ m.out + m.out_bias
+def pieces(windows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The windows cut into pieces of WIDE characters (p x WIDE) that overlap
+    so far that every place of every filter lies in one, and each window's
+    first piece.  Pooled over its pieces, a window is seen whole."""
+    step = WIDE - max(WIDTHS) + 1
+    starts = [[*range(0, len(w) - WIDE, step), len(w) - WIDE] for w in windows]
+    first = np.zeros(len(windows), dtype=np.int64)
+    np.cumsum([len(s) for s in starts[:-1]], out=first[1:])
+    x = np.frombuffer(b"".join(w[a:a + WIDE] for w, s in zip(windows, starts) for a in s), dtype=np.uint8)
+    return x.reshape(-1, WIDE), first
+
+
+def _forward(m: Model, x: np.ndarray, first: np.ndarray, where: bool = False):
+    """Pooled responses and logits of the windows that begin at ``first``
+    among the pieces; with ``where`` also, by width, the characters (n x
+    FILTERS x width) that each filter responded to most."""
+    tops, ats = [[] for _ in WIDTHS], [[] for _ in WIDTHS]
+    for i in range(0, len(x), 2048):                      # pieces at a time
+        e = m.embedding[x[i:i + 2048]]                    # pieces x WIDE x DIM
+        for k, (f, w) in enumerate(zip(m.filters, WIDTHS)):
+            r = np.concatenate([e[:, o:WIDE - w + 1 + o] for o in range(w)], axis=2) @ f      # pieces x places x FILTERS
+            at = r.argmax(axis=1)
+            tops[k].append(np.take_along_axis(r, at[:, None], axis=1)[:, 0])
+            ats[k].append(at)
+    tops = [np.concatenate(t) for t in tops]
+    best = [np.maximum.reduceat(t, first, axis=0) for t in tops]
+    hidden = np.maximum(np.concatenate(best, axis=1) + m.bias, 0)
+    logit = hidden @ m.out + m.out_bias
+    if not where:
+        return hidden, logit
+    owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(x))))
+    chars = []
+    for w, t, b, at in zip(WIDTHS, tops, best, ats):
+        piece = np.zeros((len(first), FILTERS), dtype=np.int64)
+        r, c = np.nonzero(t == b[owner])
+        piece[owner[r[::-1]], c[::-1]] = r[::-1]          # the first piece of the largest response
+        place = np.take_along_axis(np.concatenate(at), piece, axis=0)
+        chars.append(x[piece[:, :, None], place[:, :, None] + np.arange(w)])
+    return hidden, logit, chars
 
 
 def predict(m: Model, windows: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(windows), dtype=np.uint8).reshape(-1, WIDE)
-    logits = [_forward(m, x[i:i + 2048])[3] for i in range(0, len(x), 2048)]
-    z = np.concatenate(logits).astype(np.float64) if logits else np.zeros(0)
+    z = _forward(m, *pieces(windows))[1].astype(np.float64) if windows else np.zeros(0)
     return 1 / (1 + np.exp(-np.clip(m.slope * z + m.shift, -50, 50)))
 
 
 def fit(windows: list[bytes], labels: np.ndarray, epochs: int = 20, batch: int = 64, seed: int = 5) -> Model:
     """Trains on four fifths of the sample and calibrates (Platt) on the rest."""
     rng = np.random.default_rng(seed)
-    x = np.frombuffer(b"".join(windows), dtype=np.uint8).reshape(-1, WIDE)
     y = np.asarray(labels, dtype=np.float32)
     p = {"embedding": rng.normal(0, 0.3, (CHARS, DIM)), "bias": np.zeros(FILTERS * len(WIDTHS)),
          "out": rng.normal(0, 0.2, FILTERS * len(WIDTHS)), "ob": np.zeros(1),
@@ -118,28 +143,27 @@ def fit(windows: list[bytes], labels: np.ndarray, epochs: int = 20, batch: int =
     p = {k: v.astype(np.float32) for k, v in p.items()}
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     made = lambda: Model(p["embedding"], [p[f"f{i}"] for i in range(len(WIDTHS))], p["bias"], p["out"], float(p["ob"][0]), 1.0, 0.0)
-    order = rng.permutation(len(x))
-    kept, learn = order[:len(x) // 5], order[len(x) // 5:]
+    order = rng.permutation(len(windows))
+    kept, learn = order[:len(order) // 5], order[len(order) // 5:]
     step = 0
     for _ in range(epochs):
         for i in range(0, len(learn), batch):
             pick = rng.permutation(learn)[:batch] if i == 0 else learn[i:i + batch]
             step += 1
             m = made()
-            hidden, ats, cols, logit = _forward(m, x[pick])
+            hidden, logit, chars = _forward(m, *pieces([windows[j] for j in pick]), where=True)
             d = (1 / (1 + np.exp(-logit)) - y[pick]) / len(pick)
             back = d[:, None] * m.out * (hidden > 0)
             g = {"out": hidden.T @ d + 1e-4 * m.out, "ob": np.array([d.sum()], dtype=np.float32), "bias": back.sum(axis=0),
                  "embedding": np.zeros_like(m.embedding)}
-            rows = np.arange(len(pick))
-            for k, (w, at, z) in enumerate(zip(WIDTHS, ats, cols)):
+            for k, (w, seen) in enumerate(zip(WIDTHS, chars)):
                 own = back[:, k * FILTERS:(k + 1) * FILTERS]
                 gf = np.zeros_like(m.filters[k])
                 for j in range(FILTERS):
-                    gf[:, j] = own[:, j] @ z[rows, at[:, j]]
+                    gf[:, j] = own[:, j] @ m.embedding[seen[:, j]].reshape(len(pick), w * DIM)
                     de = (own[:, j, None] * m.filters[k][:, j]).reshape(len(pick), w, DIM)
                     for o in range(w):
-                        np.add.at(g["embedding"], x[pick, at[:, j] + o], de[:, o])
+                        np.add.at(g["embedding"], seen[:, j, o], de[:, o])
                 g[f"f{k}"] = gf
             for k in p:
                 a, b = moments[k]
@@ -148,7 +172,7 @@ def fit(windows: list[bytes], labels: np.ndarray, epochs: int = 20, batch: int =
                 p[k] -= 0.005 * (a / (1 - 0.9 ** step)) / (np.sqrt(b / (1 - 0.999 ** step)) + 1e-8)
         learn = rng.permutation(learn)
     m = made()
-    z = _forward(m, x[kept])[3].astype(np.float64) if len(kept) else np.zeros(0)
+    z = _forward(m, *pieces([windows[j] for j in kept]))[1].astype(np.float64) if len(kept) else np.zeros(0)
     # Platt's targets keep the calibration finite on separable findings
     pos, neg = y[kept].sum() if len(kept) else 0, (len(kept) - y[kept].sum()) if len(kept) else 0
     t = np.where(y[kept] > 0, (pos + 1) / (pos + 2), 1 / (neg + 2)) if len(kept) else z
