@@ -175,6 +175,22 @@ def test_main_text(page, want):
     assert html_extract.main_text(page) == want
 
 
+LINKS = "<div><a href=x>one link</a></div>" * 3
+LONG = "<p>" + "long text " * 200 + "</p>"
+SAID = " ".join(["long text"] * 200)
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<div><p>sixty characters</p></div>", "sixty characters"),
+    ("<body>" + "<div>a line of a poem</div>" * 5 + "</body>", "\n".join(["a line of a poem"] * 5)),
+    ("<body>" + LONG + LINKS + "<p>a last section</p>" + LINKS + "<p>and another one, " + "x" * 80, SAID + "\na last section\nand another one, " + "x" * 80),
+    ("<body><article><a href=x>a teaser</a></article>" + LONG + "<nav>no</nav><article>another teaser</article>", SAID + "\nanother teaser"),
+    ("<body><article>" + LONG + "</article><div>a word outside</div>", SAID),
+])
+def test_unmarked_pages(page, want):
+    assert html_extract.main_text(page) == want
+
+
 def test_extract_odd_rows(spark, odd):
     got = html_extract.extract(odd, html="text", out="key")
     assert got.count() == odd.count() and got.where("key is null").count() == 0 and html_extract.extract(odd.limit(0), "text").count() == 0
