@@ -26,32 +26,33 @@ BITS = 128
 TERM_WORDS = 3
 #: Ranges of documents per shuffle partition; the driver holds one bound each.
 RANGES_PER_PARTITION = 8
+#: A weight of one in fixed point: sums of whole numbers are the same in any order.
+ONE = 1 << 24
 
 
 def _votes(terms: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Fingerprints (n x 16 bytes) of the terms of each text."""
     n = len(bounds) - 1
     out = np.zeros((n, BITS // 8), dtype=np.uint8)
-    step = 1 << 15   # terms whose bits are laid out at once
-    sums = np.zeros((n, BITS), dtype=np.float32)
+    step = 1 << 14   # terms whose bits are laid out at once
+    sums = np.zeros((n, BITS), dtype=np.int64)     # of the weights that vote for a bit
+    whole = np.zeros(n, dtype=np.int64)            # of all weights
     doc = np.repeat(np.arange(n), np.diff(bounds))
     # equal terms of a text vote once, weighted by their number
     order = np.lexsort((terms, doc))
     t, d = terms[order], doc[order]
     new = np.append(True, (t[1:] != t[:-1]) | (d[1:] != d[:-1])) if len(t) else np.zeros(0, dtype=bool)
     at = np.flatnonzero(new)
-    weight = (1 + np.log(np.diff(np.append(at, len(t))))).astype(np.float32)
+    weight = np.rint((1 + np.log(np.diff(np.append(at, len(t))))) * ONE).astype(np.int64)
     t, d = t[at], d[at]
     for i in range(0, len(t), step):
         x, w, own = t[i:i + step], weight[i:i + step], d[i:i + step]
         words = np.stack([x, textops.mix(x * U64(textops.BASE_1))], axis=1)
-        signs = np.unpackbits(words.view(np.uint8).reshape(len(x), -1), axis=1).astype(np.float32)
-        signs *= 2
-        signs -= 1
-        signs *= w[:, None]
+        votes = np.unpackbits(words.view(np.uint8).reshape(len(x), -1), axis=1) * w[:, None]
         cut = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        sums[own[cut]] += np.add.reduceat(signs, cut, axis=0)
-    out[:] = np.packbits(sums > 0, axis=1)
+        sums[own[cut]] += np.add.reduceat(votes, cut, axis=0)
+        whole[own[cut]] += np.add.reduceat(w, cut)
+    out[:] = np.packbits(2 * sums > whole[:, None], axis=1)
     return out
 
 

@@ -301,6 +301,21 @@ def test_fingerprint_votes():
     assert np.packbits(votes > 0).tobytes() == simhash.fingerprints([t])[0].tobytes()
 
 
+def test_copies_vote_alike_wherever_they_stand():
+    rng = np.random.default_rng(5)
+    docs = []
+    for _ in range(60):      # many sums are truly zero
+        t = rng.integers(1, 1 << 63, 40, dtype=np.uint64)
+        docs.append(np.concatenate([np.repeat(t[:20], 2), np.repeat(t[20:], 3)]))
+    for d in docs:
+        parts = [d]
+        for step in (1 << 14, 1 << 15):    # distinct terms before it, so that one of its own is the step's last
+            have = sum(len(np.unique(p)) for p in parts)
+            parts += [rng.integers(1, 1 << 63, step - have - 13, dtype=np.uint64), d]
+        got = simhash._votes(np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts]))
+        assert (got[0] == got[2]).all() and (got[0] == got[4]).all()
+
+
 @pytest.mark.parametrize("radius", [0, 3, 7])
 def test_block_tables_find_all(spark, radius):
     rng = np.random.default_rng(radius)
