@@ -221,8 +221,8 @@ def train(docs: DataFrame, text: str = "text", recall: float = RECALL, sample: t
     """Fits the network on a bounded sample of the findings (the first by a
     hash of their windows, equal windows once) and sets its threshold over all
     findings: the highest score, in steps of 1 / SCORE_BINS, that keeps
-    ``recall`` of the confirmed ones, but at least one half.  Without
-    confirmed findings, or without others, nothing is learned or added."""
+    ``recall`` of the confirmed ones, however low that is.  Without confirmed
+    findings, or without others, nothing is learned or added."""
     from .tables import stored
 
     spark = docs.sparkSession
@@ -247,7 +247,7 @@ def train(docs: DataFrame, text: str = "text", recall: float = RECALL, sample: t
         cut = r["bin"] / SCORE_BINS
         if above >= recall * total:
             break
-    return Scanner(model, max(cut, 0.5))
+    return Scanner(model, cut)
 
 
 def spans_of(scanner: Scanner, texts: list[str | None]) -> list[list[Span]]:

@@ -140,6 +140,19 @@ def test_long_candidates_are_seen_whole(spark):
     assert score(f"prose {head}{tail} after") != score(f"prose {head}{run(len(tail))} after")
 
 
+def test_threshold_keeps_confirmed_findings_that_look_like_others(spark):
+    rng = random.Random(9)
+    made = []
+    for i in range(600):       # what confirms a finding stands before all that the network sees
+        key = "".join(rng.choices("ghijklmnopqrstuvwxyz", k=24)) + "7"
+        made.append((i, f"some {'token' if i % 5 == 0 else 'other'}={'ab.' * 12}{key} after"))
+    scanner = secret_scan.train(spark.createDataFrame(made, "doc_id long, text string"))
+    found = [f for _, t in made for f in secret_scan.findings(t)]
+    scores = secret_scan.predict(scanner.model, [w for w, _ in found])
+    confirmed = np.array([y for _, y in found])
+    assert confirmed.sum() == 120 and (scores[confirmed] >= scanner.threshold).mean() >= secret_scan.RECALL
+
+
 def test_pieces_cover_every_place():
     rng = np.random.default_rng(3)
     model = secret_scan.fit([rng.integers(32, 127, secret_scan.WIDE, dtype=np.uint8).tobytes() for _ in range(60)], np.arange(60) % 2, epochs=1)
@@ -460,6 +473,14 @@ def test_toxic_words_are_learned(spark):
     assert sum((r["score"] >= cuts[r["lang"] or ""]) == bool(r["toxic"]) for r in held) >= 0.98 * len(held)
 
 
+def test_sample_is_packed_whole():
+    assert toxicity.SAMPLE_ROWS == (2500, 4000)
+    for t in ("", "!!", "the cat sat on the mat", " ".join(f"w{i}" for i in range(70_000)) + " w1"):
+        f, k = toxicity.features(textops.words(textops.codes([t])))
+        g, m = toxicity.unpacked(*toxicity.packed(t))
+        assert (f == g).all() and (k == m).all() and f.shape == g.shape
+
+
 def test_scores_depend_on_the_text_alone(spark, odd, docs, labels):
     model = toxicity.train(docs, labels)
     got = toxicity.scored(odd, model).select("text", "score").collect()
@@ -474,11 +495,3 @@ def test_no_labels(spark, odd, labels):
     scores = toxicity.scored(odd, model)
     assert scores.where("score < 0.3").count() == odd.count()
     assert {r["threshold"] for r in toxicity.thresholds(scores, labels.limit(0)).collect()} == {1.1}
-def test_sample_is_packed_whole():
-    assert toxicity.SAMPLE_ROWS == (2500, 4000)
-    for t in ("", "!!", "the cat sat on the mat", " ".join(f"w{i}" for i in range(70_000)) + " w1"):
-        f, k = toxicity.features(textops.words(textops.codes([t])))
-        g, m = toxicity.unpacked(*toxicity.packed(t))
-        assert (f == g).all() and (k == m).all() and f.shape == g.shape
-
-
