@@ -28,8 +28,6 @@ DIM = 8
 ROWS = 1 << 16       # of the hashed embedding; row 0 is "no feature"
 #: Labelled rows that the fit may use: of label 1 and of label 0.
 SAMPLE_ROWS = (2500, 4000)
-#: Longest sampled text in characters; only the fit has such a bound.
-SAMPLE_CHARS = 200_000
 SCORE_BINS = 1000
 
 
@@ -213,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: tupl
     by_hash = F.xxhash64(F.lit(11), F.col("doc_id"))
     ids = [known.where(F.col("label") == v).orderBy(by_hash, "doc_id").limit(n) for v, n in ((1, sample[0]), (0, sample[1]))]
     picked = ids[0].unionByName(ids[1])
-    rows = (docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).join(F.broadcast(picked), "doc_id")  # sum(sample) rows
+    rows = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # sum(sample) rows
             .groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.min("label").alias("label"))
             .select("doc_id", "label", _packed("text").alias("x")).select("doc_id", "label", "x.*").collect())
     rows.sort(key=lambda r: r["doc_id"])

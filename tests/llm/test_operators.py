@@ -481,6 +481,13 @@ def test_sample_is_packed_whole():
         assert (f == g).all() and (k == m).all() and f.shape == g.shape
 
 
+def test_fit_reads_long_texts_to_their_end(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "fit", lambda docs, labels, share: docs)
+    df = spark.createDataFrame([(i, "plain " * 40_000 + "gronk", 1) for i in range(8)], "doc_id long, text string, toxic int")
+    got = toxicity.train(df, df)
+    assert got and all(len(number) == 40_001 and len(feats) == 2 for feats, number in got)
+
+
 def test_scores_depend_on_the_text_alone(spark, odd, docs, labels):
     model = toxicity.train(docs, labels)
     got = toxicity.scored(odd, model).select("text", "score").collect()
