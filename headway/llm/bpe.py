@@ -339,11 +339,6 @@ def encode(df: DataFrame, ranks: dict[bytes, int], column: str = "text", out: st
     return (packed.groupBy("portion").cogroup(ids.groupBy("portion")).applyInArrow(assemble, schema))
 
 
-def token_table(spark, ranks: dict[bytes, int]) -> DataFrame:
-    """The token-byte table (token id, its bytes) of a vocabulary."""
-    return spark.createDataFrame([(i, bytearray(b)) for b, i in ranks.items()], "id int, bytes binary")
-
-
 class Tokens:
     """The token-byte table laid out for array lookups."""
 
@@ -362,9 +357,9 @@ class Tokens:
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], column: str = "ids", out: str = "decoded") -> DataFrame:
-    """Adds ``out`` (binary): the ids' bytes end to end, by a join with the
-    token-byte table (a fixed vocabulary, so it is broadcast and looked up in
-    place; positions stay as they are and nothing is shuffled).
+    """Adds ``out`` (binary): the ids' bytes end to end.  The token-byte table
+    is a fixed vocabulary, so a lookup in its broadcast list stands for the
+    join; positions stay as they are and nothing is shuffled.
 
     Null ids give null, no ids give no bytes; an unknown id raises.
     """

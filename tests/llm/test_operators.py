@@ -281,6 +281,14 @@ def test_encode_and_decode_odd_rows(spark, odd, docs):
     assert bpe.encode(odd.limit(0), RANKS).count() == 0
 
 
+def test_tokens_are_looked_up():
+    assert not hasattr(bpe, "token_table")     # the broadcast list is the only table
+    t = bpe.Tokens(RANKS)
+    assert t.decode([RANKS[b"a"], RANKS[b"b"], RANKS[b"a"]]) == b"aba"
+    with pytest.raises(IndexError):
+        t.decode([len(RANKS) + 10**6])
+
+
 # ---- 7 fingerprints
 
 
