@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_forest, bpe, chosen_path, html_extract, mixing, secret_scan, simhash, site_quality, toxicity, url_filter
+from . import ann_forest, bpe, chosen_path, divergence, html_extract, mixing, secret_scan, simhash, site_quality, toxicity, url_filter
 from .tables import stored
 
 #: The rank file of the public vocabulary; a parameter of the operators.
@@ -121,10 +121,44 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("score") >= 0.3).cast("int").alias("predicted"), (F.col("score") >= F.col("threshold")).alias("flagged"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+o AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS c FROM o GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+l AS (SELECT lang, count(*)::HUGEINT AS v, sum(c)::HUGEINT AS n FROM kept GROUP BY lang),
+occ AS (SELECT lang, source, term, count(*)::HUGEINT AS c FROM o SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+gn AS (SELECT g.lang, g.source, coalesce(sum(c), 0)::HUGEINT AS n FROM g LEFT JOIN occ USING (lang, source) GROUP BY g.lang, g.source),
+p AS (
+  SELECT gn.lang, gn.source, kept.term, coalesce(occ.c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(occ.c, 0) + 1)) // (gn.n + l.v) AS p,
+         1 + (1000000000::HUGEINT * (kept.c + 1)) // (l.n + l.v) AS q
+  FROM gn JOIN l USING (lang) JOIN kept USING (lang) LEFT JOIN occ ON occ.lang = gn.lang AND occ.source = gn.source AND occ.term = kept.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sums.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+every AS (
+  SELECT * FROM pairs UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM every QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_ann_forest, op3_secret_scan, op4_html_extract, op5_site_quality,
-        op6_byte_bpe, op7_simhash, op8_source_mix, op9_ngram_jaccard, op10_toxicity)
+        op6_byte_bpe, op7_simhash, op8_source_mix, op9_ngram_jaccard, op10_toxicity, op13_source_divergence)
 }
 #: Of the others: a trained model, a hash-keyed sample, or an algorithm that SQL cannot say.
-SQL: dict[str, str] = {"op1_url_filter": OP1_SQL}
+SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op13_source_divergence": OP13_SQL}
