@@ -12,11 +12,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_forest, bpe, chosen_path, divergence, html_extract, mixing, secret_scan, simhash, site_quality, toxicity, url_filter
+from . import alignment, ann_forest, bpe, chosen_path, divergence, html_extract, mixing, secret_scan, simhash, site_quality, suffix_dedup, toxicity, url_filter
 from .tables import stored
 
 #: The rank file of the public vocabulary; a parameter of the operators.
 RANKS = "byte_bpe_50k.tiktoken"
+#: The two vocabularies that are aligned.
+A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 RULES = [
     url_filter.Rule("net", "/", "block"),
     url_filter.Rule("example.net", "/en/", "allow"),
@@ -121,6 +123,32 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("score") >= 0.3).cast("int").alias("predicted"), (F.col("score") >= F.col("threshold")).alias("flagged"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = alignment.read_files(public_tokenizers.path(A_FILE), public_tokenizers.path(B_FILE))
+    return (alignment.align(read(spark, sf_dir, "documents").select("doc_id", "text"), *files, digest=True)
+            .withColumnRenamed("groups", "groups_sha256"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All copies go, the first one, too."""
+    found = suffix_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text")), keep=None)
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts, spans = batch.columns
+            rows = []
+            for text, found in zip(texts, spans):
+                cut = [(x["start"], x["end"]) for x in found.as_py()]
+                body = text.as_buffer().to_pybytes()
+                kept = suffix_dedup.kept_bytes(body, cut)
+                rows.append((len(body), len(body) - len(kept), len(cut), hashlib.sha256(kept).hexdigest()))
+            cols = list(zip(*rows)) or [()] * 4
+            yield pa.record_batch([ids, *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())],
+                                  names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    return found.mapInArrow(digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
@@ -158,7 +186,7 @@ FROM every QUALIFY part = 'pair' OR rank <= 200
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_ann_forest, op3_secret_scan, op4_html_extract, op5_site_quality,
-        op6_byte_bpe, op7_simhash, op8_source_mix, op9_ngram_jaccard, op10_toxicity, op13_source_divergence)
+        op6_byte_bpe, op7_simhash, op8_source_mix, op9_ngram_jaccard, op10_toxicity, op11_token_alignment, op12_suffix_dedup, op13_source_divergence)
 }
 #: Of the others: a trained model, a hash-keyed sample, or an algorithm that SQL cannot say.
 SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op13_source_divergence": OP13_SQL}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -16,6 +16,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bitmap(df: DataFrame, value: Column, bits: int) -> bytes:
+    """A bitmap of ``bits`` bits (a multiple of 32,768), on where a value
+    modulo ``bits`` is; built in pieces of 4 KB on the executors, so that at
+    most an eighth of ``bits`` in bytes comes to the driver."""
+    at = F.pmod(value, F.lit(bits)) + 1
+    pieces = df.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    out = bytearray(bits // 8)
+    for piece, part in pieces.collect():
+        out[(piece - 1) * 4096:piece * 4096] = part
+    return bytes(out)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(v, root) for every vertex of the undirected edges: the smallest vertex
     of its connected component.
