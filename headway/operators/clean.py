@@ -10,9 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# --- fixed values: id columns and accepted trip statuses --------------------
+# --- fixed values: id columns, column types and names, accepted trip statuses
 ID_COLUMNS = ("route_id", "trip_id", "vehicle_id", "stop_id")
 MIN_EPOCH, MAX_EPOCH = -9_223_372_036, 9_223_372_036
+PING_TYPES = {"route_id": "string", "trip_id": "string", "vehicle_id": "string", "stop_id": "string", "vehicle_timestamp": "string",
+              "latitude": "double", "longitude": "double", "bearing": "double", "schedule_relationship": "string"}
+OTHER_NAMES = {"lat": "latitude", "lon": "longitude", "lng": "longitude", "timestamp": "vehicle_timestamp", "heading": "bearing",
+               "routeId": "route_id", "tripId": "trip_id", "vehicleId": "vehicle_id", "stopId": "stop_id"}
 ACCEPTED_STATUS = ('"ADDED"', '"SCHEDULED"', "ADDED", "SCHEDULED")
 # ---------------------------------------------------------------------------
 
@@ -66,6 +70,43 @@ def clean_pings(df: DataFrame) -> DataFrame:
     return drop_incomplete(df)
 
 
+def conform(df: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+    """A ping table of any layout in the one that the operators expect.
+
+    Columns called otherwise are renamed (``names``, else :data:`OTHER_NAMES`,
+    without case), those of another type are converted (what cannot be is
+    NULL), missing ones are added as NULL; further columns pass through."""
+    known = {k.lower(): v for k, v in (OTHER_NAMES if names is None else names).items()}
+    target = {c.lower(): c for c in PING_TYPES}
+    as_is = {target[c.lower()] for c in df.columns if c.lower() in target}
+    out = []
+    for c in df.columns:
+        new = target.get(c.lower()) or known.get(c.lower(), c)
+        if new != c and new in as_is and c.lower() not in target:
+            new = c     # the column is there under its own name, too
+        x = F.col(f"`{c}`")
+        out.append((x.try_cast(PING_TYPES[new]) if new in PING_TYPES and dict(df.dtypes)[c] != PING_TYPES[new] else x).alias(new))
+        as_is.add(new)
+    out += [F.lit(None).cast(t).alias(c) for c, t in PING_TYPES.items() if c not in as_is]
+    return df.select(*out)
+
+
+def union_pings(*frames: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+    """Pings of several layouts in one table. A column that only some have
+    is NULL for the others; one beyond the pings' own whose types differ is text."""
+    frames = [conform(f, names) for f in frames]
+    types: dict[str, set[str]] = {}
+    for f in frames:
+        for c, t in f.dtypes:
+            types.setdefault(c, set()).add(t)
+    mixed = [c for c, t in types.items() if len(t) > 1]
+    out = None
+    for f in frames:
+        f = f.withColumns({c: F.col(f"`{c}`").cast("string") for c in mixed if c in f.columns})
+        out = f if out is None else out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def filter_route(df: DataFrame, route_id: str) -> DataFrame:
     """Pings of one route (an empty frame when absent)."""
     return df.where(F.col("route_id") == F.lit(str(route_id)))

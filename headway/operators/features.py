@@ -12,10 +12,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, timeparts
+from ..session import keep
 from .context import chunked, lead_or_carry
 from .mapmatch import CHUNK_KEYS, TRIP_KEYS
-from pyspark import StorageLevel
-
 from .quantiles import exact_medians
 from .static import materialize
 
@@ -150,8 +149,13 @@ def spatial_features(df: DataFrame, keys=TRIP_KEYS, rolling_scope: str = "trip")
 
 def route_characteristics(df: DataFrame, route_keys=("date", "route_id")) -> DataFrame:
     """A4 + A5 per (date, route): avg trip length, stop density, mean speed and
-    the clipped complexity score. Division by zero gives NULL (pandas: inf)."""
+    the clipped complexity score; rows without turn rates get the default score.
+    Division by zero gives NULL (pandas: inf)."""
     rk = list(route_keys)
+    if not {"bearing_change_per_meter", "bearing_change_per_second"} <= set(df.columns):
+        agg = df.groupBy(*rk).agg(F.sum("segment_distance").alias("_dist"), F.countDistinct("trip_id").alias("_trips"),
+                                  F.countDistinct("stop_id").alias("_stops"), F.avg("speed").alias("avg_speed"))
+        return _characteristics(agg, rk, F.lit(COMPLEXITY_DEFAULT))
     dist_m = F.col("segment_distance") > 0
     dur_m = F.col("segment_duration") > 0
     abs_m = F.abs("bearing_change_per_meter")
@@ -172,6 +176,10 @@ def route_characteristics(df: DataFrame, route_keys=("date", "route_id")) -> Dat
              + F.lit(COMPLEXITY_W_TEMPORAL) * (F.col("_mean_s") / (F.col("_med_s") + F.lit(MEDIAN_EPS)))
              + F.lit(COMPLEXITY_W_SHARP) * F.col("_sharp"))
     score = F.when(score < 0, F.lit(0.0)).when(score > COMPLEXITY_MAX, F.lit(COMPLEXITY_MAX)).otherwise(score)
+    return _characteristics(agg, rk, score)
+
+
+def _characteristics(agg: DataFrame, rk: list[str], score: F.Column) -> DataFrame:
     return agg.select(
         *rk,
         F.expr("try_divide(_dist, _trips)").alias("avg_trip_length"),
@@ -181,18 +189,28 @@ def route_characteristics(df: DataFrame, route_keys=("date", "route_id")) -> Dat
     )
 
 
+def _processed(dates) -> F.Column:
+    """A date's place in the order in which dates are processed."""
+    order = list(dict.fromkeys(str(d).replace("date=", "") for d in dates or ()))
+    if not order:
+        return F.struct("date")
+    place = F.array_position(F.array(*map(F.lit, order)), F.col("date").cast("string"))
+    return F.struct(F.when(place > 0, place).otherwise(len(order) + 1), "date")
+
+
 def attach_route_characteristics(df: DataFrame, stats: DataFrame, stats_scope: str = "first_date",
-                                 position_col: str | None = None) -> DataFrame:
+                                 position_col: str | None = None, dates=None) -> DataFrame:
     """J7 + V4: broadcast route statistics back to each ping.
 
     ``stats_scope='first_date'`` (the reference): a route keeps the
-    statistics of the earliest processed date for every later date;
-    ``'per_date'``: each date uses its own. ``position_col=None``
+    statistics of the date processed first for every later one: the first of
+    ``dates`` that has the route, in that list's order (dates not listed come
+    after it, the earliest first); ``'per_date'``: each date uses its own. ``position_col=None``
     reproduces the reference, whose position column never exists
     (``stops_remaining = total_route_stops``, ``progress_ratio = 0``).
     """
     if stats_scope == "first_date":
-        s = stats.groupBy("route_id").agg(F.min_by(F.struct(*[c for c in stats.columns if c != "route_id"]), "date").alias("_s"))
+        s = stats.groupBy("route_id").agg(F.min_by(F.struct(*[c for c in stats.columns if c != "route_id"]), _processed(dates)).alias("_s"))
         s = s.select("route_id", "_s.*").drop("date")
         keys = ["route_id"]
     elif stats_scope == "per_date":
@@ -212,16 +230,16 @@ def attach_route_characteristics(df: DataFrame, stats: DataFrame, stats_scope: s
 
 
 def extract_all(df: DataFrame, rolling_scope: str = "trip", stats_scope: str = "first_date",
-                position_col: str | None = None) -> DataFrame:
+                position_col: str | None = None, dates=None) -> DataFrame:
     """V5: temporal -> spatial -> route features over processed trips."""
     d = temporal_features(df)
     d = spatial_features(d, rolling_scope=rolling_scope)
     # the statistics and the rows they are joined back to share one
     # computation of the trip features (kept on executors, spilling to disk;
     # a lost executor recomputes its partitions from lineage)
-    d = d.persist(StorageLevel.MEMORY_AND_DISK)
+    d = keep(d)
     stats = materialize(route_characteristics(d))
-    out = attach_route_characteristics(d, stats, stats_scope, position_col)
+    out = attach_route_characteristics(d, stats, stats_scope, position_col, dates)
     return out.drop(*CARRY_COLS)
 
 

@@ -13,29 +13,33 @@ time buckets (chunks) and folded in parallel:
 
 1. chunk: sort its pings, compose their maps into ``F`` (an n-array); the
    trip's first chunk only needs the fold from ``m = 0``;
-2. trip: a scan over the (few) chunk maps gives every chunk's entry state;
+2. trip: the maps of all chunks before each one are composed by doubling (of
+   each chunk with the one 1, 2, 4, ... before it), which gives its entry state;
 3. chunk: fold from the entry state, keeping only *transitions* (<= n per
    chunk), and read each ping's position from them.
 
-Event arrays are bounded by a chunk's pings, maps by the stop count. The lists
-of a trip's chunk maps and arrivals grow with its number of chunks in a day
-(the date is part of a trip's key): 96 of 15 minutes. The pings
-are shuffled once, by (date, route, trip, chunk); later steps reuse that.
+A chunk is a quarter of an hour of a trip; one with more than CHUNK_ROWS pings
+is cut again at quantiles of (ts, seq). So event arrays are bounded by
+CHUNK_ROWS, maps by the stop count, and a trip holds one narrow row per chunk.
+The pings are shuffled once, by (date, route, trip, chunk); later steps reuse
+that.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from .static import SEGS_SQL, stop_zones
+from ..session import keep
+from .static import SEGS_SQL, materialize, stop_zones
 
 TRIP_KEYS = ["date", "route_id", "trip_id"]
 CHUNK_KEYS = TRIP_KEYS + ["bucket"]
 # --- fixed values: chunk length of the parallel fold -----------------------
 CHUNK_SECONDS = 900
+CHUNK_ROWS = 8192
+MAX_CUTS = 1023          # cuts of one chunk
 # ---------------------------------------------------------------------------
 
 _ROUTE_COLS = ["ids", "dists", "stops", "n"]
@@ -73,9 +77,9 @@ OPEN_SQL = ("filter(transform(segs, (s, i) -> CASE WHEN s.l2 > 0 AND NOT "
             "((px - s.ax) * s.dx + (py - s.ay) * s.dy > s.l2) THEN i END), i -> i IS NOT NULL)")
 
 
-def step_sql(open_: str, m: str) -> str:
-    """One fold step: first open segment at or after ``m``, else the last stop."""
-    return f"coalesce(array_min(filter({open_}, i -> i >= {m})), n - 1)"
+#: A ping's step as an array over the states: to each the first open segment at or after it.
+STEP_SQL = ("concat(flatten(transform(open, (o, k) -> array_repeat(o, o - CASE WHEN k > 0 THEN open[k - 1] ELSE -1 END))), "
+            "array_repeat(n - 1, n - 1 - coalesce(array_max(open), -1)))")
 
 
 def fold_sql(events: str, m0: str) -> str:
@@ -84,19 +88,46 @@ def fold_sql(events: str, m0: str) -> str:
     The step is evaluated once per event: a one-element inner ``aggregate``
     binds it to ``p``.
     """
-    p = step_sql("e.open", "acc.m")
     empty = "CAST(array() AS ARRAY<STRUCT<j: INT, pos: INT, ts: TIMESTAMP>>)"
     return (f"aggregate({events}, named_struct('m', {m0}, 'j', 0, 'tr', {empty}), (acc, e) -> "
-            f"aggregate(array({p}), acc, (a, p) -> named_struct('m', p, 'j', a.j + 1, 'tr', "
+            f"aggregate(array(e.step[acc.m]), acc, (a, p) -> named_struct('m', p, 'j', a.j + 1, 'tr', "
             f"CASE WHEN a.j = 0 OR p <> a.m THEN concat(a.tr, array(named_struct('j', a.j, 'pos', p, 'ts', e.ts))) "
             f"ELSE a.tr END)))")
 
 
-COMPOSE_SQL = ("aggregate(ev, sequence(0, n - 1), (acc, e) -> "
-               f"transform(acc, v -> {step_sql('e.open', 'v')}))")
-
-
-def map_match(pings: DataFrame, routes: DataFrame, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+COMPOSE_SQL = "aggregate(ev, sequence(0, n - 1), (acc, e) -> transform(acc, v -> e.step[v]))"
+
+
+def with_chunks(pings: DataFrame, chunk_seconds: int = CHUNK_SECONDS, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, int]:
+    """Adds ``bucket``: the ping's chunk within its trip, ascending by (ts, seq);
+    and the number of doublings that reach over the chunks of any trip.
+
+    The chunks' sizes are counted first, from the keys alone. Those above
+    ``chunk_rows`` are cut at quantiles of the place of (ts, seq) between their
+    first and last ping, so a trip with a large part of all rows in a few
+    seconds spreads as well; rows alike in both stay together."""
+    own = [*TRIP_KEYS, "bucket"]
+    pings = pings.withColumn("bucket", F.expr(f"unix_micros(ts) div {int(chunk_seconds) * 1_000_000}"))
+    sizes = materialize(pings.where("trip_id IS NOT NULL").groupBy(*own).agg(F.count(F.lit(1)).alias("rows"), F.min("seq").alias("lo"), F.max("seq").alias("hi")))
+    pieces = F.least(F.ceil(F.col("rows") / chunk_rows), F.lit(MAX_CUTS + 1))
+    most = sizes.groupBy(*TRIP_KEYS).agg(F.sum(pieces).alias("k")).agg(F.coalesce(F.max("k"), F.lit(1))).first()[0]
+    rounds = max(0, int(most) - 1).bit_length()
+    large = sizes.where(F.col("rows") > chunk_rows).select(*own, "lo", "hi", pieces.alias("pieces"))
+    if large.isEmpty():
+        return pings, rounds
+    # monotone in (ts, seq): microseconds into the chunk, and between them the place among the seqs
+    place = F.expr(f"unix_micros(ts) - bucket * {int(chunk_seconds) * 1_000_000}") + (F.col("seq").cast("double") - F.col("lo")) / (F.col("hi").cast("double") - F.col("lo") + 1) * (1 - 2.0**-20)
+    shares = F.array(*[F.lit(i / (MAX_CUTS + 1)) for i in range(1, MAX_CUTS + 1)])
+    cuts = (pings.select(*own, "ts", "seq").join(large, own).withColumn("place", place)
+            .groupBy(*own).agg(F.percentile_approx("place", shares, 100_000).alias("at"), F.first("pieces").alias("pieces"), F.first("lo").alias("lo"), F.first("hi").alias("hi")))
+    at = F.expr(f"transform(sequence(1, cast(pieces as int) - 1), i -> at[cast(i * {MAX_CUTS + 1} / pieces as int) - 1])")
+    cuts = materialize(cuts.select(*own, "lo", "hi", at.alias("cuts")))
+    pings = pings.join(cuts, own, "left").withColumn("_place", place)
+    part = F.coalesce(F.expr("size(filter(cuts, c -> c < _place))"), F.lit(0))
+    return pings.withColumn("bucket", F.col("bucket") * (MAX_CUTS + 1) + F.when(F.col("cuts").isNull(), 0).otherwise(part)).drop("lo", "hi", "cuts", "_place"), rounds
+
+
+def map_match(pings: DataFrame, routes: DataFrame, chunk_seconds: int = CHUNK_SECONDS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Add ``route_position`` (INT) to every ping; drops pings without a route.
 
     Output keeps the input columns plus ``n`` and ``route_position`` and is
@@ -106,11 +137,12 @@ def map_match(pings: DataFrame, routes: DataFrame, chunk_seconds: int = CHUNK_SE
         pings = pings.withColumn("date", F.to_date("ts"))
     pings = with_order(pings)
     base_cols = pings.columns
+    pings, rounds = with_chunks(pings, chunk_seconds, chunk_rows)
     p = attach_route(pings.where("trip_id IS NOT NULL"), routes)
     p = with_projection(p, routes)
-    # only the pings' own columns, the open segments and n are shuffled
-    p = p.withColumn("open", F.expr(OPEN_SQL)).select(*base_cols, "n", "open")
-    return fold_positions(p, base_cols, chunk_seconds, routes)
+    # only the pings' own columns, the step and n are shuffled
+    p = p.withColumn("open", F.expr(OPEN_SQL)).select(*base_cols, "bucket", "n", "open")
+    return fold_positions(p, base_cols, routes=routes, rounds=rounds)
 
 
 def with_order(pings: DataFrame) -> DataFrame:
@@ -132,8 +164,9 @@ def _join_back(c1: DataFrame, summary: DataFrame) -> DataFrame:
 
 
 def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUNK_SECONDS,
-                   routes: DataFrame | None = None) -> DataFrame:
-    """The chunked fold over pings carrying ``open`` and ``n``.
+                   routes: DataFrame | None = None, rounds: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """The chunked fold over pings carrying ``open`` and ``n`` (and, if
+    ``rounds`` is given, ``bucket``; see :func:`with_chunks`).
 
     ``base_cols`` are the ping columns to keep (must include the trip keys,
     ``ts`` and ``seq``). Adds ``route_position``, ``bucket`` and the
@@ -142,7 +175,7 @@ def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUN
 
     Pings are hash-partitioned once, by (date, route, trip, bucket), so a
     trip with many pings spreads over many tasks. Only narrow events
-    ``(ts, seq, open[, lat, lon, bearing])`` are gathered per chunk; the
+    ``(ts, seq, step[, lat, lon, bearing])`` are gathered per chunk; the
     fold yields one small row per chunk (transitions, first arrivals,
     boundary carries) that is hash-joined back to the pings of the same
     partition. Trip-level facts come from windows over one summary row
@@ -154,14 +187,16 @@ def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUN
     * ``_prev_tails``: |bearing change| of the last (up to) four pings
       before this chunk, oldest first.
     """
-    p = p.withColumn("bucket", F.expr(f"unix_micros(ts) div {int(chunk_seconds) * 1_000_000}"))
+    if rounds is None:
+        p, rounds = with_chunks(p, chunk_seconds, chunk_rows)
     if routes is not None:
         p = p.drop("ids")
+    p = p.withColumn("step", F.expr(STEP_SQL)).drop("open")
     # the shuffled pings are read twice (chunk events, and the final join of the
     # per-chunk results): keep them on the executors, spilling to disk
-    p = p.repartition(*CHUNK_KEYS).persist(StorageLevel.MEMORY_AND_DISK)
+    p = keep(p.repartition(*CHUNK_KEYS))
     carry = all(c in base_cols for c in ("latitude", "longitude", "bearing"))
-    ev = F.struct("ts", "seq", "open", *(["latitude", "longitude", "bearing"] if carry else []))
+    ev = F.struct("ts", "seq", "step", *(["latitude", "longitude", "bearing"] if carry else []))
     aggs = [F.sort_array(F.collect_list(ev)).alias("ev"), F.first("n").alias("n")]
     if routes is None:
         aggs.append(F.first("ids").alias("ids"))
@@ -172,7 +207,7 @@ def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUN
         c1 = c1.join(r, c1["_rk"] == r["_rid"]).drop("_rk", "_rid")
     # the chunk table feeds three summaries and the fold: keep it on the
     # executors (spilling to disk) instead of re-aggregating it per branch
-    c1 = c1.persist(StorageLevel.MEMORY_AND_DISK)
+    c1 = keep(c1)
     trip = Window.partitionBy(*TRIP_KEYS)
     ob = trip.orderBy("bucket")
     before = ob.rowsBetween(Window.unboundedPreceding, -1)
@@ -187,7 +222,7 @@ def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUN
         "is_first": F.col("bucket") == F.min("bucket").over(trip),
         "_rows_before": F.coalesce(F.sum("_cnt").over(before), F.lit(0)),
     })
-    keep_a = ["is_first", "_rows_before"]
+    facts = ["is_first", "_rows_before"]
     if carry:
         sa = sa.withColumn("_nh", F.collect_list("_head2").over(ob.rowsBetween(1, 2)))
         sa = sa.withColumn("_next_heads", F.expr("slice(flatten(_nh), 1, 2)"))
@@ -210,18 +245,20 @@ def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUN
         })
         sa = geo.with_distance(sa, "_h0lat", "_h0lon", "_h1lat", "_h1lon", "_hdist")
         sa = sa.withColumn("_next_speed0", F.expr("CASE WHEN _hdur > 0 THEN _hdist / _hdur ELSE 0e0 END"))
-        keep_a += ["_next_heads", "_prev_tails", "_next_speed0"]
-    c1 = _join_back(c1, sa.select(*CHUNK_KEYS, *keep_a))
+        facts += ["_next_heads", "_prev_tails", "_next_speed0"]
+    c1 = _join_back(c1, sa.select(*CHUNK_KEYS, *facts))
 
     # phase B: chunk maps -> entry state of every chunk
     c1 = c1.withColumns({
         "comp": F.expr(f"CASE WHEN NOT is_first THEN {COMPOSE_SQL} END"),
         "tr0": F.expr(f"CASE WHEN is_first THEN {fold_sql('ev', '0')} END"),
     })
-    sb = c1.select(*CHUNK_KEYS, F.struct("bucket", "is_first", "comp", F.col("tr0.m").alias("exit0")).alias("_c"))
-    sb = sb.withColumn("_prev", F.array_sort(F.collect_list("_c").over(before)))
-    sb = sb.select(*CHUNK_KEYS, F.expr(
-        "aggregate(_prev, 0, (m, c) -> CASE WHEN c.is_first THEN c.exit0 ELSE c.comp[m] END)").alias("m0"))
+    # what the chunks up to each one, back to the trip's first, make of any state
+    sb = c1.select(*CHUNK_KEYS, F.expr("CASE WHEN is_first THEN array_repeat(tr0.m, n) ELSE comp END").alias("_map"))
+    for i in range(rounds):
+        sb = sb.withColumn("_lag", F.lag("_map", 1 << i).over(ob))
+        sb = sb.withColumn("_map", F.expr("CASE WHEN _lag IS NULL THEN _map ELSE transform(_lag, v -> _map[v]) END"))
+    sb = sb.select(*CHUNK_KEYS, F.expr("coalesce(try_element_at(lag(_map) OVER (PARTITION BY date, route_id, trip_id ORDER BY bucket), 1), 0)").alias("m0"))
     c3 = _join_back(c1.drop("comp"), sb)
     c3 = c3.withColumn("tr", F.expr(f"CASE WHEN is_first THEN tr0.tr ELSE {fold_sql('ev', 'm0')}.tr END"))
     # transitions keyed by (ts, seq) of the event where they happen
@@ -231,20 +268,18 @@ def fold_positions(p: DataFrame, base_cols: list[str], chunk_seconds: int = CHUN
 
     # phase C: first arrival at each stop id over the whole trip.
     # Positions are monotone, so first arrivals are fold transitions.
-    c3 = c3.select(*CHUNK_KEYS, "tr", *keep_a[1:], F.expr(
-        "transform(tr, t -> named_struct('stop_id', ids[t.pos], 'ts', t.ts))").alias("_a"))
-    c3 = c3.withColumn("_all", F.collect_list("_a").over(trip))
-    c3 = c3.withColumn("_arr", F.expr("array_sort(flatten(_all))"))
-    c3 = c3.withColumn("first_arrival", F.expr(
-        "map_from_entries(transform(filter(_arr, (x, i) -> i = 0 OR _arr[i - 1].stop_id <> x.stop_id), "
-        "x -> struct(x.stop_id, x.ts)))")).drop("_a", "_all", "_arr")
+    c3 = keep(c3.select(*CHUNK_KEYS, "tr", *facts[1:], F.expr("transform(tr, t -> named_struct('stop_id', ids[t.pos], 'ts', t.ts))").alias("_a")))
+    first = (c3.select(*TRIP_KEYS, F.explode("_a").alias("a"))
+             .groupBy(*TRIP_KEYS, "a.stop_id").agg(F.min("a.ts").alias("ts")))
+    first = first.groupBy(*TRIP_KEYS).agg(F.map_from_entries(F.collect_list(F.struct("stop_id", "ts"))).alias("first_arrival"))
+    c3 = c3.drop("_a").join(first, TRIP_KEYS)
 
     # back to the pings of the same partition: one small row per chunk
     out = p.join(c3, CHUNK_KEYS)
     out = out.withColumn("route_position", F.expr(
         "element_at(tr, size(filter(tr, t -> t.k <= named_struct('ts', ts, 'seq', seq)))).pos"))
-    keep = [c for c in base_cols if c not in CHUNK_KEYS]
-    return out.select(*TRIP_KEYS, *keep, "n", "route_position", "first_arrival", "bucket", *keep_a[1:])
+    own = [c for c in base_cols if c not in CHUNK_KEYS]
+    return out.select(*TRIP_KEYS, *own, "n", "route_position", "first_arrival", "bucket", *facts[1:])
 
 
 # ---- stateless locate for one query ping (inference, G6-G8) ---------------

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, context, eta, evaluate as ev, features, patterns, routes, static
+from ..session import release
 from ..sources import files
 
 
@@ -45,7 +46,7 @@ def build_features(raw_pings: DataFrame, stops: DataFrame, sequences: DataFrame,
         p = routes.select_routes(p, include, exclude, max_routes)
     rt = routes_tbl if routes_tbl is not None else route_table(stops, sequences)
     trips = context.process_trips(p, rt)
-    return features.extract_all(trips, rolling_scope, stats_scope, position_col)
+    return features.extract_all(trips, rolling_scope, stats_scope, position_col, dates)
 
 
 def run_features(raw_pings: DataFrame, stops: DataFrame, sequences: DataFrame, root: str, dates=None,
@@ -54,6 +55,7 @@ def run_features(raw_pings: DataFrame, stops: DataFrame, sequences: DataFrame, r
     default the five busiest) are written below ``root`` (K2) and read back (S6)."""
     feats = build_features(raw_pings, stops, sequences, dates, include, exclude, max_routes, **kw)
     files.write_route_features(feats, root)
+    release(raw_pings.sparkSession)
     return files.read_route_features(raw_pings.sparkSession, root)
 
 

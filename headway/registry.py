@@ -216,6 +216,19 @@ def _src_pings(spark, sf):
     return files.read_pings(spark, path)
 
 
+@reg("src_pings_audit", "date:s files_read:b empty:i unreadable:i damaged:i rows:i status:s",
+     """SELECT strftime(date, '%Y-%m-%d') AS date, true AS files_read, 0 AS empty, 0 AS unreadable, 0 AS damaged, count(*) AS rows, 'ok' AS status
+        FROM fx_raw GROUP BY date
+        UNION ALL SELECT '1900-01-01', false, 0, 0, 0, 0, 'missing'""", "fx_raw")
+def _src_audit(spark, sf):
+    """Every date of the pings, and one that has no folder."""
+    path = scratch_path(spark, "pings")
+    raw = fx.raw_pings(spark, sf)
+    raw.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "date").write.partitionBy("date").parquet(path)
+    days = [r["date"] for r in raw.select("date").distinct().collect()]     # the dates asked for: a list, as for read_pings
+    return files.audit_pings(spark, path, [*days, "1900-01-01"]).withColumn("files_read", F.col("files") > 0)
+
+
 def _manifest(spark, sf) -> str:
     """Every query in a folder of its own, and the manifest that lists them."""
     root = scratch_path(spark, "queries")
@@ -236,6 +249,13 @@ def _src_manifest(spark, sf):
     return files.read_query_manifest(spark, _manifest(spark, sf))
 
 
+@reg("src_query_status", "query_id:s manifest_pos:i rows:i status:s",
+     """SELECT query_id, dense_rank() OVER (ORDER BY CAST(query_id AS BIGINT)) - 1 AS manifest_pos, count(*) AS rows, 'ok' AS status
+        FROM q_raw GROUP BY query_id""", "q_raw")
+def _src_status(spark, sf):
+    return files.query_status(spark, _manifest(spark, sf))
+
+
 FEAT_OUT = PK + " current_stop_id:s route_position:i speed:d6 segment_distance:d3 hour:i"
 
 
@@ -246,6 +266,17 @@ def _src_feats(spark, sf):
     return files.read_route_features(spark, root)
 
 
+@reg("src_route_features_mixed", PK + " route_position:i speed:d6", "SELECT * FROM h_full", "h_full")
+def _src_feats_mixed(spark, sf):
+    """Files that disagree on the type of one column: by date an int, a double or a text."""
+    root = scratch_path(spark, "features_mixed")
+    f = all_features(spark, sf).select("date", "route_id", "trip_id", "seq", "route_position", "speed")
+    for k, kind in enumerate(("int", "double", "string")):
+        part = f.where(F.dayofyear("date") % 3 == k).withColumn("route_position", F.col("route_position").cast(kind))
+        part.repartitionByRange(8, "date").write.mode("append").partitionBy("date").parquet(root)
+    return files.read_route_features(spark, root).withColumn("route_position", F.expr("try_cast(route_position as double)"))
+
+
 PAT_SPEC = ("current_stop_id:s hour:i day_of_week:i dur_mean:d6 dur_std:d6 dur_count:i speed_mean:d6 "
             "speed_std:d6 dist_mean:d3")
 
@@ -264,12 +295,20 @@ def _src_eta(spark, sf):
     return files.read_eta_json(spark, path, "query_id")
 
 
-@reg("sink_static", "stop_id:s stop_lat:d9 stop_lon:d9", "SELECT * FROM fx_stops", "fx_stops")
+@reg("sink_static", "part:s id:s pos:i stop_id:s x:d9 y:d9",
+     """SELECT 'stop' AS part, stop_id AS id, NULL AS pos, stop_id, stop_lon AS x, stop_lat AS y FROM fx_stops
+        UNION ALL
+        SELECT 'sequence', CAST(route_id AS VARCHAR), u.i - 1, u.stop_id, next_stop_distances[u.i], NULL
+        FROM seq_dists CROSS JOIN LATERAL unnest(stop_id_list) WITH ORDINALITY AS u(stop_id, i)""", "fx_stops", "seq_dists")
 def _sink_static(spark, sf):
     root = scratch_path(spark, "static")
-    st, seq = _wl(spark, sf).static()
-    files.write_static(st, seq, root)
-    return files.read_static(spark, root)[0]
+    files.write_static(*_wl(spark, sf).static(), root)
+    st, seq = files.read_static(spark, root)
+    st = st.select(F.lit("stop").alias("part"), F.col("stop_id").alias("id"), F.lit(None).cast("int").alias("pos"), "stop_id",
+                   F.col("stop_lon").alias("x"), F.col("stop_lat").alias("y"))
+    seq = seq.select("route_id", "next_stop_distances", F.posexplode("stop_id_list").alias("pos", "stop_id"))
+    return st.unionByName(seq.select(F.lit("sequence").alias("part"), F.col("route_id").cast("string").alias("id"), "pos", "stop_id",
+                                     F.expr("next_stop_distances[pos]").alias("x"), F.lit(None).cast("double").alias("y")))
 
 
 @reg("sink_route_features", "route_id:s date:date n:i",
@@ -286,27 +325,23 @@ def _sink_patterns(spark, sf):
     return _src_patterns(spark, sf)
 
 
-@reg("sink_predictions_json", "query_id:s n_stops:i last_arrival:s",
-     "SELECT query_id, count(*) AS n_stops, max(arrival) AS last_arrival FROM pred_text GROUP BY ALL",
-     "pred_text")
+@reg("sink_predictions_json", "query_id:s stop_id:s arrival:s", "SELECT * FROM pred_text", "pred_text")
 def _sink_pred(spark, sf):
     path = scratch_path(spark, "pred_json")
     files.write_predictions_json(predictions_tbl(spark, sf), path, "query_id")
-    t = spark.read.text(path).select(F.from_json("value", files.ETA_MAP).alias("m"))
-    t = t.select(F.explode("m").alias("query_id", "stops"))
-    return t.select("query_id", F.size("stops").alias("n_stops"),
-                    F.array_max(F.map_values("stops")).alias("last_arrival"))
+    t = spark.read.text(path).select(F.explode(F.from_json("value", files.ETA_MAP)).alias("query_id", "stops"))
+    return t.select("query_id", F.explode("stops").alias("stop_id", "arrival"))
 
 
-@reg("sink_evaluation_json", "total_routes:i overall_eta_score_minutes:d6",
-     "SELECT count(*) AS total_routes, avg(eta_score_minutes) AS overall_eta_score_minutes FROM scores",
-     "scores")
+@reg("sink_evaluation_json", "total_routes:i overall_eta_score_minutes:d6 route_id:s eta_score_minutes:d6",
+     """SELECT total_routes, overall_eta_score_minutes, query_id AS route_id, eta_score_minutes FROM scores
+        CROSS JOIN (SELECT count(*) AS total_routes, avg(eta_score_minutes) AS overall_eta_score_minutes FROM scores)""", "scores")
 def _sink_eval(spark, sf):
     path = scratch_path(spark, "eval_json")
     files.write_evaluation_json(scores_tbl(spark, sf), path, "query_id")
     doc = spark.read.text(path).select(F.from_json(
-        "value", "total_routes bigint, overall_eta_score_minutes double").alias("d"))
-    return doc.select("d.*")
+        "value", "total_routes bigint, overall_eta_score_minutes double, route_details array<struct<route_id: string, eta_score_minutes: double>>").alias("d"))
+    return doc.select("d.total_routes", "d.overall_eta_score_minutes", F.explode("d.route_details").alias("r")).select("total_routes", "overall_eta_score_minutes", "r.*")
 
 
 # -- 2.2 projections and filters --
@@ -442,6 +477,37 @@ def _j6(spark, sf):
     return predictions_tbl(spark, sf)
 
 
+LADDER_CELLS = "SELECT * FROM patterns WHERE hour BETWEEN 5 AND 8 AND day_of_week < 5"
+
+
+@reg("join_pattern_ladder_levels", "model_key:s key_stop:s hour:i day_of_week:i speed:d6 level:i",
+     f"""SELECT * FROM (WITH cells AS ({LADDER_CELLS}),
+        asked AS (SELECT s AS key_stop, CAST(h AS INTEGER) AS hour, CAST(d AS INTEGER) AS day_of_week
+          FROM (SELECT DISTINCT current_stop_id AS s FROM patterns UNION ALL SELECT 'nowhere') CROSS JOIN range(24) a(h) CROSS JOIN range(7) b(d)),
+        found AS (SELECT a.*,
+          (SELECT avg(speed_mean) FROM cells c WHERE c.current_stop_id = a.key_stop AND c.hour = a.hour AND c.day_of_week = a.day_of_week) AS l1,
+          (SELECT avg(speed_mean) FROM cells c WHERE c.current_stop_id = a.key_stop AND c.hour = a.hour) AS l2,
+          (SELECT avg(speed_mean) FROM cells c WHERE c.current_stop_id = a.key_stop AND abs(c.hour - a.hour) = 1) AS l3,
+          (SELECT avg(speed_mean) FROM cells c WHERE c.hour = a.hour AND c.day_of_week = a.day_of_week) AS l4,
+          (SELECT avg(speed_mean) FROM cells c WHERE c.current_stop_id = a.key_stop) AS l5,
+          (SELECT avg(speed_mean) FROM cells) AS g FROM asked a),
+        used AS (SELECT *, coalesce(l1, l2, l3, l4, l5) AS v,
+          CASE WHEN l1 IS NOT NULL THEN 1 WHEN l2 IS NOT NULL THEN 2 WHEN l3 IS NOT NULL THEN 3 WHEN l4 IS NOT NULL THEN 4 ELSE 5 END AS lvl FROM found)
+        SELECT 'cells' AS model_key, key_stop, hour, day_of_week, CASE WHEN coalesce(v, 0) <> 0 THEN v ELSE g END AS speed,
+          CASE WHEN coalesce(v, 0) <> 0 THEN lvl ELSE 6 END AS level FROM used
+        UNION ALL SELECT 'standing', key_stop, hour, day_of_week, 2e1 / 3.6e0, 7 FROM asked)""", "patterns")
+def _j6_levels(spark, sf):
+    """Every stop of the network and an unknown one, at every hour and weekday,
+    against the cells of weekday mornings, and against a model where nothing moves."""
+    p = patterns_tbl(spark, sf)
+    cells = p.where("hour BETWEEN 5 AND 8 AND day_of_week < 5")
+    stops = p.select(F.col("current_stop_id").alias("key_stop")).distinct().unionByName(spark.createDataFrame([("nowhere",)], "key_stop string"))
+    asked = (stops.withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23)))).withColumn("day_of_week", F.explode(F.sequence(F.lit(0), F.lit(6)))))
+    models = static.materialize(cells.withColumn("model_key", F.lit("cells")).unionByName(cells.withColumn("model_key", F.lit("standing")).withColumn("speed_mean", F.lit(0.0))))
+    got = [pat.ladder_speed(asked, models, model_key=k).withColumn("model_key", F.lit(k)) for k in ("cells", "standing")]
+    return got[0].unionByName(got[1])
+
+
 @reg("join_route_characteristics", PK + " route_length:d3 route_complexity:d6 route_stop_density:d9 "
      "route_avg_speed:d6", "SELECT * FROM h_full", "h_full")
 def _j7(spark, sf):
@@ -661,11 +727,20 @@ def _t3(spark, sf):
 
 # -- 2.7 set operations --
 
-@reg("union_pings", PK + " ts:t", "SELECT * FROM hist UNION ALL SELECT * FROM live", "hist", "live")
+@reg("union_pings", PK + " ts:t latitude:d9 longitude:d9 bearing:d6 vehicle_id:s depot:s",
+     """SELECT date, route_id, trip_id, seq, ts, latitude, longitude, bearing, vehicle_id, NULL AS depot FROM hist
+        UNION ALL SELECT date, route_id, trip_id, seq, ts, latitude, longitude, NULL, vehicle_id, concat('d', CAST(seq % 3 AS VARCHAR)) FROM live""",
+     "hist", "live")
 def _u1(spark, sf):
+    """History in one layout, live pings in a later one: columns renamed and
+    retyped, one dropped, one added."""
     w = _wl(spark, sf)
-    return clean.clean_pings(w.history_raw()).unionByName(clean.clean_pings(w.live_raw()),
-                                                         allowMissingColumns=True)
+    live = w.live_raw()
+    live = live.select(F.col("route_id").alias("routeId"), F.col("trip_id").alias("tripId"), F.translate("vehicle_id", '"', "").cast("bigint").alias("vehicle_id"),
+                       "stop_id", F.col("seq").cast("bigint").alias("seq"), F.expr("try_cast(translate(vehicle_timestamp, '\"', '') as double)").alias("Timestamp"),
+                       F.col("latitude").cast("string").alias("lat"), F.col("longitude").cast("decimal(18, 12)").alias("lon"), "schedule_relationship", "date",
+                       F.concat(F.lit("d"), (F.col("seq") % 3).cast("string")).alias("depot"))
+    return clean.clean_pings(clean.union_pings(w.history_raw(), live))
 
 
 @reg("except_routes", "date:date route_id:s n:i rank:i",
@@ -856,7 +931,13 @@ def _r4(spark, sf):
     return all_trips(spark, sf)
 
 
-@reg("ctx_duration_to_future_stops", PK + " duration_to_future_stops:ad3", "SELECT * FROM h_ctx", "h_ctx")
+@reg("ctx_duration_to_future_stops", PK + " duration_to_future_stops:ad3",
+     """SELECT c.date, c.route_id, c.trip_id, c.seq,
+        coalesce(list((epoch_us(fa.first_ts) - epoch_us(c.ts)) / 1e6 ORDER BY u.i) FILTER (WHERE fa.first_ts IS NOT NULL), []::DOUBLE[])
+          AS duration_to_future_stops
+        FROM h_ctx2 c CROSS JOIN LATERAL unnest(c.future_stop_ids) WITH ORDINALITY AS u(s, i)
+        LEFT JOIN h_fa fa ON fa.date = c.date AND fa.route_id = c.route_id AND fa.trip_id = c.trip_id
+          AND fa.stop_id = u.s GROUP BY ALL""", "h_ctx2", "h_fa")
 def _r5(spark, sf):
     return all_trips(spark, sf)
 
@@ -993,6 +1074,15 @@ def _x1(spark, sf):
     return clean_stream(spark, src)
 
 
+@reg("stream_clean_pings_once", CLEAN_SPEC, "SELECT * FROM clean", "clean")
+def _x1_once(spark, sf):
+    """Every ping arrives twice, the second time in files of its own."""
+    from .streaming.stream import clean_stream
+    src = _stream_src(spark, sf, "x1_src", _wl(spark, sf).raw_pings())
+    _wl(spark, sf).raw_pings().repartition(3).write.mode("append").parquet(src)
+    return clean_stream(spark, src, lateness="36500 days")
+
+
 @reg("stream_latest_ping", "query_id:s ts:t seq:i latitude:d9 longitude:d9", "SELECT * FROM q_latest",
      "q_latest")
 def _x2(spark, sf):

@@ -7,7 +7,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on (UTC hour features, ANSI errors surfaced,
 # adaptive re-planning for skew and partition coalescing).
@@ -81,6 +82,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Persists a table that one plan reads several times, spilling to disk;
+    :func:`release` frees it once the plan's result is written."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.setdefault(df.sparkSession.sparkContext.applicationId, []).append(df)
+    return df
+
+
+def release(spark: SparkSession) -> int:
+    """Frees what :func:`keep` has persisted in this application; results that
+    are not written yet are computed anew. Returns the number of tables."""
+    kept = _KEPT.pop(spark.sparkContext.applicationId, [])
+    for df in kept:
+        df.unpersist()
+    return len(kept)
+
+
+_KEPT: dict[str, list[DataFrame]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder (not yet made) of the shared folder, for a written table."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,12 +1,14 @@
 """Rules that the fixture's rows don't reach: ties, repeated and odd input, medians, projection."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from headway import session
 from headway.functions import geo
-from headway.operators import clean, mapmatch, patterns, routes, static
+from headway.operators import clean, features, mapmatch, patterns, routes, static
 from headway.operators.quantiles import exact_median
 from headway.sources import files
 
@@ -85,7 +87,7 @@ def test_unreadable_files_fail_or_are_audited(spark, tmp_path):
     with pytest.raises(Exception):
         files.read_pings(spark, str(root)).collect()
     assert files.read_pings(spark, str(root), skip_unreadable=True).count() == 3
-    assert sorted(r["rows"] for r in files.audit_files(spark, str(root)).collect()) == [0, 3]
+    assert sorted(r["rows"] for r in files.file_status(spark, str(root)).collect()) == [0, 3]
 
 
 def test_published_utm_point(spark):
@@ -93,3 +95,71 @@ def test_published_utm_point(spark):
     df = spark.createDataFrame([(43.642566, -79.387139)], "lat double, lon double")
     r = geo.with_utm(df.withColumns({"z": F.expr(geo.zone_sql("lon")), "s": F.expr(geo.south_sql("lat"))}), "lat", "lon", "x", "y", zone="z", south="s").first()
     assert r["z"] == 17 and abs(r["x"] - 630084.3) < 0.5 and abs(r["y"] - 4833438.5) < 0.5
+
+
+def test_complexity_without_turn_rates(spark):
+    df = spark.createDataFrame([("2024-01-01", "1", "t", "s", 10.0, 2.0), ("2024-01-01", "1", "u", "s", 30.0, 4.0)], "date string, route_id string, trip_id string, stop_id string, segment_distance double, speed double")
+    r = features.route_characteristics(df).first()
+    assert (r["complexity_score"], r["avg_trip_length"], r["avg_speed"], r["stop_density"]) == (1.0, 20.0, 3.0, 1 / 40)
+
+
+def test_first_processed_date_follows_the_list(spark):
+    stats = spark.createDataFrame([(d, r, v, v, v, v) for d, r, v in (("2024-01-01", "a", 1.0), ("2024-01-02", "a", 2.0), ("2024-01-03", "a", 3.0), ("2024-01-01", "b", 4.0), ("2024-01-04", "c", 5.0), ("2024-01-05", "c", 6.0))],
+                                  "date string, route_id string, avg_trip_length double, complexity_score double, stop_density double, avg_speed double").withColumn("date", F.to_date("date"))
+    rows = spark.createDataFrame([("a", 5), ("b", 5), ("c", 5)], "route_id string, total_route_stops int")
+
+    def used(dates):
+        got = features.attach_route_characteristics(rows, stats, dates=dates)
+        return {r["route_id"]: r["route_length"] for r in got.collect()}
+    assert used(None) == {"a": 1.0, "b": 4.0, "c": 5.0}
+    assert used(["2024-01-03", "date=2024-01-01"]) == {"a": 3.0, "b": 4.0, "c": 5.0}
+    assert used(["2024-01-05", "2024-01-02"]) == {"a": 2.0, "b": 4.0, "c": 6.0}
+
+
+def test_layouts_of_pings_in_one_union(spark):
+    old = spark.createDataFrame([("1", "t", "v", "s", "1700000000", 1.5, 2.5, 90.0, "SCHEDULED", "x")],
+                                "route_id string, trip_id string, vehicle_id string, stop_id string, vehicle_timestamp string, latitude double, longitude double, bearing double, schedule_relationship string, note string")
+    new = spark.createDataFrame([(1, "u", 7, 1.7e9, "3.5", "off", 1, 9)], "RouteId int, trip_id string, vehicle_id long, Timestamp double, LAT string, lng string, note int, door int")
+    got = {r["trip_id"]: r.asDict() for r in clean.union_pings(old, new).collect()}
+    assert got["u"] == {"route_id": "1", "trip_id": "u", "vehicle_id": "7", "stop_id": None, "vehicle_timestamp": "1.7E9", "latitude": 3.5, "longitude": None, "bearing": None,
+                        "schedule_relationship": None, "note": "1", "door": 9}
+    assert got["t"]["bearing"] == 90.0 and got["t"]["door"] is None and got["t"]["note"] == "x"
+    # a column under both names keeps both; an own mapping replaces the usual one
+    both = spark.createDataFrame([(1.0, 2.0)], "latitude double, lat double")
+    assert clean.conform(both).first()["latitude"] == 1.0 and clean.conform(both).first()["lat"] == 2.0
+    assert clean.conform(spark.createDataFrame([("9",)], "linie string"), {"linie": "route_id"}).first()["route_id"] == "9"
+    assert clean.union_pings(old).count() == 1 and clean.clean_pings(clean.union_pings(old, old.limit(0))).count() == 1
+
+
+def test_a_hot_quarter_of_an_hour_is_cut(spark):
+    rng = random.Random(4)
+    n = 7
+    rows = [("2024-01-01", 1, "hot", 1_704_067_200_000_000 + rng.choice((0, 1, 2_000_000, 5_000_000)), k, sorted(rng.sample(range(n - 1), rng.randint(0, n - 1)))) for k in range(4000)]
+    rows += [("2024-01-01", 1, f"t{k}", 1_704_067_200_000_000 + 60_000_000 * j, j, sorted(rng.sample(range(n - 1), 2))) for k in range(20) for j in range(40)]
+    p = spark.createDataFrame(rows, "date string, route_id long, trip_id string, us long, seq long, open array<int>").withColumn("ts", F.timestamp_micros("us"))
+    p = p.withColumn("n", F.lit(n)).withColumn("ids", F.expr(f"transform(sequence(0, {n - 1}), i -> string(i))"))
+    cut, rounds = mapmatch.with_chunks(p, 900, 100)
+    sizes = sorted(r["count"] for r in cut.where("trip_id = 'hot'").groupBy("bucket").count().collect())
+    assert len(sizes) >= 38 and sizes[-1] <= 2 * sizes[len(sizes) // 2] and 1 << rounds >= len(sizes)
+    edges = cut.where("trip_id = 'hot'").groupBy("bucket").agg(F.min(F.struct("ts", "seq")).alias("a"), F.max(F.struct("ts", "seq")).alias("b")).orderBy("bucket").collect()
+    assert all(tuple(x["b"]) < tuple(y["a"]) for x, y in zip(edges, edges[1:]))
+    got = mapmatch.fold_positions(p, ["date", "route_id", "trip_id", "ts", "seq"], chunk_rows=100)
+    found = {(r["trip_id"], r["seq"]): (r["route_position"], {k: v for k, v in r["first_arrival"].items()}) for r in got.collect()}
+    for trip in {r[2] for r in rows}:
+        m, first = 0, {}
+        own = sorted((r for r in rows if r[2] == trip), key=lambda r: (r[3], r[4]))
+        places = []
+        for r in own:
+            m = min((i for i in r[5] if i >= m), default=n - 1)
+            first.setdefault(str(m), r[3])
+            places.append((r[4], m))
+        for seq, m in places:
+            assert found[trip, seq][0] == m
+        assert {k: int(v.timestamp() * 1_000_000) for k, v in found[trip, own[0][4]][1].items()} == first
+
+
+def test_kept_tables_are_released(spark):
+    session.release(spark)
+    df = session.keep(spark.range(5))
+    assert df.count() == 5 and df.storageLevel.useMemory
+    assert session.release(spark) == 1 and not df.storageLevel.useMemory and session.release(spark) == 0

@@ -91,3 +91,66 @@ def _pings(spark, w):
     root = scratch_path(spark, "pings")
     w.raw_pings().hint("rebalance", "date").write.partitionBy("date").parquet(root)
     return root
+
+
+COLS = "query_id string, route_id string, trip_id string, vehicle_id string, stop_id string, seq int, vehicle_timestamp string, latitude double, longitude double, bearing double, schedule_relationship string"
+
+
+def _files(spark, name, batches):
+    """A source with one file per batch of (query, seq, time)."""
+    root = scratch_path(spark, name)
+    for rows in batches:
+        made = [(q, "1", q, "v", "s", k, str(t), 1.0, 1.0, 0.0, "SCHEDULED") for q, k, t in rows]
+        spark.createDataFrame(made, COLS).coalesce(1).write.mode("append").parquet(root)
+    return root
+
+
+def test_replayed_pings_are_dropped_and_late_ones_counted(spark):
+    t0, hour = 1_700_000_000, 3600
+    batches = [[("a", 1, t0), ("b", 1, t0 + 10)], [("a", 1, t0), ("a", 2, t0 + hour), ("a", 2, t0 + hour)], [("c", 1, t0 + 9 * hour), ("b", 1, t0 + 10)],
+               [("d", 1, t0 + 9 * hour + 5), ("h", 1, t0 + 2 * hour)], [("e", 1, t0 + hour), ("c", 1, t0 + 9 * hour), ("f", 1, t0 + 8 * hour)], [("e", 2, t0), ("g", 1, t0 + 10 * hour)]]
+    src, late = _files(spark, "dups", batches), scratch_path(spark, "late")
+    got = stream.clean_stream(spark, src, files_per_batch=1, lateness="2 hours", late=late)
+    behind = stream.late_pings(spark, late)
+    kept = rows(got, "trip_id", "seq")
+    assert kept == [("a", 1), ("a", 2), ("b", 1), ("c", 1), ("d", 1), ("f", 1), ("g", 1), ("h", 1)]     # the watermark of h's batch is of the batch before the last
+    assert rows(behind, "trip_id", "seq") == [("e", 1), ("e", 2)]
+    # without lateness nothing is dropped
+    assert stream.clean_stream(spark, src, files_per_batch=1).count() == sum(map(len, batches))
+
+
+def test_sink_of_many_batches_is_compacted(spark):
+    root = scratch_path(spark, "sink")
+    sink = stream.LatestSink(spark, root, "q", every=4)
+    want = {}
+    for epoch in range(11):
+        made = [(f"q{k}", epoch * 10 + k) for k in range(epoch % 3, 6, 2)]
+        want |= dict(made)
+        sink.write(spark.createDataFrame(made, "q string, ts int").coalesce(1), epoch)
+        sink.compact(epoch)
+    assert sink.generation() == (2, 7)
+    files_read = {"/".join(r["f"].split("/")[-4:-1]) for r in sink._rows(2).select(F.input_file_name().alias("f")).distinct().collect()}
+    assert all("gen=2" in f for f in files_read)
+    assert dict(rows(sink.read(), "q", "ts")) == want
+    # a batch run again, before and after the base that holds it
+    sink.write(spark.createDataFrame([("q9", 1)], "q string, ts int"), 3)
+    assert dict(rows(sink.read(), "q", "ts")) == want
+    # a compaction that dies: its base is there, the commit is not
+    sink.write_base(3)
+    assert sink.generation() == (2, 7) and dict(rows(sink.read(), "q", "ts")) == want
+    sink.write(spark.createDataFrame([("q0", 999)], "q string, ts int"), 11)
+    sink.compact(11)
+    assert sink.generation() == (3, 11) and dict(rows(sink.read(), "q", "ts")) == want | {"q0": 999}
+
+
+def test_streams_with_compaction(spark, work):
+    w, _ = work
+    src = stream.write_stream_source(w.query_raw(), scratch_path(spark, "stream_src"), 6)
+    cols = ["query_id", "seq", "ts", "latitude"]
+    want = rows(eta.latest_ping(clean.clean_pings(w.query_raw())), *cols)
+    assert rows(stream.latest_ping_stream(spark, src, files_per_batch=1, compact_every=2), *cols) == want
+    pats, rt = registry.patterns_tbl(spark, SF_SMALL), w.routes()
+    cols = ["query_id", "route_id", "i", "stop_id", "level", "arrival_ts"]
+    st, seq = w.static()
+    want = rows(pipelines.predict(w.query_raw(), st, seq, pats, routes_tbl=rt), *cols)
+    assert rows(stream.predict_stream(spark, src, rt, pats, files_per_batch=2, compact_every=2), *cols) == want
