@@ -1,13 +1,17 @@
 """Alignment of the tokens of two tokenizers, and statistics of linked ids.
 
-1. Every text is tokenised whole by both.  Where a token of each ends at the
-   same byte and the next token of each starts with a space, the document is
-   split; what lies between two such places is a window, known by its token ids
-   alone.  A window is aligned once and remembered by its two id tuples.
-2. Documents are packed into portions of about three megabytes.  A portion's
+1. Documents are tokenised whole by both.  No token of either kind spans a
+   space after anything but white space (this is checked), so the ids are those of the
+   stretches of text between such places, one after another; a task tokenises
+   each distinct stretch once.
+2. Where a token of each ends at the same byte and the next token of each starts
+   with a space, the ids are split; what lies between two such places is a
+   window, known by its token ids alone.  A window is aligned once and
+   remembered by its two id tuples.
+3. Documents are packed into portions of about three megabytes.  A portion's
    row has its documents, with the numbers of their linked id pairs, and the
    portion's distinct pairs with the number of documents that hold each.
-3. The pairs' counts are summed over all portions, joined back by pair and
+4. The pairs' counts are summed over all portions, joined back by pair and
    portion, and meet the documents there.  A pair in every document is one row
    per portion, so no key grows with the number of its occurrences.
 """
@@ -20,6 +24,7 @@ import os
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -34,12 +39,12 @@ from .tables import stored
 
 #: Bytes of text in one portion (one longer text is a portion of its own).
 PORTION_CHARS = 3 << 20
-#: Characters tokenised in one call.  A longer text is cut between a letter and
-#: the space before another letter, if no token of either kind spans that.
-CALL_CHARS = 1 << 18
-#: Characters of remembered windows (ids and results) that a task holds.
-MEMO_CHARS = 24 << 20
-SEAM = re.compile("(?<=[a-z]) (?=[a-z])")
+#: Characters tokenised in one call (one longer stretch is a call of its own).
+CALL_CHARS = 1 << 15
+#: Bytes, about, of remembered stretches and windows (ids and results) that a task holds.
+MEMO_BYTES = 192 << 20
+#: Where a text may be cut, if no token contains it.
+SEAM = re.compile(r"\S ")
 PORTIONS = "portion long, rows binary, pairs array<long>, docs array<int>"
 #: What the alignment adds to each row.
 FIELDS = [("n_a", T.LongType()), ("n_b", T.LongType()), ("n_groups", T.LongType()), ("n_links", T.LongType()), ("n_best", T.LongType()),
@@ -86,39 +91,86 @@ class Tokenizers:
         self.vb = vocabulary([piece(i) for i in range(self.b.get_piece_size())])
         self.seams = not any(SEAM.search(t.decode("utf-8", "replace")) for t in (*self.va.bytes, *self.vb.bytes))
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Ids of space + text by A and of text by B; both are empty where the
-        text is, or where the tokens' bytes aren't space + text."""
-        none = np.zeros(0, dtype=np.int32)
-        for at, stop in _calls(texts):
-            if stop - at > 1 or len(texts[at]) <= CALL_CHARS:
-                call = texts[at:stop]
-                pairs = zip([e.ids for e in self.a.encode_batch([" " + t for t in call], add_special_tokens=False)], self.b.encode(call, num_threads=1))
-            else:
-                pairs = [self._long(texts[at])]
-            for text, (a, b) in zip(texts[at:stop], pairs):
-                want = b" " + text.encode()
-                if text and b"".join(map(self.va.bytes.__getitem__, a)) == want and b"".join(map(self.vb.bytes.__getitem__, b)) == want:
-                    yield np.array(a, dtype=np.int32), np.array(b, dtype=np.int32)
-                else:
-                    yield none, none
-
-    def _long(self, text: str) -> tuple[list[int], list[int]]:
-        a, b, at = [], [], 0
-        while at < len(text):
-            seam = SEAM.search(text, at + CALL_CHARS) if self.seams else None
-            stop = seam.start() if seam else len(text)
-            a += self.a.encode((" " if not at else "") + text[at:stop], add_special_tokens=False).ids
-            b += self.b.encode(text[at + 1 if at else 0:stop])
-            at = stop
-        return a, b
+    def stretches(self, text: str) -> list[str]:
+        """The text cut at every space that follows neither another space nor
+        other white space, without these spaces."""
+        words = text.split(" ")
+        odd = {w for w in set(words) if not w or w[-1].isspace()}
+        if not self.seams:
+            return [text]
+        if not odd:
+            return words
+        out, held = [], None
+        for w in words:
+            held = w if held is None else f"{held} {w}"
+            if w not in odd:
+                out.append(held)
+                held = None
+        if held is not None:        # white space at the end belongs to what is before it
+            out[-1:] = [f"{out[-1]} {held}" if out else held]
+        return out
+
+    def encode(self, texts: list[str]) -> "Ids":
+        """Ids of space + text by A and of text by B, of each stretch of text."""
+        parts = [self._call(texts[at:stop]) for at, stop in _calls(texts)]
+        return Ids(*(np.concatenate(c) if parts else np.zeros(0, dtype=np.int64) for c in zip(*parts))) if parts else Ids(*[np.zeros(0, dtype=np.int64)] * 4, np.zeros(0, dtype=bool))
+
+    def _call(self, texts: list[str]) -> "Ids":
+        """Stretches next to each other have the ids that each has alone; if
+        their bytes differ somewhere, half of them are asked at a time."""
+        joined = " ".join(texts)
+        want = (" " + joined).encode()
+        size = np.fromiter((len(t.encode()) + 1 for t in texts), dtype=np.int64, count=len(texts))
+        first = np.append(0, np.cumsum(size))
+        out, exact = [], True
+        for v, ids in ((self.va, self.a.encode_batch_fast([" " + joined], add_special_tokens=False)[0].ids), (self.vb, self.b.encode(joined))):
+            exact = exact and b"".join(map(v.bytes.__getitem__, ids)) == want
+            ids = np.array(ids, dtype=np.int64)
+            ends = np.append(0, np.cumsum(v.size[ids]))
+            at = np.searchsorted(ends, first)
+            exact = exact and bool((ends[at] == first).all())
+            out += [ids, np.diff(at)]
+        if exact:
+            return Ids(*out, np.ones(len(texts), dtype=bool))
+        if len(texts) > 1:
+            n = len(texts) // 2
+            return Ids(*map(np.concatenate, zip(self._call(texts[:n]), self._call(texts[n:]))))
+        none = np.zeros(0, dtype=np.int64)
+        return Ids(none, np.zeros(1, dtype=np.int64), none, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=bool))
+
+
+class Ids(NamedTuple):
+    a: np.ndarray           # of all stretches, end to end
+    n_a: np.ndarray         # how many each has
+    b: np.ndarray
+    n_b: np.ndarray
+    exact: np.ndarray       # are the tokens' bytes, by either, space + text; if not, a stretch has none
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The lists' numbers end to end, and how many each has."""
+    count = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(count.sum())), count
+
+
+def _sums(x: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Of x, in parts of ``count`` numbers."""
+    total = np.append(0, np.cumsum(x, dtype=np.int64))
+    end = np.cumsum(count)
+    return total[end] - total[end - count]
+
+
+def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each, count of them, end to end."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
 
 
 def _calls(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of CALL_CHARS together at most, or of a single one."""
+    """Ranges of stretches of CALL_CHARS together at most, or of a single one.
+    One that ends with white space is the last of its range."""
     at, size = 0, 0
     for i, t in enumerate(texts):
-        if i > at and size + len(t) > CALL_CHARS:
+        if i > at and (size + len(t) > CALL_CHARS or texts[i - 1][-1:].isspace() or not texts[i - 1]):
             yield at, i
             at, size = i, 0
         size += len(t)
@@ -129,76 +181,94 @@ def _calls(texts: list[str]) -> Iterator[tuple[int, int]]:
 # ---- windows ------------------------------------------------------------------------
 
 
-class Window(NamedTuple):
-    groups: str             # a1,a2|b1;a3|b2,b3
-    n_groups: int
-    links: list[tuple[int, int]]
-
-
-def aligned(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> Window:
-    """Groups between places where a token of each ends, and the pairs of
-    tokens whose bytes overlap; tokens without bytes overlap nothing."""
-    groups, links, i, j, from_i, from_j, end_a, end_b = [], [], 0, 0, 0, 0, 0, 0
-    while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b):
-            begin = max(end_a, end_b)
-            if min(end_a + size_a[i], end_b + size_b[j]) > begin:
-                links.append((a[i], b[j]))
-        next_a = end_a + size_a[i] if i < len(a) else None
-        next_b = end_b + size_b[j] if j < len(b) else None
-        step_a = next_b is None or next_a is not None and next_a <= next_b
-        step_b = next_a is None or next_b is not None and next_b <= next_a
-        if step_a:
-            i, end_a = i + 1, next_a
-        if step_b:
-            j, end_b = j + 1, next_b
-        if step_a and step_b:
-            groups.append(f"{','.join(map(str, a[from_i:i]))}|{','.join(map(str, b[from_j:j]))}")
-            from_i, from_j = i, j
-    return Window(";".join(groups), len(groups), links)
+class Numbers(dict):
+    """Numbers what it is asked for, in order of appearance."""
+
+    def __missing__(self, key) -> int:
+        n = self[key] = len(self)
+        return n
+
+
+class Stretch(NamedTuple):
+    n_a: int
+    n_b: int
+    windows: list[int]      # their numbers
 
 
 class Aligner:
-    """Splits documents into windows and remembers how these are aligned."""
-
-    def __init__(self, tokenizers: Tokenizers, memo_chars: int = MEMO_CHARS):
-        self.t, self.limit, self.memo, self.held = tokenizers, memo_chars, {}, 0
-
-    def starts(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-        """First tokens of the windows, by either tokenizer, and the ends."""
-        va, vb = self.t.va, self.t.vb
-        sa, sb = va.size[a], vb.size[b]
-        at_a, at_b = np.cumsum(sa) - sa, np.cumsum(sb) - sb
-        mark_a, mark_b = np.flatnonzero(va.spaced[a]), np.flatnonzero(vb.spaced[b])
-        _, i, j = np.intersect1d(at_a[mark_a], at_b[mark_b], assume_unique=True, return_indices=True)
-        i, j = mark_a[i], mark_b[j]
-        first = (i > 0) & (j > 0)
-        return [0, *i[first].tolist(), len(a)], [0, *j[first].tolist(), len(b)]
-
-    def window(self, key: tuple[bytes, bytes]) -> Window:
-        found = self.memo.get(key)
-        if found is None:
-            a, b = (np.frombuffer(k, dtype=np.int32) for k in key)
-            found = aligned(a.tolist(), b.tolist(), self.t.va.size[a].tolist(), self.t.vb.size[b].tolist())
-            if self.held > self.limit:
-                self.memo.clear()
-                self.held = 0
-            self.memo[key] = found
-            self.held += 200 + len(key[0]) + len(key[1]) + len(found.groups) + 64 * len(found.links)
-        return found
-
-    def document(self, a: np.ndarray, b: np.ndarray) -> list[Window]:
+    """Tokenises stretches of text, splits them into windows, aligns each
+    distinct window once, and remembers both."""
+
+    def __init__(self, tokenizers: Tokenizers, memo_bytes: int = MEMO_BYTES):
+        self.t, self.limit = tokenizers, memo_bytes
+        self.n_b = len(tokenizers.vb.bytes)
+        # a token's id with the sign that follows it: within a group, or at the end of its side
+        self.signs = [f"{i}{x}" for v, end in ((tokenizers.va, "|"), (tokenizers.vb, ";")) for i in range(len(v.bytes)) for x in (",", end)]
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, Stretch | None] = {}
+        self.number = Numbers()                 # of a window, by its two id tuples
+        self.text: list[str] = []               # of window n: its groups, each with a sign after it
+        self.n_groups: list[int] = []
+        self.links: list[np.ndarray] = []       # a * n_b + b of its linked tokens
+        self.held = 0
+
+    def find(self, stretches: list[str]) -> list[Stretch | None]:
+        """Of each stretch; None where its tokens' bytes differ from it."""
+        if self.held > self.limit:
+            self.forget()
+        new = [t for t in stretches if t not in self.known]
+        if new:
+            self._learn(new)
+        return [self.known[t] for t in stretches]
+
+    def _learn(self, texts: list[str]) -> None:
+        a, count_a, b, count_b, exact = self.t.encode(texts)
+        self.held += 2 * sum(map(len, texts)) + 350 * len(texts)
+        if not exact.all():
+            self.known.update((texts[k], None) for k in np.flatnonzero(~exact).tolist())
+            texts, count_a, count_b = [texts[k] for k in np.flatnonzero(exact).tolist()], count_a[exact], count_b[exact]
         if not len(a):
-            return []
-        i, j = self.starts(a, b)
-        raw_a, raw_b = a.tobytes(), b.tobytes()
-        i, j = [4 * x for x in i], [4 * x for x in j]
-        get, window = self.memo.get, self.window
-        out = []
-        for p, q, r, s in zip(i, i[1:], j, j[1:]):
-            key = raw_a[p:q], raw_b[r:s]
-            out.append(get(key) or window(key))
-        return out
+            return
+        size_a, size_b = self.t.va.size[a], self.t.vb.size[b]
+        mark_a, mark_b = np.flatnonzero(self.t.va.spaced[a]), np.flatnonzero(self.t.vb.spaced[b])
+        # tokens that start at the same byte, with a space each: so do those at a stretch's start
+        _, i, j = np.intersect1d((np.cumsum(size_a) - size_a)[mark_a], (np.cumsum(size_b) - size_b)[mark_b], assume_unique=True, return_indices=True)
+        i, j = np.append(mark_a[i], len(a)), np.append(mark_b[j], len(b))
+        raw_a, raw_b = a.astype(np.int32).tobytes(), b.astype(np.int32).tobytes()
+        p, q = (4 * i).tolist(), (4 * j).tolist()
+        before = len(self.number)
+        numbers = list(map(self.number.__getitem__, [(raw_a[x:y], raw_b[u:v]) for x, y, u, v in zip(p, p[1:], q, q[1:])]))
+        numbers_at = np.array(numbers)
+        new, at = np.unique(numbers_at, return_index=True)
+        self._align(a, b, i[:-1], np.diff(i), j[:-1], np.diff(j), at[new >= before])
+        ends = np.searchsorted(i[:-1], np.cumsum(count_a)).tolist()
+        self.known.update((t, Stretch(x, y, numbers[u:v])) for t, x, y, u, v in zip(texts, count_a.tolist(), count_b.tolist(), [0, *ends], ends))
+
+    def _align(self, a, b, i, n_i, j, n_j, new: np.ndarray) -> None:
+        """Aligns the windows ``new``, of n_i tokens of a from i and n_j of b from j."""
+        n_i, n_j = n_i[new], n_j[new]
+        a, b = a[_ranges(i[new], n_i)].astype(np.int64), b[_ranges(j[new], n_j)].astype(np.int64)
+        end_a, end_b = np.cumsum(self.t.va.size[a]), np.cumsum(self.t.vb.size[b])
+        cuts = np.intersect1d(end_a, end_b, assume_unique=True)
+        last_a, last_b = np.isin(end_a, cuts, assume_unique=True), np.isin(end_b, cuts, assume_unique=True)
+        # between neighbouring ends of either lies one pair of overlapping tokens
+        ends = np.sort(np.concatenate([end_a, end_b]), kind="stable")
+        ends = ends[np.append(True, ends[1:] > ends[:-1])]
+        links = a[np.searchsorted(end_a, ends)] * self.n_b + b[np.searchsorted(end_b, ends)]
+        stop = end_a[np.cumsum(n_i) - 1]
+        link_at = np.searchsorted(ends, stop, side="right")
+        group_at = np.searchsorted(cuts, stop, side="right")
+        group = np.concatenate([2 * np.searchsorted(cuts, end_a), 2 * np.searchsorted(cuts, end_b) + 1])
+        sign = np.concatenate([2 * a + last_a, 2 * (len(self.t.va.bytes) + b) + last_b])
+        written = list(map(self.signs.__getitem__, sign[np.argsort(group, kind="stable")].tolist()))
+        at = np.cumsum(n_i + n_j).tolist()
+        texts = ["".join(written[x:y]) for x, y in zip([0, *at], at)]
+        self.text += texts
+        self.n_groups += np.diff(group_at, prepend=0).tolist()
+        self.links += np.split(links, link_at[:-1]) if len(new) else []
+        self.held += sum(map(len, texts)) + 8 * len(links) + 400 * len(new)
 
 
 # ---- portions -----------------------------------------------------------------------
@@ -214,34 +284,38 @@ def _ipc(batch: pa.RecordBatch) -> bytes:
 def _portion(part: pa.RecordBatch, texts: list[str], aligner: Aligner, digest: bool) -> pa.RecordBatch:
     """A row of PORTIONS: the rows' own columns with their figures, and the
     places of their pairs among the portion's, as steps, with the pairs' numbers."""
-    n_b = len(aligner.t.vb.bytes)
-    known: dict[int, int] = {}          # id() of a window -> its number here
-    windows: list[Window] = []
-    figures, flat, first = [], [], [0]
-    for a, b in aligner.t.encode(texts):
-        found = aligner.document(a, b)
-        for w in found:
-            n = known.get(id(w))
-            if n is None:
-                n = known[id(w)] = len(windows)
-                windows.append(w)       # held here, so that its id() stays its own
-            flat.append(n)
-        first.append(len(flat))
-        groups = ";".join([w.groups for w in found])
-        figures.append((len(a), len(b), sum([w.n_groups for w in found]), sum([len(w.links) for w in found]),
-                        hashlib.sha256(groups.encode()).hexdigest() if digest and found else groups))
-    codes = np.array([x * n_b + y for w in windows for x, y in w.links], dtype=np.int64)
-    pairs, local = np.unique(codes, return_inverse=True)
-    size = np.array([len(w.links) for w in windows], dtype=np.int64)
+    number = Numbers()
+    cut = [list(map(number.__getitem__, aligner.t.stretches(t))) if t else [] for t in texts]
+    flat, size = _flat(cut)
+    doc = np.repeat(np.arange(len(texts)), size)
+    found = aligner.find(list(number))
+    exact = np.ones(len(texts), dtype=bool)
+    exact[doc[np.array([s is None for s in found], dtype=bool)[flat]]] = False      # the whole document has no tokens then
+    found = [s or Stretch(0, 0, []) for s in found]
+    windows, n_windows = _flat([s.windows for s in found])
+    used, windows = np.unique(windows, return_inverse=True)     # numbered anew for this portion
+    used = used.tolist()
+    links, n_links = _flat([aligner.links[w] for w in used])
+    n_groups = np.array([aligner.n_groups[w] for w in used], dtype=np.int64)
+    figures = [np.fromiter((s[k] for s in found), dtype=np.int64, count=len(found)) for k in (0, 1)]
+    figures += [_sums(x[windows], n_windows) for x in (n_groups, n_links)]
+    figures = [np.where(exact, np.bincount(doc, c[flat], len(texts)), 0).astype(np.int64) for c in figures]
+    written = [aligner.text[s.windows[0]] if len(s.windows) == 1 else "".join([aligner.text[w] for w in s.windows]) for s in found]
+    groups = ["".join([written[n] for n in own])[:-1] if ok else "" for own, ok in zip(cut, exact)]
+    if digest:
+        groups = [g and hashlib.sha256(g.encode()).hexdigest() for g in groups]
+    flat, doc = flat[exact[doc]], doc[exact[doc]]
+    pairs, local = np.unique(links, return_inverse=True)
+    # the links of each stretch
+    off, size = np.cumsum(n_links) - n_links, n_links[windows]
+    local = local[_ranges(off[windows], size)]
+    size = _sums(size, n_windows)
     off = np.cumsum(size) - size
-    flat = np.array(flat, dtype=np.int64)
-    doc = np.repeat(np.arange(len(texts)), np.diff(first))
-    # (document, window) once with its number, then (document, pair)
-    key, times = np.unique(doc * max(1, len(windows)) + flat, return_counts=True)
-    doc, win = key // max(1, len(windows)), key % max(1, len(windows))
-    k = size[win]
-    at = np.repeat(off[win] - (np.cumsum(k) - k), k) + np.arange(k.sum())
-    key = np.repeat(doc, k) * max(1, len(pairs)) + local[at]
+    # (document, stretch) once with its number, then (document, pair)
+    key, times = np.unique(doc * max(1, len(found)) + flat, return_counts=True)
+    doc, stretch = key // max(1, len(found)), key % max(1, len(found))
+    k = size[stretch]
+    key = np.repeat(doc, k) * max(1, len(pairs)) + local[_ranges(off[stretch], k)]
     by = np.argsort(key, kind="stable")
     key, times = key[by], np.repeat(times, k)[by]
     new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, dtype=np.int64)
@@ -251,10 +325,10 @@ def _portion(part: pa.RecordBatch, texts: list[str], aligner: Aligner, digest: b
     step = np.diff(pair, prepend=0)
     step[bounds[:-1][np.diff(bounds) > 0]] = pair[bounds[:-1][np.diff(bounds) > 0]]
     lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x.astype(np.int32))) for x in (step, times)]
-    own = [pa.array(c, kind) for c, kind in zip(zip(*figures), (pa.int64(),) * 4 + (pa.string(),))]
+    own = [*map(pa.array, figures), pa.array(groups, pa.string())]
     rows = pa.record_batch([*part.columns, *own, *lists], names=[*(f"c{i}" for i in range(part.num_columns)), "n_a", "n_b", "n_groups", "n_links", "groups", "pair", "times"])
     docs = np.bincount(pair, minlength=len(pairs)).astype(np.int32)
-    return pa.record_batch([pa.array([uuid.uuid4().int >> 65]), pa.array([_ipc(rows)], pa.binary()), pa.array([pairs], pa.list_(pa.int64())), pa.array([docs], pa.list_(pa.int32()))],
+    return pa.record_batch([pa.array([uuid.uuid4().int >> 65]), pa.array([_ipc(rows)], pa.binary()), pa.array([pairs.astype(np.int64)], pa.list_(pa.int64())), pa.array([docs], pa.list_(pa.int32()))],
                            names=["portion", "rows", "pairs", "docs"])
 
 

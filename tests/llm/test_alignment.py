@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -78,18 +79,39 @@ def test_against_the_libraries(spark, files):
     assert [r[6] for r in hashed] == [hashlib.sha256(w[6].encode()).hexdigest() if w[0] else "" for w in want]
 
 
-def test_small_calls_and_memo(spark, files, monkeypatch):
-    texts = TEXTS + ["some words of a longer text that is cut between letters, 12 times or so " * 20]
-    want = plain(texts)
+def test_stretches_have_the_ids_of_whole_texts(spark, files, monkeypatch, docs):
     monkeypatch.setattr(alignment, "CALL_CHARS", 40)
-    aligner = alignment.Aligner(alignment.Tokenizers(*files), memo_chars=500)
-    assert aligner.t.seams
-    for text, w in zip(texts, want):
-        (a, b), = aligner.t.encode([text or ""])
-        found = aligner.document(a, b)
-        assert (len(a), len(b), ";".join(x.groups for x in found)) == (w[0], w[1], w[6])
-        assert sum(len(x.links) for x in found) == w[3]
-    assert got(alignment.align(frame(spark, texts), *files)) == want
+    rng = random.Random(15)
+    t = alignment.Tokenizers(*files)
+    assert t.seams
+    odd = ["a", "é", "中", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\x1c", "\x85", "don't", "'s", "1", "½", "...", "▁", "😀", "<s>", "x y", "\r\n", "ß,", "\u0301"]
+    texts = [x for x in TEXTS if x] + ["".join(rng.choices(odd, k=rng.randint(1, 12))) for _ in range(3000)] + [r["text"] for r in docs.limit(60).collect()]
+    every = [p for x in texts for p in t.stretches(x)]
+    together, alone = t.encode(every), [t.encode([p]) for p in every]
+    assert all(np.array_equal(x, np.concatenate(y)) for x, y in zip(together, zip(*alone)))
+    for text in texts:
+        parts = t.stretches(text)
+        assert " ".join(parts) == text
+        ids = t.encode(parts)
+        a, b = A.encode(" " + text, add_special_tokens=False).ids, B.encode(text)
+        exact = b"".join(bytes(LETTERS[c] for c in A.id_to_token(i)) for i in a) == b" " + text.encode() == b"".join(map(piece, b))
+        assert exact == ids.exact.all() and ids.n_a.sum() == len(ids.a)
+        if exact:
+            assert (ids.a.tolist(), ids.b.tolist()) == (a, b)
+
+
+def test_small_memo(files):
+    texts = [x for x in TEXTS if x] + ["some words of a longer text, 12 times or so " * 20]
+    want = plain(texts)
+    aligner = alignment.Aligner(alignment.Tokenizers(*files), memo_bytes=500)
+    for _ in range(2):
+        for text, w in zip(texts, want):
+            found = aligner.find(aligner.t.stretches(text))
+            if None in found:
+                assert w[0] == 0
+            else:
+                assert (sum(s.n_a for s in found), sum(s.n_b for s in found), "".join(aligner.text[n] for s in found for n in s.windows)[:-1]) == (w[0], w[1], w[6])
+                assert (sum(aligner.n_groups[n] for s in found for n in s.windows), sum(len(aligner.links[n]) for s in found for n in s.windows)) == (w[2], w[3])
 
 
 def test_documents(spark, docs, files):
