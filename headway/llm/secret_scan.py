@@ -188,13 +188,21 @@ def fit(windows: list[bytes], labels: np.ndarray, epochs: int = 20, batch: int =
     return m._replace(slope=float(max(a, 1e-3)), shift=float(b))
 
 
+def confirmed(runs: list[tuple[int, int]], base: list[Span]) -> list[bool]:
+    """Does a span overlap each run?  Both by start, in one pass over them."""
+    out, i, reach = [], 0, 0
+    for a, b in runs:
+        while i < len(base) and base[i].start < b:
+            reach = max(reach, base[i].end)
+            i += 1
+        out.append(reach > a)
+    return out
+
+
 def findings(text: str) -> list[tuple[bytes, bool]]:
     """Every candidate's window, and whether a pattern confirms it."""
-    base = base_spans(text)
-    out = []
-    for a, b in candidates(text):
-        out.append((window(text, a, b), any(s.start < b and a < s.end for s in base)))
-    return out
+    runs = candidates(text)
+    return [(window(text, a, b), hit) for (a, b), hit in zip(runs, confirmed(runs, base_spans(text)))]
 
 
 class Scanner(NamedTuple):
@@ -257,9 +265,8 @@ def spans_of(scanner: Scanner, texts: list[str | None]) -> list[list[Span]]:
     base = [base_spans(t) for t in texts]
     todo = []
     for i, (t, own) in enumerate(zip(texts, base)):
-        for a, b in candidates(t):
-            if not any(s.start < b and a < s.end for s in own):
-                todo.append((i, a, b))
+        runs = candidates(t)
+        todo += [(i, a, b) for (a, b), hit in zip(runs, confirmed(runs, own)) if not hit]
     out = [list(b) for b in base]
     if todo and scanner.model is not None:
         for at in range(0, len(todo), 4096):
@@ -279,8 +286,8 @@ def scan(docs: DataFrame, scanner: Scanner, text: str = "text", out: str = "span
     code points, end exclusive.
 
     Null and empty texts have none (an empty array, never null); repeated rows
-    have the same ones; an input column called ``out`` is replaced; no rows
-    give no rows.
+    have the same ones; an input column called ``out``, in any case, is
+    replaced; no rows give no rows.
     """
     held = docs.sparkSession.sparkContext.broadcast(scanner)   # fixed size
 
@@ -291,7 +298,8 @@ def scan(docs: DataFrame, scanner: Scanner, text: str = "text", out: str = "span
             got = spans_of(held.value, texts.to_pylist())
             yield pa.array([[{"start": s.start, "end": s.end, "kind": s.kind} for s in x] for x in got], kind)
 
-    return docs.withColumn(out, spans(F.col(f"`{text}`")))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()]
+    return docs.select(*kept, spans(F.col(f"`{text}`")).alias(out))
 
 
 @F.arrow_udf(T.StringType())
