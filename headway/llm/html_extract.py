@@ -1,12 +1,12 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped so that every block-level element gives a line.  Each line
-weighs as much as its text is long, lines of marked boilerplate weigh nothing.
-The main text begins where the weights of three lines together surge from
-nothing and ends where they dive to nothing; every such run is kept, however
-light or far from the heaviest, so all text that isn't marked boilerplate or
-mostly links comes through.  Where the page marks its article and that
-outweighs the text outside, lines outside weigh nothing.
+Markup is stripped so that every block-level element gives a line.  A line
+weighs as much as its text is long: marked boilerplate weighs nothing, links
+count in paragraphs and headings only, and where the page marks an article,
+lines outside weigh less the more the article outweighs them.  The main text
+lies where the weights of three lines together surge above a level set by the
+page's own distribution until they dive below it.  Paragraphs and headings are
+text wherever they stand, as are the lines of an article that outweighs the rest.
 """
 
 from __future__ import annotations
@@ -23,10 +23,8 @@ from pyspark.sql import types as T
 
 #: Lines of one window.
 WINDOW = 3
-#: Characters in a window that make a surge in a text without any element, which is no page.
-SURGE = 80
-#: Share of its characters in links above which an unmarked line weighs nothing.
-LINK_SHARE = 0.5
+#: The level of a surge: this share of the window that half of the page's text lies in or above, SURGE characters at most.
+SURGE_SHARE, SURGE = 0.25, 80
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"""
@@ -49,14 +47,31 @@ BOILER_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising
     cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe subscription signup login nav navbar
     navigation menu breadcrumb breadcrumbs sidebar aside widget related recommended share sharing social comment comments
     disqus reply replies respond footer copyright header masthead toolbar pagination pager""".split())
-CONTENT_NAMES = frozenset("has with no content main article post entry body text wrapper container page layout".split())
+#: Class names that say what a page has, or that are the article's own, though a word of theirs names boilerplate.
+FLAGS = frozenset("has with without no is not js".split())
+OWN_PARTS = frozenset("article post entry story section".split())      # article-header: its title
+FRAMES = frozenset("sidebar header nav widget banner masthead".split())     # sidebar-layout: all of the page
+WHOLES = frozenset("layout page template article post entry".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
 
 
 class Line(NamedTuple):
     text: str
-    marked: bool   # inside the marked article
+    marked: bool        # inside the marked article
     boiler: bool
-    links: int     # characters in links
+    links: int          # characters in links
+    paragraph: bool     # in a paragraph or heading
+
+
+def _names_boiler(word: str) -> bool:
+    """Does a class or id name boilerplate?  As a whole first, then by its parts."""
+    if word in BOILER_NAMES:
+        return True
+    parts = [p for p in re.split(r"[^a-z]+", word) if p]
+    if len(parts) > 1:
+        if parts[0] in FLAGS or parts[-1] == "header" and parts[0] in OWN_PARTS or parts[0] in FRAMES and parts[-1] in WHOLES:
+            return False
+    return any(p in BOILER_NAMES for p in parts)
 
 
 def _boiler(name: str, attrs: str, in_article: bool) -> bool:
@@ -68,11 +83,8 @@ def _boiler(name: str, attrs: str, in_article: bool) -> bool:
         key, value = key.lower(), (a or b or c).lower()
         if key == "hidden" or key == "role" and value in BOILER_ROLES:
             return True
-        if key in ("class", "id"):
-            for word in value.split():
-                parts = [p for p in re.split(r"[^a-z]+", word) if p]
-                if any(p in BOILER_NAMES for p in parts) and not CONTENT_NAMES & set(parts):
-                    return True
+        if key in ("class", "id") and any(map(_names_boiler, value.split())):
+            return True
     return False
 
 
@@ -81,33 +93,35 @@ def lines(page: str) -> list[Line]:
     out: list[Line] = []
     text: list[str] = []
     stack: list[tuple[str, bool, bool]] = []    # name, boilerplate, article
+    places: dict[str, list[int]] = {}           # where in the stack elements of a name are
     links = depth_boiler = depth_article = 0
-    in_link = 0
+    in_link = depth_paragraph = 0
 
     def close_line():
         nonlocal links
         if text:
             t = " ".join(entities.unescape("".join(text)).split())
             if t:
-                out.append(Line(t, depth_article > 0, depth_boiler > 0, links))
+                out.append(Line(t, depth_article > 0, depth_boiler > 0, links, depth_paragraph > 0))
             text.clear()
         links = 0
 
     def pop(n: int):
-        nonlocal depth_boiler, depth_article, in_link
+        nonlocal depth_boiler, depth_article, in_link, depth_paragraph
         while len(stack) > n:
             name, boiler, article = stack.pop()
+            places[name].pop()
+            depth_paragraph -= name in PARAGRAPHS
             depth_boiler -= boiler
             depth_article -= article
             in_link -= name == "a"
 
+    def last(names) -> int:
+        return max((p[-1] for x in names if (p := places.get(x))), default=-1)
+
     def find(names, stop=frozenset()) -> int | None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in names:
-                return i
-            if stack[i][0] in stop:
-                return None
-        return None
+        i = last(names)
+        return i if i >= 0 and i >= last(stop) else None
 
     def add(s: str):
         nonlocal links
@@ -156,7 +170,9 @@ def lines(page: str) -> list[Line]:
             continue
         article = name in ("article", "main")
         boiler = _boiler(name, attrs, depth_article > 0)
+        places.setdefault(name, []).append(len(stack))
         stack.append((name, boiler, article))
+        depth_paragraph += name in PARAGRAPHS
         depth_boiler += boiler
         depth_article += article
         in_link += name == "a"
@@ -164,30 +180,43 @@ def lines(page: str) -> list[Line]:
     return out
 
 
+def _windows(weight: list[float]) -> list[float]:
+    return [sum(weight[max(0, i):i + WINDOW]) for i in range(1 - WINDOW, len(weight))]
+
+
+def _level(weight: list[float]) -> float:
+    """The level of a surge: by the windows' sums, each line counting by its weight."""
+    sums = _windows(weight)
+    best = sorted((max(sums[i:i + WINDOW]), w) for i, w in enumerate(weight) if w)
+    half, total = sum(w for _, w in best) / 2, 0.0
+    for s, w in best:
+        total += w
+        if total >= half:
+            return min(SURGE, SURGE_SHARE * s)
+    return 0.0
+
+
 def main_text(page: str | None) -> str:
     """The page's main text, one block per line; empty if there is none.
-    An article marked inside boilerplate (an advert's) doesn't count as one,
-    nor do marked articles (teasers) lighter than the text outside them."""
+    An article marked inside boilerplate (an advert's) doesn't count as one;
+    marked articles lighter than the text outside them (teasers) are lines like
+    any other."""
     if not page:
         return ""
     rows = lines(page)
-    inside = [0 if r.boiler or not r.marked else len(r.text) for r in rows]
-    plain = [0 if r.boiler or r.links > LINK_SHARE * len(r.text) else len(r.text) for r in rows]
+    plain = [0 if r.boiler else len(r.text) if r.paragraph else max(0, len(r.text) - r.links) for r in rows]
+    inside = sum(len(r.text) for r in rows if r.marked and not r.boiler)
     outside = sum(w for w, r in zip(plain, rows) if not r.marked)
-    weight = inside if sum(inside) > 0 and sum(inside) >= outside else plain
-    least = 1 if any(m["name"] or m["name2"] for m in TOKEN.finditer(page)) else SURGE
-    n = len(rows)
-    sums = [sum(weight[i:i + WINDOW]) for i in range(n)]
-    kept, at = [], 0
-    while at < n:
-        if weight[at] and sums[at] >= least:              # surge
-            while at < n and sums[at] > 0:                # until the dive
-                if weight[at]:
-                    kept.append(rows[at].text)
-                at += 1
-        else:
-            at += 1
-    return "\n".join(kept)
+    scale = min(1.0, outside / inside) if inside else 1.0
+    article = [r.marked and not r.boiler and scale < 1 for r in rows]
+    weight = [0 if a else scale * w for w, a in zip(plain, article)]
+    level = _level([len(r.text) if a else w for w, a, r in zip(weight, article, rows)])
+    text = [False] * len(rows)
+    for i, s in enumerate(_windows(weight)):        # from each surge to the dive
+        if s >= level:
+            for k in range(max(0, i + 1 - WINDOW), min(i + 1, len(rows))):
+                text[k] = True
+    return "\n".join(r.text for r, t, a, w in zip(rows, text, article, weight) if a or w and (t or r.paragraph and scale == 1))
 
 
 @F.arrow_udf(T.StringType())
@@ -203,7 +232,8 @@ def extract(df: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
     null.  White space inside a block becomes one space, blocks are joined by
     a line feed, character references are decoded (as HTML 5 does without a
     semicolon, too).  Unclosed comments and scripts reach to the page's end.
-    Repeated rows stay; an input column called ``out`` is replaced; no rows
-    give no rows.
+    Repeated rows stay; an input column called ``out``, in any case, is
+    replaced; no rows give no rows.
     """
-    return df.withColumn(out, _texts(F.col(f"`{html}`")))
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() != out.lower()]
+    return df.select(*kept, _texts(F.col(f"`{html}`")).alias(out))
