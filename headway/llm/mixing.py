@@ -6,9 +6,9 @@ document draws an exponential key scaled by its quality weight, documents are
 taken by ascending key, and their sizes are prefix-summed up to the budget.
 
 The prefix sums are made without gathering a source in one task: sizes are
-summed by (source, slot of the key), the slots' running sums show in which
-slot a source's budget ends, and only that slot is summed document by
-document.
+summed by (source, slot), slots being quantiles of the source's own keys; the
+slots' running sums show in which one a source's budget ends, that one is dealt
+to slots again, and only the last small one is summed document by document.
 """
 
 from __future__ import annotations
@@ -24,8 +24,10 @@ from pyspark.sql import types as T
 
 from .tables import stored
 
-#: Slots of the key's range, for each level of splitting.
-SLOTS = 1 << 12
+#: Slots that a source's keys are dealt to at once, by their quantiles.
+SLOTS = 64
+#: Rows of a source, at the end of its budget, that one task sums row by row.
+END_ROWS = 1024
 #: Rounds that fill what the document at the budget's end leaves open.
 ROUNDS = 3
 CAP = 3
@@ -94,20 +96,33 @@ def keys(quality: Column, *identity: Column, seed: int = 17) -> Column:
 def _select(rows: DataFrame, budgets: DataFrame, nearest: bool) -> DataFrame:
     """Of (row, s, size, key), the rows (row, s, size) that prefix sums by
     ascending key take from each s up to its budget; with ``nearest`` also the
-    row at the budget's end if that comes nearer."""
-    # the slot is the key's place among exponentials of rate 1: ascending, evenly filled for weights near 1
-    slot = F.least(F.floor((1 - F.exp(-F.col("key"))) * SLOTS), F.lit(SLOTS - 1)).cast("int")
-    rows = rows.join(F.broadcast(budgets), "s").withColumn("slot", slot)    # one row per source
-    sums = rows.groupBy("s", "slot").agg(F.sum("size").alias("words"), F.first("budget").alias("budget"))
-    run = Window.partitionBy("s").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)   # at most SLOTS rows of a source
-    sums = sums.withColumn("below", F.coalesce(F.sum("words").over(run), F.lit(0)))
-    ends = sums.where((F.col("below") < F.col("budget")) & (F.col("below") + F.col("words") >= F.col("budget"))).select("s", F.col("slot").alias("last"), "below")
-    rows = rows.join(F.broadcast(ends), "s", "left")                         # one row per source
-    whole = rows.where(F.col("last").isNull() & (F.col("budget") > 0) | (F.col("slot") < F.col("last")))
+    row at the budget's end if that comes nearer.
+
+    Every source is dealt to slots between quantiles of its keys.  Slots below
+    the budget's end are taken whole; the one that holds it is dealt again,
+    until it has END_ROWS at most and is summed row by row (or until its rows
+    share one key: rows alike)."""
+    shares = F.array(*[F.lit(i / SLOTS) for i in range(1, SLOTS)])
+    part, taken, held = rows.join(budgets, "s").withColumn("below", F.lit(0.0)), None, None
+    while True:
+        most = part.groupBy("s").agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+        if most <= END_ROWS or most == held:
+            break
+        held = most
+        cuts = part.groupBy("s").agg(F.percentile_approx("key", shares, 20_000).alias("cuts"))
+        dealt = stored(part.join(cuts, "s").withColumn("slot", F.expr("size(filter(cuts, c -> c < key))")).drop("cuts"), "mix_slots")
+        sums = dealt.groupBy("s", "slot").agg(F.sum("size").alias("words"), F.first("below").alias("base"))
+        run = Window.partitionBy("s").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)    # at most SLOTS rows of a source
+        sums = sums.select("s", "slot", "words", (F.col("base") + F.coalesce(F.sum("words").over(run), F.lit(0))).alias("start"))
+        dealt = dealt.drop("below").join(sums, ["s", "slot"]).where(F.col("start") < F.col("budget"))
+        whole = F.col("start") + F.col("words") <= F.col("budget")
+        kept = dealt.where(whole).select("row", "s", "size")
+        taken = kept if taken is None else taken.unionByName(kept)
+        part = stored(dealt.where(~whole).select("row", "s", "size", "key", "budget", F.col("start").alias("below")), "mix_ends")
     order = Window.partitionBy("s").orderBy("key", "row").rowsBetween(Window.unboundedPreceding, -1)
-    part = (rows.where(F.col("slot") == F.col("last")).withColumn("sum", F.col("below") + F.coalesce(F.sum("size").over(order), F.lit(0)))
-            .where(F.col("sum") + F.col("size") * (0.5 if nearest else 1.0) <= F.col("budget")))
-    return whole.select("row", "s", "size").unionByName(part.select("row", "s", "size"))
+    end = (part.withColumn("sum", F.col("below") + F.coalesce(F.sum("size").over(order), F.lit(0)))
+           .where(F.col("sum") + F.col("size") * (0.5 if nearest else 1.0) <= F.col("budget")).select("row", "s", "size"))
+    return end if taken is None else taken.unionByName(end)
 
 
 def row_id(doc_id: Column, text: Column, source: Column) -> Column:
@@ -162,22 +177,21 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, text: str = "text", s
         got = picked.groupBy("s").agg(F.sum("size").alias("got"))
         open_ = stored(open_.join(got, "s", "left").select("s", (F.col("budget") - F.coalesce("got", F.lit(0))).alias("budget")).where("budget >= 1"), "mix_open")
         size = "size / 2 <= budget" if i == ROUNDS - 2 else "size <= budget"
-        left = left.join(picked.select("row"), "row", "left_anti").join(F.broadcast(open_), "s").where(size).drop("budget")
+        left = left.join(picked.select("row"), "row", "left_anti").join(open_, "s").where(size).drop("budget")
     extra = taken.select("row.row_id", "row.nth", F.lit(1).alias("extra"))
-    return (rows.join(extra, ["row_id", "nth"], "left").join(F.broadcast(plan.select("s", "source_size", "target", "epochs")), "s")   # one row per source
+    return (rows.join(extra, ["row_id", "nth"], "left").join(plan.select("s", "source_size", "target", "epochs"), "s")
             .select("row_id", "nth", "doc_id", "size", "source", "source_size", "target",
                     (F.col("epochs") + F.coalesce("extra", F.lit(0))).cast("long").alias("copies")))
 
 
 def repeat(docs: DataFrame, mixed: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as ``mixed`` (of
-    the same rows) takes it."""
-    alike = mixed.groupBy("row_id").agg(F.sum("copies").alias("__all"), F.count("*").alias("__alike"))
+    the same rows) takes it.  Other columns pass through (those that start
+    with ``__`` are reserved)."""
+    alike = mixed.groupBy(F.col("row_id").alias("__row")).agg(F.sum("copies").alias("__all"), F.count("*").alias("__alike"))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(*names, row_id(F.col("doc_id"), F.col(f"`{text}`"), F.col(f"`{source}`")).alias("row_id")) if "row_id" not in docs.columns else None
-    if rows is None:
-        raise ValueError("docs has a column row_id already")
+    rows = docs.select(*names, row_id(F.col("doc_id"), F.col(f"`{text}`"), F.col(f"`{source}`")).alias("__row"))
     # rows alike are the same: deal their copies out evenly, the rest to the first
-    rows = rows.join(alike.where("__alike = 1"), "row_id").unionByName(
-        rows.join(alike.where("__alike > 1"), "row_id").dropDuplicates(["row_id"]))
+    rows = rows.join(alike.where("__alike = 1"), "__row").unionByName(
+        rows.join(alike.where("__alike > 1"), "__row").dropDuplicates(["__row"]))
     return rows.withColumn("__i", F.explode(F.expr("sequence(1L, greatest(__all, 1L))"))).where("__all > 0").select(*names)
