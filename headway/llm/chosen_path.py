@@ -255,13 +255,12 @@ def block_keys(df: DataFrame, key: Column, size: Column, id: Column, rows: int)
 
 def leaves(classes: DataFrame, threshold: float, recall: float, leaf_rows: int = LEAF_ROWS, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(key, id): the buckets to compare, of all runs and depths."""
-    spark = classes.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     runs = runs_needed(threshold, recall, max_depth)
     nodes = classes.where("n > 0").select("id", "sketch", F.explode(F.expr(f"sequence(1L, {runs}L)")).alias("path"))
     done = []
     for depth in range(1, max_depth + 1):
-        keys = nodes.select("id", _keys(F.col("path"), F.col("sketch"), threshold).alias("key")).repartition(n, "key")
+        # stored and joined by the planner, which splits a key that many sets share; a key's count is summed in the tasks first
+        keys = stored(nodes.select("id", _keys(F.col("path"), F.col("sketch"), threshold).alias("key")), f"keys{depth}")
         counts = keys.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
         met = stored(keys.join(counts, "key"), f"paths{depth}")
         done.append(met.where(F.col("rows") <= leaf_rows).select("key", "id"))
