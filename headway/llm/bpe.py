@@ -35,6 +35,8 @@ from .textops import U64
 
 #: Bytes of text in one portion (one longer text is a portion of its own).
 PORTION_CHARS = 3 << 20
+#: Distinct words whose ids a task remembers.
+KNOWN_WORDS = 500_000
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: White space as the pattern's \s has it (Unicode White_Space). Fixed values.
 WHITE_SPACE = (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -259,7 +261,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], column: str = "text", out: st
     Null and empty texts get an empty array; repeated rows stay and are
     encoded alike; a text of any length is encoded whole (texts without white
     space in n log n steps); an empty table gives an empty table; an input
-    column called ``out`` is replaced, other columns pass through.  A word
+    column called ``out``, in any case, is replaced, others pass through.  A word
     goes to one of ``buckets`` buckets by its hash: set it above the number
     of tasks of the cluster.
     """
@@ -267,7 +269,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], column: str = "text", out: st
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = buckets or 4 * n
     table = spark.sparkContext.broadcast(ranks)   # a fixed vocabulary
-    docs = df.select(*[F.col(f"`{c}`") for c in df.columns if c != out])
+    docs = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() != out.lower()])
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     arrow = to_arrow_schema(schema)
     shift = U64(64 - max(1, (buckets - 1).bit_length()))
@@ -289,6 +291,8 @@ def encode(df: DataFrame, ranks: dict[bytes, int], column: str = "text", out: st
     def to_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r, known = table.value, {}
         for batch in batches:
+            if len(known) > KNOWN_WORDS:
+                known.clear()
             out_blobs = []
             for blob in batch.column(2).to_pylist():
                 size, body = unpack_lists(blob)

@@ -97,7 +97,7 @@ def judge(df: DataFrame, rules: list[Rule], url: str = "url", default: str = "al
     A null url, an empty one and one without ``://`` have an empty host and
     path and get the default.  Repeated rows are judged alike and all stay;
     an empty table gives an empty table; input columns called like an output
-    column are replaced.
+    column, in any case, are replaced (``__judged`` is reserved).
     """
     size = sum(len(r.host) + len(r.path) for r in rules)
     if size > MAX_RULE_CHARS:
@@ -119,6 +119,6 @@ def judge(df: DataFrame, rules: list[Rule], url: str = "url", default: str = "al
             cols = [pa.array(x, pa.string()) for x in (hosts, paths, names, verdict)]
             yield pa.StructArray.from_arrays(cols, ["host", "path", "rule", "verdict"])
 
-    keep = [c for c in df.columns if c not in OUT.names]
-    judged = df.select(*[F.col(f"`{c}`") for c in keep], verdicts(F.col(f"`{url}`")).alias("judged"))
-    return judged.select(*[F.col(f"`{c}`") for c in keep], "judged.*")
+    keep = [c for c in df.columns if c.lower() not in OUT.names]
+    judged = df.select(*[F.col(f"`{c}`") for c in keep], verdicts(F.col(f"`{url}`")).alias("__judged"))
+    return judged.select(*[F.col(f"`{c}`") for c in keep], "__judged.*")

@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -153,6 +154,23 @@ def test_threshold_keeps_confirmed_findings_that_look_like_others(spark):
     assert confirmed.sum() == 120 and (scores[confirmed] >= scanner.threshold).mean() >= secret_scan.RECALL
 
 
+def test_overlaps_in_one_pass():
+    rng = random.Random(12)
+    for _ in range(300):
+        base = sorted((secret_scan.Span(a, a + rng.randint(1, 30), "hex") for a in rng.choices(range(100), k=rng.randint(0, 8))), key=lambda s: s.start)
+        edges = sorted(rng.sample(range(120), 2 * rng.randint(0, 10)))
+        runs = list(zip(edges[::2], edges[1::2]))
+        assert secret_scan.confirmed(runs, base) == [any(s.start < b and a < s.end for s in base) for a, b in runs]
+
+
+def test_a_dump_of_hashes_takes_linear_time():
+    rng = random.Random(13)
+    dump = "\n".join(f"{rng.getrandbits(160):040x}" for _ in range(60_000)) + "\n" + " ".join(f"key{rng.getrandbits(80):020X}" for _ in range(60_000))
+    began = time.process_time()
+    assert len(secret_scan.findings(dump)) == 120_000 and len(secret_scan.spans_of(secret_scan.Scanner(None, 2.0), [dump])[0]) == 60_000
+    assert time.process_time() - began < 20
+
+
 def test_pieces_cover_every_place():
     rng = np.random.default_rng(3)
     model = secret_scan.fit([rng.integers(32, 127, secret_scan.WIDE, dtype=np.uint8).tobytes() for _ in range(60)], np.arange(60) % 2, epochs=1)
@@ -178,7 +196,7 @@ def test_pages_against_their_articles(spark):
 
 
 @pytest.mark.parametrize("page, want", [
-    (None, ""), ("", ""), ("plain words", ""), ("<article>a<!-- x --> b<p>c &amp; d&nbsp; e</article>", "a b\nc & d e"),
+    (None, ""), ("", ""), ("plain words", "plain words"), ("short\n plain text", "short plain text"), ("<p>See <a>the long report on rivers</a> now</p><p>abc</p>", "See the long report on rivers now\nabc"), ("<article>a<!-- x --> b<p>c &amp; d&nbsp; e</article>", "a b\nc & d e"),
     ("<article><p>one<aside>no</aside><div class='comments'><p>no</div><form>no</form><p>two<script>if (a<b) '</p>'</script></article>", "one\ntwo"),
     ("<main><h1>t</h1><div class=cookie-notice>no</div><ul><li>x<li>y</ul></main><footer>no</footer>", "t\nx\ny"),
     ("<body><div class='has-sidebar'><p>" + "long text " * 20 + "<p>short</div><div><a href=x>links only</a></div>", "long text " * 19 + "long text\nshort"),
@@ -204,6 +222,42 @@ def test_unmarked_pages(page, want):
     assert html_extract.main_text(page) == want
 
 
+@pytest.mark.parametrize("name", ["post-comments", "page-footer", "main-nav", "comment-body", "content-sidebar", "page-header", "entry-footer", "cookie-text", "ad-container", "ads", "site_footer"])
+def test_boilerplate_by_class(name):
+    assert html_extract.main_text(f"<body><div class='x {name}'><p>gone</p></div>{LONG}<div id={name}>gone</div>") == SAID
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-comments", "sidebar-layout", "article-header", "entry-header", "header-page", "address", "loads", "footnote"])
+def test_classes_that_only_sound_like_boilerplate(name):
+    assert html_extract.main_text(f"<body class='{name}'><div class='{name}'><p>stays</p>{LONG}</div>") == "stays\n" + SAID
+
+
+def test_windows_decide_on_unmarked_pages(monkeypatch):
+    menu = "".join(f"<div>{w}</div>" for w in ("Home", "News", "Sport", "About us", "Jobs", "Press"))
+    page = menu + ("<div>" + "long text " * 60 + "</div>") * 3 + menu
+    got = html_extract.main_text(page).split("\n")
+    assert [x for x in got if len(x) > 20] == ["long text " * 59 + "long text"] * 3
+    assert got[0] == "Jobs" and got[-1] == "News" and len(got) == 7      # two lines on each side lie in a window with the text
+    monkeypatch.setattr(html_extract, "WINDOW", 1)
+    assert len(html_extract.main_text(page).split("\n")) == 3
+    poem = "".join(f"<div>a line of a poem {k}</div>" for k in range(9))
+    assert html_extract.main_text("<body>" + poem) == "\n".join(f"a line of a poem {k}" for k in range(9))
+
+
+def test_an_article_weighs_against_the_text_outside():
+    other = "<div>" + "other words " * 40 + "</div>"
+    assert html_extract.main_text("<article><p>" + "long text " * 400 + "</p></article><div>a teaser of a few words</div>").endswith("long text")
+    both = html_extract.main_text("<article><p>" + "long text " * 50 + "</p></article>" + other).split("\n")
+    assert len(both) == 2 and both[1].startswith("other words")         # nearly as heavy: both stay
+
+
+def test_long_pages_take_linear_time():
+    for page in ("<p>a</p>" + "</b>" * 250_000, "<div><p>" + "<h1>x<b>" * 120_000, "<ul>" + "<li>x<i>" * 120_000):
+        began = time.process_time()
+        html_extract.main_text(page)
+        assert time.process_time() - began < 10
+
+
 def test_extract_odd_rows(spark, odd):
     got = html_extract.extract(odd, html="text", out="key")
     assert got.count() == odd.count() and got.where("key is null").count() == 0 and html_extract.extract(odd.limit(0), "text").count() == 0
@@ -389,6 +443,26 @@ def test_mix_comes_near_its_targets(spark, docs):
     assert mixing.repeat(docs, mixing.mix(docs)).count() == sum(r["copies"] for r in got)
 
 
+@pytest.mark.parametrize("nearest", [False, True])
+def test_budgets_against_plain_prefix_sums(spark, monkeypatch, nearest):
+    rng = random.Random(14)
+    data = [(i, rng.choice("aaaaab"), rng.randint(1, 40), rng.choice([rng.expovariate(1), rng.expovariate(0.01), 30.0, 1e6])) for i in range(3000)]
+    data += [(10_000 + i, "same", 7, 1.5) for i in range(400)]
+    budgets = {"a": 9000.5, "b": 1e9, "same": 1000.0}
+    df = spark.createDataFrame(data, "row long, s string, size long, key double").repartition(7)
+    bound = spark.createDataFrame(list(budgets.items()), "s string, budget double")
+    want = set()
+    for name, budget in budgets.items():
+        below = 0
+        for row, _, size, _ in sorted((r for r in data if r[1] == name), key=lambda r: (r[3], r[0])):
+            if below + size * (0.5 if nearest else 1.0) <= budget:
+                want.add(row)
+            below += size
+    for end in (5, 100, 10_000):
+        monkeypatch.setattr(mixing, "END_ROWS", end)
+        assert {r["row"] for r in mixing._select(df, bound, nearest).collect()} == want
+
+
 def test_keys_prefer_quality(spark):
     df = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("one two").alias("text"), F.when(F.col("id") < 2000, "a").otherwise("b").alias("source"))
     weights = df.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 4.0).otherwise(1.0).alias("weight"))
