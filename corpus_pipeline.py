@@ -22,11 +22,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose score is below their language's threshold."""
     configure(spark)
     labels = queries.read(spark, sf_dir, "labels")
-    model = toxicity.train(docs, labels)
-    scores = stored(toxicity.scored(docs, model).select("doc_id", "lang", "score"), "scores")
-    cuts = stored(toxicity.thresholds(scores, labels).select(F.col("lang").alias("__lang"), "threshold"), "thresholds")
-    judged = toxicity.scored(docs, model, out="__score").join(F.broadcast(cuts), F.coalesce("lang", F.lit("")) == F.col("__lang"), "left")  # one row per language
-    return judged.where(F.coalesce(F.col("__score") < F.col("threshold"), F.lit(True))).select(*docs.columns)
+    scored = stored(toxicity.scored(docs, toxicity.train(docs, labels), out="__score"), "scored")
+    cuts = toxicity.thresholds(scored.select("doc_id", "lang", F.col("__score").alias("score")), labels)
+    cuts = stored(cuts.select(F.col("lang").alias("__lang"), F.col("threshold").alias("__cut")), "thresholds")
+    judged = scored.join(cuts, F.coalesce("lang", F.lit("")) == F.col("__lang"), "left")
+    return judged.where(F.coalesce(F.col("__score") < F.col("__cut"), F.lit(True))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
