@@ -149,6 +149,27 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.mapInArrow(digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, h, unnest(range(0, greatest(length(h) // 2 - 199, 0))) AS s FROM d),
+k AS (SELECT r, s, md5(substr(h, 2 * s + 1, 400)) AS k FROM w),
+twice AS (SELECT k FROM k GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT r, s FROM k SEMI JOIN twice USING (k)),
+runs AS (
+  SELECT r, s, sum(CASE WHEN s <= before + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY s) AS run
+  FROM (SELECT r, s, lag(s) OVER (PARTITION BY r ORDER BY s) AS before FROM gone)),
+spans AS (SELECT r, run, min(s) AS a, max(s) + 200 AS b FROM runs GROUP BY r, run),
+pieces AS (
+  SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS b FROM spans
+  UNION ALL
+  SELECT d.r, coalesce(max(spans.b), 0), any_value(length(h) // 2) FROM d LEFT JOIN spans USING (r) GROUP BY d.r),
+kept AS (SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS kept FROM pieces JOIN d USING (r) GROUP BY r)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, ((length(h) - length(kept)) // 2)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+       sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN kept USING (r) LEFT JOIN (SELECT r, count(*) AS n FROM spans GROUP BY r) USING (r)
+"""
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
@@ -189,4 +210,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_byte_bpe, op7_simhash, op8_source_mix, op9_ngram_jaccard, op10_toxicity, op11_token_alignment, op12_suffix_dedup, op13_source_divergence)
 }
 #: Of the others: a trained model, a hash-keyed sample, or an algorithm that SQL cannot say.
-SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op13_source_divergence": OP13_SQL}
+SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op12_suffix_dedup": OP12_SQL, "op13_source_divergence": OP13_SQL}
