@@ -151,8 +151,9 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP12_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-w AS (SELECT r, h, unnest(range(0, greatest(length(h) // 2 - 199, 0))) AS s FROM d),
-k AS (SELECT r, s, md5(substr(h, 2 * s + 1, 400)) AS k FROM w),
+parts AS (SELECT r, j, substr(h, 1000 * j + 1, 1398) AS p FROM (SELECT r, h, unnest(range(0, (length(h) // 2 + 300) // 500)) AS j FROM d)),
+k AS (SELECT r, 500 * j + t AS s, md5(substr(p, 2 * t + 1, 400)) AS k
+      FROM (SELECT r, j, p, unnest(range(0, greatest(least(500, length(p) // 2 - 199), 0))) AS t FROM parts)),
 twice AS (SELECT k FROM k GROUP BY k HAVING count(*) > 1),
 gone AS (SELECT r, s FROM k SEMI JOIN twice USING (k)),
 runs AS (
