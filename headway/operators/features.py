@@ -91,6 +91,8 @@ def direction_consistency(df: DataFrame, keys=TRIP_KEYS, scope: str = "trip") ->
     found by a window over one summary row per trip.
     """
     abs_bc = F.abs(F.col("bearing_change"))
+    if scope not in ("trip", "route"):
+        raise ValueError("scope must be 'trip' or 'route'")
     if scope == "trip" and chunked(df):
         # window over one chunk; the first rows of a chunk complete it with the
         # |bearing change| tails of the preceding chunks
@@ -114,8 +116,8 @@ def direction_consistency(df: DataFrame, keys=TRIP_KEYS, scope: str = "trip") ->
     if scope == "trip":
         return d.withColumn("direction_consistency", F.when(
             F.col("_rn") >= ROLLING_ROWS, F.col("_roll_sum") / F.col("_roll_n"))).drop("_roll_sum", "_roll_n", "_rn")
-    if scope != "route":
-        raise ValueError("scope must be 'trip' or 'route'")
+    if chunked(df):
+        return _route_consistency(df, abs_bc)
     route_keys = [k for k in keys if k != "trip_id"]
     # one summary row per trip: first ts and the |bc| of its last four rows
     tail = (d.withColumn("_rev", F.row_number().over(
@@ -143,6 +145,31 @@ def direction_consistency(df: DataFrame, keys=TRIP_KEYS, scope: str = "trip") ->
     return d.withColumn("direction_consistency", F.expr(full)).drop("_roll_sum", "_roll_n", "_rn", "_carry")
 
 
+def _route_consistency(df: DataFrame, abs_bc: F.Column) -> DataFrame:
+    """W5 across the trips of a (date, route), on chunked rows: the window
+    covers a chunk, and the values before it (of the trip's chunks before, then
+    of the trips before) come from one summary row per chunk. The pings stay
+    where they are; only summaries are shuffled."""
+    k = ROLLING_ROWS - 1
+    last = lambda x: f"CASE WHEN size({x}) = 0 THEN {x} ELSE slice({x}, -least({k}, size({x})), least({k}, size({x}))) END"
+    chunks = df.groupBy(*CHUNK_KEYS).agg(F.min("ts").alias("_t0"), F.array_sort(F.collect_list(F.struct("ts", "seq", abs_bc.alias("v")))).alias("_l"))
+    chunks = chunks.select(*CHUNK_KEYS, "_t0", F.expr(f"transform({last('_l')}, x -> x.v)").alias("_tail"))
+    trips = chunks.groupBy(*TRIP_KEYS).agg(F.min("_t0").alias("_t0"), F.array_sort(F.collect_list(F.struct("bucket", "_tail"))).alias("_l"))
+    trips = trips.withColumn("_l", F.expr(f"flatten(transform({last('_l')}, x -> x._tail))")).select(*TRIP_KEYS, "_t0", F.expr(last("_l")).alias("_tail"))
+    before = Window.partitionBy(*[c for c in TRIP_KEYS if c != "trip_id"]).orderBy("_t0", "trip_id").rowsBetween(-k, -1)
+    trips = trips.select(*TRIP_KEYS, F.flatten(F.collect_list("_tail").over(before)).alias("_carry"))
+    carry = chunks.select(*CHUNK_KEYS).join(trips, TRIP_KEYS)
+    w = Window.partitionBy(*CHUNK_KEYS).orderBy("ts", "seq")
+    roll = w.rowsBetween(-k, 0)
+    d = df.withColumns({"_roll_sum": F.sum(abs_bc).over(roll), "_roll_n": F.count(abs_bc).over(roll), "_rn": F.row_number().over(w)}).join(carry, CHUNK_KEYS)
+    d = d.withColumn("_carry", F.concat("_carry", F.coalesce("_prev_tails", F.array().cast("array<double>"))))
+    need = f"({ROLLING_ROWS} - _rn)"
+    tail = f"slice(_carry, greatest(size(_carry) - {need} + 1, 1), greatest(least({need}, size(_carry)), 0))"
+    full = (f"CASE WHEN _rn >= {ROLLING_ROWS} THEN _roll_sum / _roll_n WHEN size(_carry) >= {need} THEN "
+            f"(_roll_sum + aggregate({tail}, 0e0, (a, x) -> a + x)) / {ROLLING_ROWS}e0 END")
+    return d.withColumn("direction_consistency", F.expr(full)).drop("_roll_sum", "_roll_n", "_rn", "_carry")
+
+
 def spatial_features(df: DataFrame, keys=TRIP_KEYS, rolling_scope: str = "trip") -> DataFrame:
     return movement_patterns(segment_metrics(df), keys, rolling_scope)
 

@@ -684,6 +684,17 @@ def _w5r(spark, sf):
     return feat.direction_consistency(f, scope="route")
 
 
+@reg("win_direction_consistency_route_features", PK + " direction_consistency:d6",
+     """SELECT date, route_id, trip_id, seq,
+        CASE WHEN count(*) OVER w = 5 THEN avg(abs(bearing_change)) OVER w END AS direction_consistency
+        FROM (SELECT *, min(ts) OVER (PARTITION BY date, route_id, trip_id) AS tfirst FROM h_feat)
+        WINDOW w AS (PARTITION BY date, route_id ORDER BY tfirst, trip_id, ts, seq
+                     ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""", "h_feat")
+def _w5rf(spark, sf):
+    """The same within the feature run, from the carries of the chunks."""
+    return _wl(spark, sf).features(rolling_scope="route")
+
+
 @reg("win_map_match", PK + " route_position:i", "SELECT * FROM h_mm", "h_mm")
 def _w6(spark, sf):
     w = _wl(spark, sf)

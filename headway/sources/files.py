@@ -358,9 +358,18 @@ def write_route_features(features: DataFrame, root: str, file_bytes: int = FILE_
         stays = static.materialize(old.join(written.select("date").distinct(), "date", "left_semi")     # read before its folder is replaced
                                    .join(written, ["date", "route_id"], "left_anti"))
         rows, size = rows.unionByName(stays, allowMissingColumns=True), size + stored_bytes(stays)
+    by_date = rows.groupBy("date").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)), F.max("n"), F.sum("n")).first()
+    dates, largest, total = (x or 0 for x in by_date)
     n = max(1, math.ceil(size / file_bytes))
-    (rows.repartitionByRange(n, "date", "route_id").sortWithinPartitions("date", "route_id")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(root))
+    if size * largest <= file_bytes * total:    # every date is a file
+        ranged = rows.repartitionByRange(max(n, min(dates, features.sparkSession.sparkContext.defaultParallelism)), "date")
+    else:
+        ranged = rows.repartitionByRange(n, "date", "route_id")
+    out = ranged.sortWithinPartitions("date", "route_id").write.partitionBy("date")
+    if old is None:
+        out.mode("append").parquet(root)
+    else:
+        out.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
 
 
 def stored_bytes(df: DataFrame) -> int:

@@ -8,7 +8,8 @@ import pytest
 from conftest import SF_SMALL
 
 KEYS = ["clean_pings", "win_map_match", "ctx_route_context", "feat_all", "agg_stop_patterns",
-        "geo_locate_on_route", "join_pattern_ladder", "pipe_evaluate", "win_direction_consistency_route"]
+        "geo_locate_on_route", "join_pattern_ladder", "pipe_evaluate", "win_direction_consistency_route", "win_direction_consistency_route_features",
+        "join_pattern_ladder_levels", "union_pings", "sink_static", "ctx_duration_to_future_stops"]
 
 
 def _norm(v):
