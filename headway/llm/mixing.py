@@ -109,11 +109,12 @@ def _select(rows: DataFrame, budgets: DataFrame, nearest: bool) -> DataFrame:
         if most <= END_ROWS or most == held:
             break
         held = most
-        cuts = part.groupBy("s").agg(F.percentile_approx("key", shares, 20_000).alias("cuts"))
+        # tables of their own, so that the planner knows their bytes: a row per source, and one per source and slot
+        cuts = stored(part.groupBy("s").agg(F.percentile_approx("key", shares, 20_000).alias("cuts")), "mix_cuts")
         dealt = stored(part.join(cuts, "s").withColumn("slot", F.expr("size(filter(cuts, c -> c < key))")).drop("cuts"), "mix_slots")
         sums = dealt.groupBy("s", "slot").agg(F.sum("size").alias("words"), F.first("below").alias("base"))
         run = Window.partitionBy("s").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)    # at most SLOTS rows of a source
-        sums = sums.select("s", "slot", "words", (F.col("base") + F.coalesce(F.sum("words").over(run), F.lit(0))).alias("start"))
+        sums = stored(sums.select("s", "slot", "words", (F.col("base") + F.coalesce(F.sum("words").over(run), F.lit(0))).alias("start")), "mix_sums")
         dealt = dealt.drop("below").join(sums, ["s", "slot"]).where(F.col("start") < F.col("budget"))
         whole = F.col("start") + F.col("words") <= F.col("budget")
         kept = dealt.where(whole).select("row", "s", "size")
