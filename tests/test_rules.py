@@ -163,3 +163,22 @@ def test_kept_tables_are_released(spark):
     df = session.keep(spark.range(5))
     assert df.count() == 5 and df.storageLevel.useMemory
     assert session.release(spark) == 1 and not df.storageLevel.useMemory and session.release(spark) == 0
+
+
+def test_epoch_text_is_parsed_once_per_row(spark):
+    """Filters on the time move towards the scan; the parsing must not go with them."""
+    raw = spark.createDataFrame([("1", '"12.5"')], "trip_id string, vehicle_timestamp string").repartition(2)
+    d = clean.epoch_to_ts(raw).where("ts IS NOT NULL AND ts > timestamp'1970-01-01'")
+    plan = d._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast(") == 1
+    assert d.count() == 1
+
+
+def test_epoch_rounding_is_that_of_round(spark):
+    x = [0.0000005, -0.0000005, 0.00000049999999999999994, 1.0000015, -1.0000015, 4503599627.370497, 9223372036.0, -9223372036.0, 978307200.123456, 0.0000025, -0.0, 12.3456785]
+    raw = spark.createDataFrame([(repr(v),) for v in x] + [('"7.25"',), ("NaN",), ("bad",), (None,), ("9223372037",)], "vehicle_timestamp string").withColumn("text", F.col("vehicle_timestamp"))
+    d = clean.epoch_to_ts(raw).withColumn("want", F.expr("timestamp_micros(try_cast(round(vehicle_timestamp * 1e6) AS BIGINT))"))
+    assert d.columns == ["vehicle_timestamp", "text", "ts", "want"]
+    for r in d.select("text", F.unix_micros("ts").alias("a"), F.unix_micros("want").alias("b")).collect():
+        assert r["a"] == r["b"], r
+    assert d.where("ts IS NULL").count() == 4
