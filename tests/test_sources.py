@@ -128,3 +128,18 @@ def test_one_bad_query_does_not_stop_the_others(spark, tmp_path):
     assert sorted((r["query_id"], r["manifest_pos"], r["id"]) for r in got.collect()) == [("0", 0, 0), ("0", 0, 1), ("0", 0, 2), ("0", 0, 3), ("2", 2, 9), ("4", 4, 0), ("4", 4, 1), ("4", 4, 2), ("4", 4, 3)]
     status = [(r["query_id"], r["files"], r["rows"], r["status"]) for r in files.query_status(spark, str(tmp_path / "manifest.json")).orderBy("manifest_pos").collect()]
     assert status == [("0", 1, 4, "ok"), ("1", 1, 0, "unreadable"), ("2", 1, 1, "ok"), ("3", 0, 0, "missing"), ("4", 1, 4, "ok")]
+
+
+def test_pings_by_day_shuffle_the_orders_only(spark):
+    """Stored pings are dealt by day before they are made of their orders."""
+    from headway.sources import fixtures
+    plan = fixtures.raw_pings(spark, "/root/testdata/sf0.001", by_day=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("RepartitionByExpression")   # printed from the result downwards
+    assert plan.count("RepartitionByExpression") == 1 and "RebalancePartitions" not in plan
+
+
+def test_stream_source_is_written_where_its_rows_are(spark, tmp_path):
+    from headway.streaming.stream import write_stream_source
+    src = write_stream_source(spark.range(0, 700, 1, 7), str(tmp_path / "src"))
+    assert len(list((tmp_path / "src").glob("*.parquet"))) == 7
+    assert spark.read.parquet(src).count() == 700
