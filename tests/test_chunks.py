@@ -24,3 +24,25 @@ def test_tiny_chunks_equal_one_chunk(spark):
     assert len(small) == len(whole) > 0
     bad = [k for k in whole if small[k] != whole[k]]
     assert not bad, (bad[:3], [small[k] for k in bad[:1]], [whole[k] for k in bad[:1]])
+
+
+def test_lists_after_the_windows(spark):
+    """Trips whose lists come last have the rows of those that carry them, and
+    no generated stage projects both the next stop and the next ping."""
+    w = Workload(spark, SF_SMALL)
+    p = clean.clean_pings(w.history_raw())
+    narrow = context.process_trips(p, w.routes(), lists=False)
+    assert not [c for c in narrow.columns if c.startswith("future_") or c == "_next_heads"]
+    lists = ["future_stop_ids", "future_segment_distances", "duration_to_future_stops"]
+    rows = lambda df: {(r["trip_id"], r["seq"]): tuple(r[c] for c in lists) for r in df.select("trip_id", "seq", *lists).collect()}
+    got, want = rows(context.with_lists(narrow, w.routes())), rows(context.process_trips(p, w.routes()))
+    assert got == want and len(got) > 0
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = features.spatial_features(narrow)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    parts = plan.split("- Window [")
+    found = [[f"_{c}_x1_xi" in x for c in ("segment_distance", "distance_to_next_route_stop")] for x in parts]
+    assert any(a for a, _ in found) and any(b for _, b in found)
+    assert not any(a and b for a, b in found)
