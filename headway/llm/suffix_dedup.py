@@ -392,9 +392,11 @@ def windows(docs: DataFrame, length: int = LENGTH, keep: str | None = "first", t
     chosen = broadcast(bitmap(wanted, _occurrence_bit(), bits))
     several = broadcast(bitmap(many, F.col("anchor"), bits))
     contexts = stored(texts.mapInArrow(_occurrences(length, several, chosen), CONTEXTS), "bytes")
-    large = many.where(F.col("kinds") > sorted_contexts).select("anchor")
+    large = stored(many.where(F.col("kinds") > sorted_contexts).select("anchor"), "large")
     few = contexts.join(large, "anchor", "left_anti")
-    by_order = few.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(_sorted_contexts(length), WINDOWS)
+    # dealt by a hash of the anchor, not the anchor: the planner would drop that
+    # after a join dealt by it, and may split the join's tasks, and anchors with them
+    by_order = few.repartition(n, F.xxhash64("anchor")).sortWithinPartitions("anchor").mapInArrow(_sorted_contexts(length), WINDOWS)
 
     prints = contexts.join(large, "anchor", "left_semi").mapInArrow(_window_prints(length), "anchor long, distance int, print long, doc long, k long, start int")
     key = ["anchor", "distance", "print"]

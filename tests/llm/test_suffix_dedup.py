@@ -173,3 +173,22 @@ def test_query_digests(spark, docs):
     for r, t, w in zip(got, texts, plain(texts)):
         kept = S.kept_bytes(t, w)
         assert tuple(r)[1:] == (len(t), len(t) - len(kept), len(w), hashlib.sha256(kept).hexdigest())
+
+
+def test_anchors_stay_whole_where_joins_are_split(spark):
+    """A join of the contexts whose tasks adaptive execution splits must not split an anchor's contexts."""
+    rng = random.Random(5)
+    noise = lambda k: "".join(rng.choices("abcdefgh ", k=k))
+    passages = [noise(300), noise(300)]
+    texts = [noise(rng.randint(0, 120)) + p[rng.randint(0, 60):] + noise(rng.randint(0, 120)) for p, k in zip(passages, (500, 1500)) for _ in range(k)]
+    want = plain([t.encode() for t in texts])
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = {r.doc_id: [tuple(x) for x in r.spans] for r in S.dedup(frame(spark, texts), keep=None, sorted_contexts=1000).collect()}
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert [got[i] for i in range(len(texts))] == want
