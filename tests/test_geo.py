@@ -49,3 +49,11 @@ def test_distance_is_planar_in_the_first_points_zone(spark):
 def test_wkt_by_hand(spark):
     df = spark.createDataFrame([(12.5, 77.25), (13.0, -77.0), (None, 1.0)], "lat double, lon double")
     assert [r["g"] for r in df.select(F.expr(geo.wkt_point_sql("lat", "lon")).alias("g")).collect()][:2] == ["POINT (77.25 12.5)", "POINT (-77 13)"]
+
+
+def test_wkt_in_stages_equals_the_expression(spark):
+    at = [(12.0, -77.5), (-0.0, 100.0), (1e-7, 1.25e10), (float("nan"), 0.1), (float("inf"), 10.05), (None, 1.0), (0.1, None)]
+    df = geo.with_wkt(spark.createDataFrame(at, "lat double, lon double"), "lat", "lon", "g")
+    assert df.columns == ["lat", "lon", "g"]
+    assert all(r["g"] == r["w"] for r in df.selectExpr("g", f"{geo.wkt_point_sql('lat', 'lon')} AS w").collect())
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 0

@@ -32,6 +32,20 @@ def test_steps_by_batch_equal_the_expressions(spark, monkeypatch):
     assert rows(mapmatch.with_steps(p, routes)) == want
 
 
+def test_values_by_segment_equal_the_expressions(spark, monkeypatch):
+    routes = _routes(spark)
+    p = mapmatch.attach_route(_pings(spark), routes)
+    names = list(mapmatch.SEGMENT_SQL)
+    rows = lambda df: {(r["route_id"], r["seq"]): repr([r[c] for c in names]) for r in df.select("route_id", "seq", *names).collect()}
+    want = rows(mapmatch.with_projection(p, routes).withColumns({c: F.expr(x) for c, x in mapmatch.SEGMENT_SQL.items()}))
+    by_batch = mapmatch.with_segments(p, routes, *names)
+    plan = by_batch._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "stops#" not in plan.split("ArrowEvalPython")[1].splitlines()[1].split("CASE")[0]
+    assert rows(by_batch) == want and len(want) == 56
+    monkeypatch.setattr(mapmatch, "SEGMENT_CELLS", 0)     # too many segments to broadcast
+    assert rows(mapmatch.with_segments(p, routes, *names)) == want
+
+
 def test_distances_after_the_next_stop_are_summed_once_per_route(spark):
     routes = _routes(spark)
     p = _pings(spark).where("latitude = 12.9 and longitude is not null")
