@@ -172,14 +172,14 @@ def test_penalties(spark):
     assert o["total_routes"] == 4
 
 
-def test_whole_seconds_are_parsed_like_decimals(spark):
-    """Every text gives the number that DOUBLE's own parser gives; junk doesn't reach that parser."""
+def test_junk_epochs_do_not_reach_the_parser(spark):
+    """Every text gives the number that DOUBLE's own parser gives; words don't reach that parser."""
     texts = ["1700000000", '"1700000000"', "1700000000.25", '"12.5"', "12.", ".5", "-0", "0", "-17", "+17", " 17 ", "1e9", "12d", "9007199254740993", "99999999999999999999", "-9223372036.5",
-             "bad", "", " ", "NaN", "Infinity", "-inf", "1_000", "0x10", "1.2.3", "1 2", None]
+             "bad", "e5", "", " ", "\t8", "é1", "\u00a05", "NaN", "Infinity", "-inf", "1_000", "0x10", "1.2.3", "1 2", None]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, vehicle_timestamp string")
     got = {r["i"]: r["vehicle_timestamp"] for r in clean.epoch_to_ts(df).collect()}
     plain = "try_cast(replace(vehicle_timestamp, '\"', '') AS DOUBLE)"
     want = {r["i"]: r["s"] for r in df.selectExpr("i", f"CASE WHEN {plain} BETWEEN -9223372036 AND 9223372036 THEN {plain} END AS s").collect()}
     assert {k: repr(v) for k, v in got.items()} == {k: repr(v) for k, v in want.items()}
     plan = clean.epoch_to_ts(df)._jdf.queryExecution().optimizedPlan().toString()
-    assert "RLIKE [0-9]" in plan
+    assert "< :)" in plan
